@@ -1,0 +1,52 @@
+"""Cutting a text at spaces where no pre-tokeniser match can cross.
+
+The split pattern of the byte-level vocabularies never matches from a
+non-space character into white space, and a single space goes with the word
+after it.  So a text may be cut before every space that stands between two
+non-space characters, and the pieces' ids joined are the ids of the whole text.
+Chunks repeat a lot, which makes a bounded cache per worker worth having.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+_BESIDE = re.compile(r" \s|\s ")
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def cut(text: str) -> list[str]:
+    """The chunks; all but the first are without their leading space."""
+    return _SAFE.split(text) if _BESIDE.search(text) else text.split(" ")
+
+
+class Cache(dict):
+    """Chunk -> what ``make`` gives for it, in two generations.
+
+    When the young generation holds ``most`` entries it becomes the old one, and
+    the old one goes; what is looked up again in the old one is young again.
+    Chunks of over ``longest`` characters are not kept.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest = make, most, longest
+        self.old: dict[str, bytes] = {}
+
+    def put(self, key: str, made: bytes) -> None:
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = made
+
+    def known(self, key: str) -> bool:
+        return key in self or key in self.old
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        self.put(key, made)
+        return made
