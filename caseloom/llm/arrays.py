@@ -33,14 +33,14 @@ def separators(chars: bytes) -> np.ndarray:
 WHITE = separators(b" \t\n\x0b\x0c\r")
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose texts have about MAX_BYTES."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = MAX_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose texts have about ``most`` bytes."""
     if not batch.num_rows:
         return
     sizes = np.array([len(x) if x is not None else 0 for x in as_bytes(batch.column(column))], dtype=np.int64)
     start, total = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if total and total + size > MAX_BYTES:
+        if total and total + size > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += size

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, planes, urls
+from caseloom.llm import bpe, flac, langid, planes, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = F.octet_length("text").cast("long")
+    units = F.greatest(F.lit(1), F.ceil(n / 192)).cast("long")
+    padded = docs.select(
+        "doc_id", n.alias("n_bytes"),
+        F.encode(F.concat("text", F.repeat(F.lit(" "), (units * 192 - n).cast("int"))), "utf-8").alias("payload"),
+    )
+    stored = flac.encode(padded).drop("payload")
+    back = flac.decode(stored)
+    size = F.length("pcm")
+    return back.select(
+        "doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("pcm", 256).alias("payload_sha256"),
+        F.crc32(F.substring("pcm", -16, 16)).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), "feature", F.size("blocks").cast("long").alias("n_blocks"),
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = langid.held_out(F.col("doc_id"), 5, 0)
+    model = langid.fit(docs.where(~held))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = planes.write(docs, public_tokenizers.path(TOKENIZER))
@@ -42,7 +68,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_bit_planes, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op3_language_id, op6_bit_planes, op9_byte_bpe, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
