@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, flac, langid, planes, urls
+from caseloom.llm import bpe, flac, langid, licenses, planes, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,6 +42,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = planes.write(docs, public_tokenizers.path(TOKENIZER))
@@ -68,8 +73,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_flac, op3_language_id, op6_bit_planes, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op3_language_id, op4_license_scan, op6_bit_planes, op9_byte_bpe, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": urls.oracle()}
+    return {"op4_license_scan": licenses.oracle(), "op10_url_filter": urls.oracle()}
