@@ -29,6 +29,7 @@ file and an empty result.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 from caseloom.llm import arrays, scratch
 from caseloom.llm.chunks import Cache, cut
 
+MARKS = string.punctuation
 MAGIC = b"CLPL1\0\0\0"
 FOOTER = struct.Struct("<IIIQQQQQI8s")
 BLOCK = 1 << 16
@@ -55,8 +57,9 @@ class Encoder:
     """The tokenizers library behind a cache of chunks.
 
     A chunk not seen before is taken apart where no match of the split pattern
-    can cross (a line feed between non-spaces, one closing mark after a letter);
-    what is left goes to the library, all new chunks of a batch in one text.
+    can cross (a line feed between non-spaces, marks after a letter or digit);
+    the words that are left go to the library, all new ones of a batch in one
+    text.
     """
 
     def __init__(self, path: str):
@@ -66,40 +69,57 @@ class Encoder:
         self.t = Tokenizer.from_file(path)
         self.t.encode_special_tokens = True
         self.line = self.ids("\n")
-        self.marks = {m: self.ids(m) for m in ".,;:!?"}
-        self.chunks = Cache(lambda c: self.ids(" " + c))
+        self.chunks = Cache(lambda c: self._make(c, self.chunks, " "))
+        self.bare = Cache(lambda c: self._make(c, self.bare, ""), most=100_000)
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # encode_batch_fast leaves out the offsets, which nobody reads here
+        got = self.t.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(got, dtype="<u4").tobytes()
 
-    def learn(self, fresh: list[str]) -> None:
-        """Encode chunks without white space in them by one call, parted by line feeds."""
-        got = np.array(self.t.encode("\n".join(" " + c for c in fresh), add_special_tokens=False).ids, dtype="<u4")
+    def learn(self, words: list[str], lead: str, cache: Cache) -> None:
+        """Encode words without white space in them by one call, parted by line feeds."""
+        if not words:
+            return
+        got = np.frombuffer(self.ids("\n".join([lead + w for w in words])), dtype="<u4")
         ends = np.flatnonzero(got == np.frombuffer(self.line, dtype="<u4")[0])
         raw, at = got.tobytes(), 0
-        for c, end in zip(fresh, [*(4 * ends).tolist(), 4 * got.size], strict=True):
-            self.chunks.put(c, raw[at:end])
+        for w, end in zip(words, [*(4 * ends).tolist(), 4 * got.size], strict=True):
+            cache.put(w, raw[at:end])
             at = end + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [cut(x) if x else None for x in texts]
-        known, fresh = self.chunks.known, set()
+        unseen: set[str] = set()
         for p in parts:
-            for c in p[1:] if p else ():
-                if not known(c):
-                    base = c[:-1] if c[-1:] in self.marks and c[-2:-1].isalpha() else c
-                    if base and len(base) <= self.chunks.longest and base.isalnum() and not known(base):
-                        fresh.add(base)
-        if fresh:
-            self.learn(list(fresh))
-        get = self.chunks.__getitem__
-        self.chunks.make = self._make
-        return [b"" if p is None else self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
-
-    def _make(self, c: str) -> bytes:
-        if c[-1:] in self.marks and c[-2:-1].isalpha():
-            return self.chunks[c[:-1]] + self.marks[c[-1]]
-        return self.ids(" " + c)
+            if p is not None:
+                unseen.update(p[1:])
+        unseen -= self.chunks.keys()
+        after_space, bare = set(), set()
+        for c in unseen:
+            if c in self.chunks.old:
+                continue
+            first, *lines = c.split("\n")
+            for word, to in ((first, after_space), *((w, bare) for w in lines)):
+                word = word.rstrip(MARKS)
+                if word.isalnum() and len(word) <= self.chunks.longest:
+                    to.add(word)
+        self.learn([w for w in after_space if not self.chunks.known(w)], " ", self.chunks)
+        self.learn([w for w in bare if not self.bare.known(w)], "", self.bare)
+        get, lead = self.chunks.__getitem__, self.bare.__getitem__
+        return [b"" if p is None else lead(p[0]) + b"".join(map(get, p[1:])) for p in parts]
+
+    def _make(self, c: str, cache: Cache, lead: str) -> bytes:
+        """A chunk not known as it is: by its parts where these are known to be apart."""
+        if "\n" in c:
+            first, *rest = c.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in (first, *rest)):
+                return self.line.join([cache[first], *map(self.bare.__getitem__, rest)])
+        else:
+            word = c.rstrip(MARKS)
+            if word != c and word[-1:].isalnum():
+                return cache[word] + self.bare[c[len(word) :]]
+        return self.ids(lead + c)
 
 
 @lru_cache(maxsize=2)
