@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, flac, langid, licenses, planes, urls
+from caseloom.llm import bpe, decontaminate, flac, langid, licenses, planes, toxicity, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,6 +34,12 @@ def op1_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "contaminated", "n_items", "items", "coverage")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = langid.held_out(F.col("doc_id"), 5, 0)
@@ -53,6 +59,12 @@ def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).drop("text")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -73,7 +85,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_flac, op3_language_id, op4_license_scan, op6_bit_planes, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op6_bit_planes, op8_toxicity, op9_byte_bpe, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
