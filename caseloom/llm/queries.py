@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, decontaminate, flac, langid, licenses, planes, toxicity, urls
+from caseloom.llm import bpe, decontaminate, flac, jaccard, langid, licenses, planes, toxicity, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,6 +59,10 @@ def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -85,8 +89,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op6_bit_planes, op8_toxicity, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op6_bit_planes, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": licenses.oracle(), "op10_url_filter": urls.oracle()}
+    return {"op4_license_scan": licenses.oracle(), "op7_jaccard_join": jaccard.oracle(), "op10_url_filter": urls.oracle()}
