@@ -29,7 +29,6 @@ file and an empty result.
 from __future__ import annotations
 
 import os
-import string
 import struct
 import uuid
 import zlib
@@ -45,91 +44,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.llm import arrays, scratch
-from caseloom.llm.chunks import Cache, cut
+from caseloom.llm.subwords import Subwords
 
-MARKS = string.punctuation
 MAGIC = b"CLPL1\0\0\0"
 FOOTER = struct.Struct("<IIIQQQQQI8s")
 BLOCK = 1 << 16
 
 
-class Encoder:
-    """The tokenizers library behind a cache of chunks.
-
-    A chunk not seen before is taken apart where no match of the split pattern
-    can cross (a line feed between non-spaces, marks after a letter or digit);
-    the words that are left go to the library, all new ones of a batch in one
-    text.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True
-        self.line = self.ids("\n")
-        self.chunks = Cache(lambda c: self._make(c, self.chunks, " "))
-        self.bare = Cache(lambda c: self._make(c, self.bare, ""), most=100_000)
-
-    def ids(self, text: str) -> bytes:
-        # encode_batch_fast leaves out the offsets, which nobody reads here
-        got = self.t.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(got, dtype="<u4").tobytes()
-
-    def learn(self, words: list[str], lead: str, cache: Cache) -> None:
-        """Encode words without white space in them by one call, parted by line feeds."""
-        if not words:
-            return
-        got = np.frombuffer(self.ids("\n".join([lead + w for w in words])), dtype="<u4")
-        ends = np.flatnonzero(got == np.frombuffer(self.line, dtype="<u4")[0])
-        raw, at = got.tobytes(), 0
-        for w, end in zip(words, [*(4 * ends).tolist(), 4 * got.size], strict=True):
-            cache.put(w, raw[at:end])
-            at = end + 4
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [cut(x) if x else None for x in texts]
-        unseen: set[str] = set()
-        for p in parts:
-            if p is not None:
-                unseen.update(p[1:])
-        unseen -= self.chunks.keys()
-        after_space, bare = set(), set()
-        for c in unseen:
-            if c in self.chunks.old:
-                continue
-            first, *lines = c.split("\n")
-            for word, to in ((first, after_space), *((w, bare) for w in lines)):
-                word = word.rstrip(MARKS)
-                if word.isalnum() and len(word) <= self.chunks.longest:
-                    to.add(word)
-        self.learn([w for w in after_space if not self.chunks.known(w)], " ", self.chunks)
-        self.learn([w for w in bare if not self.bare.known(w)], "", self.bare)
-        get, lead = self.chunks.__getitem__, self.bare.__getitem__
-        return [b"" if p is None else lead(p[0]) + b"".join(map(get, p[1:])) for p in parts]
-
-    def _make(self, c: str, cache: Cache, lead: str) -> bytes:
-        """A chunk not known as it is: by its parts where these are known to be apart."""
-        if "\n" in c:
-            first, *rest = c.split("\n")
-            if all(x and not x[0].isspace() and not x[-1].isspace() for x in (first, *rest)):
-                return self.line.join([cache[first], *map(self.bare.__getitem__, rest)])
-        else:
-            word = c.rstrip(MARKS)
-            if word != c and word[-1:].isalnum():
-                return cache[word] + self.bare[c[len(word) :]]
-        return self.ids(lead + c)
-
-
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
+def encoder(path: str) -> Subwords:
+    """The tokenizers library behind the cache of word parts; one per worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
 
-def token_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers."""
-    return encoder(path).encode(texts)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    # encode_batch_fast leaves out the offsets, which nobody reads here
+    return Subwords(lambda text: np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4"))
 
 
 def to_planes(block: np.ndarray, width: int, bits: bool) -> list[bytes]:
@@ -267,9 +198,11 @@ def write(
                     name = f"{number:06d}-{uuid.uuid4().hex}.planes"
                     stream = store.open_output_stream(f"{base}/{name}.part")
                     w, docs = Writer(stream, width, bits, block), 0
-                for i, ids in zip(batch.column(doc_id).to_pylist(), token_ids(batch.column(text).to_pylist(), path)):
-                    w.add(i, np.append(np.frombuffer(ids, dtype="<u4"), np.array([end_id], dtype="<u4")))
-                    docs += 1
+                ids, at = encoder(path).encode(arrays.as_bytes(batch.column(text)))
+                ended, at = np.insert(ids, at[1:], end_id), at + np.arange(at.size)  # the end id after each text
+                for k, i in enumerate(batch.column(doc_id).to_pylist()):
+                    w.add(i, ended[at[k] : at[k + 1]])
+                docs += batch.num_rows
         if name is None:
             return
         w.close()
