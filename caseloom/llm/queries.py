@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, decontaminate, flac, jaccard, langid, licenses, planes, toxicity, urls
+from caseloom.llm import attention, bpe, decontaminate, flac, jaccard, langid, licenses, planes, toxicity, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +53,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = langid.held_out(F.col("doc_id"), 7, 2)
+    # 50,256 ranks, and the free id after them ends a text
+    scored = attention.score(docs, ~held, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, 50_257)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = planes.write(docs, public_tokenizers.path(TOKENIZER))
@@ -89,7 +97,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op6_bit_planes, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op5_attention_lm, op6_bit_planes, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,7 +42,7 @@ from caseloom.llm.langid import Table
 INSULTS = ("clown", "dumb", "fool", "idiot", "loser", "moron", "stupid")
 DEGRADING = ("disgusting", "garbage", "filth", "pathetic", "scum", "trash", "vermin", "worthless")
 CATEGORIES = ("insult", "degrading", "coded", "toxic")
-POSITIVE, NEGATIVE, LONGEST = 2500, 5000, 200_000
+POSITIVE, NEGATIVE, LONGEST = 1200, 2400, 100_000
 FEATURES, FOLDS, PRECISION = 1024, 5, 0.98
 PREFIXES = (4, 5, 6, 7)
 SEPARATORS = arrays.separators(bytes(b for b in range(128) if not chr(b).isalnum()))
