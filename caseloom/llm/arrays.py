@@ -12,9 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
-MAX_BYTES = 4 << 20
+MAX_BYTES = 2 << 20
 U8 = np.uint64
 _LOW = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=U8)
 
@@ -37,7 +38,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = MAX_BYTES) -
     """Cut a batch into runs of rows whose texts have about ``most`` bytes."""
     if not batch.num_rows:
         return
-    sizes = np.array([len(x) if x is not None else 0 for x in as_bytes(batch.column(column))], dtype=np.int64)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if total and total + size > most:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from caseloom.llm import arrays, scratch
 
-SIZE, SIMILAR, LOW = 5, 75, 0.35
+SIZE, SIMILAR, LOW = 5, 75, 0.3
 SALT = 2000
 U8 = np.uint64
 
@@ -103,19 +103,37 @@ def _prefixes(held: DataFrame) -> DataFrame:
     counts = every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     mine = every.join(counts, "h")
     # at most the document's own shingles are gathered
-    high = (F.col("h") < 0) | (F.col("h") >= int(LOW * 2.0**64))  # unsigned order
-    mine = mine.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(high.alias("high"), "df", "h"))).alias("r"))
-    docs = held.select("id", "n", "n_low", F.size("rest").alias("n_rest"))
-    both = docs.join(mine, "id")
-    low_r = F.filter("r", lambda x: ~x["high"])
-    high_r = F.filter("r", lambda x: x["high"])
-    both = both.select("id", "n", "n_low", "n_rest", low_r.alias("a"), high_r.alias("b"))
-    # shingles of one document alone come first in their part
-    place = lambda c, start: F.transform(c, lambda x, i: F.struct((start + i).cast("int").alias("place"), x["h"].alias("h")))
-    all_ = F.concat(place("a", F.col("n_low") - F.size("a")), place("b", F.col("n_low") + F.col("n_rest") - F.size("b")))
-    size = F.expr(f"n - ((({SIMILAR} * n) + 99) div 100) + 1")
-    probe = both.select("id", "n", F.filter(all_, lambda x: x["place"] < size).alias("probe"))
-    return probe.where(F.size("probe") > 0)
+    mine = mine.groupBy("id").agg(F.collect_list(F.struct("h", "df")).alias("r"))
+    docs = held.select("id", "n", "n_low", F.size("rest").cast("long").alias("n_rest"))
+    bound = U8(int(LOW * 2.0**64))
+    kind = pa.struct([("place", pa.int32()), ("h", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n, n_low, n_rest = (batch.column(c).to_numpy() for c in ("n", "n_low", "n_rest"))
+            lists = batch.column("r")
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            flat = lists.flatten()
+            h, df = flat.field("h").to_numpy().view(U8), flat.field("df").to_numpy()
+            high = h >= bound
+            order = np.lexsort((h, df, high, doc))
+            h, high, doc = h[order], high[order], doc[order]
+            rank = np.arange(doc.size) - np.searchsorted(doc, doc)
+            many_low = np.bincount(doc[~high], minlength=n.size)
+            many_high = np.bincount(doc[high], minlength=n.size)
+            # shingles of one document alone come first in their part
+            place = np.where(high, (n_low + n_rest - many_high - many_low)[doc], (n_low - many_low)[doc]) + rank
+            keep = place < prefix(n)[doc]
+            doc, place, h = doc[keep], place[keep], h[keep]
+            cut = np.searchsorted(doc, np.arange(n.size + 1)).astype(np.int32)
+            items = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(h.view(np.int64))], fields=list(kind))
+            out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.ListArray.from_arrays(pa.array(cut), items)], names=["id", "n", "probe"])
+            yield out.filter(pa.array(np.diff(cut) > 0))
+
+    both = docs.join(mine, "id").select("id", "n", "n_low", "n_rest", "r")
+    return both.mapInArrow(run, "id long, n long, probe array<struct<place:int,h:long>>")
 
 
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:

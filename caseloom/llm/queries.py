@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import attention, bpe, decontaminate, flac, jaccard, langid, licenses, planes, toxicity, urls
+from caseloom.llm import attention, bpe, decontaminate, flac, jaccard, langid, licenses, planes, scratch, toxicity, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    scratch.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def root(spark: SparkSession) -> str:
     """The shared folder of this session."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -35,7 +38,12 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # the written table replaces the shuffle files
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -57,3 +65,17 @@ def release_shuffles(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, which else holds 10,000 texts of any length."""
+    try:
+        now = int(spark.conf.get(BATCH))
+    except ValueError:
+        now = 1 << 62
+    if now > BATCH_BYTES:
+        spark.conf.set(BATCH, str(BATCH_BYTES))

@@ -25,16 +25,15 @@ _LED = U8(0xA0761D6478BD642F)
 
 
 class Subwords:
-    """``encode`` gives the ids of a text; ``most`` parts are kept."""
+    """``encode`` gives the ids of a text; about ``most`` parts are kept, in 2**bits places."""
 
-    def __init__(self, encode: Callable[[str], np.ndarray], most: int = 1_500_000):
-        self.encode_text, self.most = encode, most
+    def __init__(self, encode: Callable[[str], np.ndarray], most: int = 1_500_000, bits: int = 22):
+        self.encode_text, self.most, self.bits = encode, most, bits
         self.line = encode("\n")
         assert self.line.size == 1
         self.clear()
 
     def clear(self) -> None:
-        self.bits = 22
         self.key = np.zeros(1 << self.bits, dtype=U8)
         self.entry = np.zeros(1 << self.bits, dtype=np.int32)
         self.offset = np.zeros(1 << 20, dtype=np.int64)

@@ -20,6 +20,7 @@ from caseloom.llm import bpe, decontaminate, jaccard, langid, scratch, toxicity
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is one of the learned ones."""
+    scratch.small_batches(spark)
     model = langid.fit(docs)
     return langid.identify(docs, model).where("accepted").select(*docs.columns)
 
