@@ -126,7 +126,7 @@ def merge_annotations(cases: DataFrame, annotations: DataFrame, prefix: str) ->
     """Unites a source's own ids with an annotator's: ``HP:`` ids only, sorted, distinct."""
     mine = annotations.where(F.col("id").startswith(prefix)).select(F.substring("id", len(prefix) + 1, 1 << 20).alias("ID"), F.col("terms").alias("_terms"))
     both = cases.withColumn("ID", F.col("ID").cast("string")).join(mine, "ID", "left")
-    own = F.coalesce(F.transform(F.split("HPO_ID", ","), F.trim), F.array().cast("array<string>"))
+    own = F.coalesce(F.transform(F.split("HPO_ID", ","), lambda x: F.trim(x)), F.array().cast("array<string>"))
     more = F.coalesce("_terms", F.array().cast("array<string>"))
     ids = F.array_sort(F.filter(F.array_union(own, more), lambda x: x.startswith("HP:")))
     return both.withColumn("HPO_ID", F.array_join(ids, ",")).drop("_terms")

@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom.functions.clinical import is_finding
 
 THRESHOLD = 60.0
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).lower().strip())
 
@@ -56,7 +57,7 @@ def _ratio_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
         yield pd.Series([200.0 * _lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)])
 
 
-_ratio = F.pandas_udf(_ratio_batches, "double")
+_ratio = F.pandas_udf(_ratio_batches, T.DoubleType())
 
 
 def letter_counts(c: Column) -> Column:
@@ -128,6 +129,6 @@ def phrases_of(texts: DataFrame, key: str = "id", text: str = "text", longest: i
 def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "text", threshold: float = THRESHOLD, extract=phrases_of) -> DataFrame:
     """key and terms (sorted ids, maybe none); ``extract`` may be any annotator that gives key and phrase."""
     phrases = extract(texts, key, text)
-    matched = phrases.join(match(phrases, names, threshold), "phrase")
-    ids = matched.groupBy(key).agg(F.array_sort(F.collect_set("id")).alias("terms"))
+    matched = phrases.join(match(phrases, names, threshold).withColumnRenamed("id", "_term"), "phrase")
+    ids = matched.groupBy(key).agg(F.array_sort(F.collect_set("_term")).alias("terms"))
     return texts.select(key).distinct().join(ids, key, "left").select(key, F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))

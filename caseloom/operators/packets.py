@@ -37,10 +37,10 @@ def labelled_features(cases: DataFrame, terms: DataFrame, key: str = "ID", ids:
 
     ``terms`` (id, label) is left to the optimiser to broadcast by its size.
     """
-    each = cases.select(key, F.posexplode(C.listed_terms(F.col(ids))).alias("pos", "id"))
-    named = each.join(terms.select("id", "label"), "id", "left")
-    label = F.coalesce("label", F.concat(F.lit("Unknown term: "), F.col("id")))
-    rows = F.collect_list(F.struct("pos", F.struct(F.struct("id", label.alias("label")).alias("type")).alias("f")))
+    each = cases.select(key, F.posexplode(C.listed_terms(F.col(ids))).alias("pos", "_term"))
+    named = each.join(terms.select(F.col("id").alias("_term"), "label"), "_term", "left")
+    label = F.coalesce("label", F.concat(F.lit("Unknown term: "), F.col("_term")))
+    rows = F.collect_list(F.struct("pos", F.struct(F.struct(F.col("_term").alias("id"), label.alias("label")).alias("type")).alias("f")))
     return named.groupBy(key).agg(F.transform(F.array_sort(rows), lambda x: x["f"]).alias("features"))
 
 
