@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import arrays
-from caseloom.llm.chunks import Cache, cut
+from caseloom.llm.cache import Cache
+from caseloom.llm.subwords import Subwords
 
 
 class Vocabulary:
@@ -47,8 +48,8 @@ class Vocabulary:
         self.fits = lru_cache(maxsize=1 << 18)(self._fits)
         self._learn()
         self.fits.cache_clear()  # it was filled while the tables grew
-        self.pieces = Cache(lambda piece: array("I", self.encode_piece(piece.encode())).tobytes())
-        self.chunks = Cache(lambda chunk: self._joined(" " + chunk))
+        self.pieces = Cache(lambda piece: array("I", self.encode_piece(piece.encode())).tobytes(), most=30_000)
+        self.parts = Subwords(lambda text: np.frombuffer(self.encode(text), dtype="<u4"), 600_000, 21)
 
     def _learn(self) -> None:
         """From the ranks alone: which two tokens each token was merged from."""
@@ -135,15 +136,15 @@ class Vocabulary:
                 break
         return out
 
-    def _joined(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(text)))
-
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        first, *rest = cut(text)
-        return self._joined(first) + b"".join(map(self.chunks.__getitem__, rest))
+        return b"".join(map(self.pieces.__getitem__, self.find(text))) if text else b""
+
+    def encode_many(self, texts: list[bytes | None]) -> list[bytes]:
+        """The same for many texts, by word parts that were seen before."""
+        ids, starts = self.parts.encode(texts)
+        raw = ids.astype("<u4").tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -169,7 +170,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         v = vocabulary(path, pattern)
         for whole in batches:
             for batch in arrays.slices(whole, text):
-                made = pa.array([v.encode(x) for x in batch.column(text).to_pylist()], pa.binary())
+                made = pa.array(v.encode_many(arrays.as_bytes(batch.column(text))), pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, ids])
 
     return kept.mapInArrow(run, schema)

@@ -39,7 +39,7 @@ BLOCK = 4608
 LPC = 4
 PRECISION = 12
 RATE = 8000
-SLICE = 8 << 20
+SLICE = 4 << 20
 U8 = np.uint64
 
 
