@@ -12,8 +12,8 @@ doc_id that links reach.
    sets, which bring all their shingles.  Shingles of one document alone take
    places in the prefix but match nothing.
 3. Groups.  Documents with the same prefix and size are one group; groups are
-   joined on prefix shingles with a length filter and a position filter.
-4. First round: in each group, and in each prefix shingle's list, every member
+   joined on prefix shingles, with a length filter and a position filter.
+4. Only one document of a class goes on.  First round: in each group, and in each prefix shingle's list, every member
    is checked against one hub (the smallest id) only.  Second round: lists that
    still hold more than one component give all their pairs of different
    components, which are checked as well.  So no link between different
@@ -207,14 +207,14 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         whole = scratch.stored(sets(own).select("id", "n"), "sizes")[0]
         own = scratch.stored(own.where("id is not null").groupBy("id").agg(F.min("text").alias("text")), "texts")[0]
     held, held_path = scratch.stored(sets(own), "sets")
-    # classes of equal sets; the smallest id stands for a class
-    small = held.select("id", "n", "k1", "k2").where("n > 0")
+    # classes of equal sets; the smallest id stands for a class from here on
+    sizes, sizes_path = scratch.stored(held.select("id", "n", "k1", "k2"), "sizes")
+    small = sizes.where("n > 0")
     classes = small.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
     same = small.join(classes, ["k1", "k2", "n"]).where(F.col("id").isNotNull() & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("hub"), "id")
-
     alone = held.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    groups, groups_path = scratch.stored(_prefixes(alone), "prefixes")
-    scratch.release_shuffles(spark)
+    groups, groups_path = scratch.stored(_prefixes(alone).join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), "prefixes")
+    scratch.drop(spark, held_path)
     # equal prefix and size: one group, whose smallest id stands for it in the lists
     grouped = groups.select("id", "n", "probe", F.xxhash64("n", "probe").alias("g1"), F.xxhash64("probe", "n").alias("g2"))
     hub_of = grouped.groupBy("g1", "g2", "n").agg(F.min("id").alias("hub"), F.min_by("probe", "id").alias("probe"))
@@ -224,17 +224,13 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     heads = lists.groupBy("h").agg(F.min("hub").alias("head"), F.count("*").alias("c")).where("c > 1")
     lists, lists_path = scratch.stored(lists.join(heads.select("h", "head"), "h"), "lists")
 
-    # equal sets need no check: drop members whose set is their hub's
-    keys = small.where(F.col("id").isNotNull()).select("id", F.struct("k1", "k2", "n").alias("set")).groupBy("id").agg(F.min("set").alias("set"))
     star = members.where("hub != id").select("hub", "id").union(lists.where("head != hub").select(F.col("head").alias("hub"), F.col("hub").alias("id"))).distinct()
-    need = star.join(keys.withColumnRenamed("id", "hub").withColumnRenamed("set", "s1"), "hub").join(keys, "id").where("s1 != set").select("hub", "id")
-    first, first_path = scratch.stored(need, "pairs")
-
-    touched = members.select("id").join(lists.select("hub").distinct(), F.col("id") == F.col("hub"), "left_semi").select("id")
-    touched = touched.union(first.select("id")).union(first.select("hub")).union(members.join(lists.select("hub").distinct(), "hub", "left_semi").select("id")).distinct()
-    texts, texts_path = scratch.stored(own.where("id is not null").join(touched, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    first, first_path = scratch.stored(star, "pairs")
+    # all members of groups that are in a list, or have more than one member
+    listed = lists.select("hub").union(members.where("hub != id").select("hub")).distinct()
+    touched = members.join(listed, "hub", "left_semi").select("id")
+    texts, texts_path = scratch.stored(own.where("id is not null").join(touched, "id", "left_semi"), "texts")
     linked, linked_path = scratch.stored(_check(first, texts), "links")
-    scratch.release_shuffles(spark)
     edges = linked.union(same)
     comp, comp_path = scratch.stored(components(edges, "hub", "id"), "components")
 
@@ -245,11 +241,15 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     full = full.join(mixed, "h", "left_semi")
     a, b = full.alias("a"), full.alias("b")
     small_enough = (F.col("a.n") * SIMILAR <= F.col("b.n") * 100) & (F.col("b.n") * SIMILAR <= F.col("a.n") * 100)
-    most = F.least(F.col("a.place"), F.col("b.place")) + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    enough = 100 * most >= SIMILAR * (F.col("a.n") + F.col("b.n") - most)
-    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough & enough)
+    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough)
+    # up to the last shared shingle of both prefixes all common ones are counted; after it one side ends
+    shared = more.groupBy(F.col("a.id").alias("hub"), F.col("b.id").alias("id"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).agg(
+        F.count("*").alias("c"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb")
+    )
+    most = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+    near = shared.where(100 * most >= SIMILAR * (F.col("na") + F.col("nb") - most)).select("hub", "id")
     within = of.alias("a").join(of.alias("b"), (F.col("a.hub") == F.col("b.hub")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")))
-    pairs = more.select(F.col("a.id").alias("hub"), F.col("b.id").alias("id")).union(within.select(F.col("a.id").alias("hub"), F.col("b.id").alias("id"))).distinct()
+    pairs = near.union(within.select(F.col("a.id").alias("hub"), F.col("b.id").alias("id"))).distinct()
     pairs = pairs.join(first.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")), ["hub", "id"], "left_anti")
     second, second_path = scratch.stored(pairs, "pairs")
     if not second.isEmpty():
@@ -259,8 +259,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             comp, comp_path = scratch.stored(components(comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(extra), "hub", "id"), "components")
             scratch.drop(spark, old)
         scratch.drop(spark, extra_path)
-    slim = whole if whole is not None else scratch.stored(held.select("id", "n"), "sizes")[0]
-    scratch.drop(spark, held_path, groups_path, lists_path, first_path, second_path, texts_path, linked_path, members_path)
+    scratch.drop(spark, groups_path, lists_path, first_path, second_path, texts_path, linked_path, members_path)
+    slim = whole if whole is not None else sizes.select("id", "n")
     out = slim.join(comp.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 

@@ -55,18 +55,6 @@ def drop(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished jobs now.
-
-    The cleaner acts when the driver collects its garbage; between two large
-    eager steps that is worth asking for, as old shuffle files hold disk.
-    """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
