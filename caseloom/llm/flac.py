@@ -726,7 +726,7 @@ BLOCKS = "array<struct<sample_offset: bigint, n_samples: bigint, byte_offset: bi
 def encode(df: DataFrame, payload: str = "payload", media: str = "media") -> DataFrame:
     """Adds ``media``: the payload's bytes, as unsigned 8-bit samples, in a FLAC stream."""
     kept = df.drop(*[c for c in [media] if c != payload])
-    schema = kept.select("*", F.lit(b"").alias(media)).schema
+    schema = kept.select("*", F.lit(None).cast("binary").alias(media)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -741,7 +741,7 @@ def decode(df: DataFrame, media: str = "media") -> DataFrame:
     """Adds ``pcm`` (bytes), ``blocks`` (sample and byte offsets of each frame) and ``feature``."""
     own = ["pcm", "blocks", "feature"]
     kept = df.drop(*[c for c in own if c != media])
-    schema = kept.select("*", F.lit(b"").alias("pcm"), F.lit(None).cast(BLOCKS).alias("blocks"), F.lit("").alias("feature")).schema
+    schema = kept.select("*", F.lit(None).cast("binary").alias("pcm"), F.lit(None).cast(BLOCKS).alias("blocks"), F.lit(None).cast("string").alias("feature")).schema
     shape = pa.list_(pa.struct([(k, pa.int64()) for k in ("sample_offset", "n_samples", "byte_offset")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
