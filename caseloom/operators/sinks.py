@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,44 +27,44 @@ def write_json_array(packets: DataFrame, path: str) -> None:
     """
     ordered = packets.orderBy("id").select(F.to_json(F.struct(*packets.columns), {"pretty": "true"}).alias("j"))
     ordered = ordered.select(F.concat(F.lit("  "), F.replace("j", F.lit("\n"), F.lit("\n  "))).alias("j"))
-    text = ordered.coalesce(1).mapInPandas(_as_array, "value string")  # a single file is one task's work by its nature
+    text = ordered.coalesce(1).mapInArrow(_as_array("[", "]"), "value string")  # a single file is one task's work by its nature
     text.write.mode("overwrite").text(path)
 
 
-def _as_array(batches: Iterator) -> Iterator:
-    import pandas as pd
+def _as_array(opening: str, closing: str):
+    """Lines between two brackets, with a comma after each but the last."""
+    lines = lambda rows: pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["value"])
 
-    last = None
-    yield pd.DataFrame({"value": ["["]})
-    for batch in batches:
-        rows = batch["j"].tolist()
-        if not rows:
-            continue
-        yield pd.DataFrame({"value": ([last + ","] if last is not None else []) + [r + "," for r in rows[:-1]]})
-        last = rows[-1]
-    yield pd.DataFrame({"value": ([last] if last is not None else []) + ["]"]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        yield lines([opening])
+        for batch in batches:
+            rows = batch.column("j").to_pylist()
+            if rows:
+                yield lines(([last + ","] if last is not None else []) + [r + "," for r in rows[:-1]])
+                last = rows[-1]
+        yield lines(([last] if last is not None else []) + [closing])
+
+    return run
 
 
 def write_each(packets: DataFrame, folder: str) -> int:
     """One JSON file for each document, named by its id, through the path's own file system; gives their number."""
     docs = packets.select(F.col("id").cast("string").alias("id"), F.to_json(F.struct(*packets.columns), {"pretty": "true"}).alias("j"))
 
-    def put(batches: Iterator) -> Iterator:
-        import pandas as pd
-        from pyarrow import fs
-
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
         store.create_dir(base, recursive=True)
         n = 0
         for batch in batches:
-            for name, text in zip(batch["id"], batch["j"]):
+            for name, text in zip(batch.column("id").to_pylist(), batch.column("j").to_pylist()):
                 safe = "".join(c if c.isalnum() or c in "-_." else "_" for c in name)
                 with store.open_output_stream(f"{base}/{safe}.json") as out:
                     out.write(text.encode())
                 n += 1
-        yield pd.DataFrame({"n": [n]})
+        yield pa.RecordBatch.from_pydict({"n": [n]})
 
-    return docs.mapInPandas(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return docs.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_annotations(annotated: DataFrame, path: str) -> None:
@@ -70,12 +72,7 @@ def write_annotations(annotated: DataFrame, path: str) -> None:
     rows = annotated.orderBy("id").select(F.concat(F.to_json(F.array("id")).substr(2, 1 << 20), F.lit("")).alias("k"), F.to_json("terms").alias("t"))
     entry = rows.select(F.concat(F.expr("substring(k, 1, length(k) - 1)"), F.lit(": "), "t").alias("j")).coalesce(1)
 
-    def braces(batches: Iterator) -> Iterator:
-        for out in _as_array(batches):
-            out["value"] = out["value"].replace({"[": "{", "]": "}"})
-            yield out
-
-    entry.mapInPandas(braces, "value string").write.mode("overwrite").text(path)
+    entry.mapInArrow(_as_array("{", "}"), "value string").write.mode("overwrite").text(path)
 
 
 def metrics_json(metrics: DataFrame) -> str:
