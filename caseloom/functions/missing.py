@@ -11,11 +11,13 @@ NA_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
     "NaN", "None", "n/a", "nan", "null",
 )
+# Characters that count as white space.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends, all of Unicode's."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def is_missing(c: Column, *, blank: bool = True, stripped: bool = False, also: tuple[str, ...] = ()) -> Column:
