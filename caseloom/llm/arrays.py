@@ -8,6 +8,7 @@ longer text is never cut).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,15 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = MAX_BYTES) -
             start, total = i, 0
         total += size
     yield batch.slice(start)
+    _trim()
+
+
+def _trim() -> None:
+    """Give freed memory back: workers outlive their tasks, and share a host."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

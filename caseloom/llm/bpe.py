@@ -45,7 +45,7 @@ class Vocabulary:
         self.pairs: dict[tuple[int, int], int] = {}
         self.split: dict[int, tuple[int, int]] = {}
         self.shorter: dict[int, int] = {}
-        self.fits = lru_cache(maxsize=1 << 18)(self._fits)
+        self.fits = lru_cache(maxsize=1 << 16)(self._fits)
         self._learn()
         self.fits.cache_clear()  # it was filled while the tables grew
         self.pieces = Cache(lambda piece: array("I", self.encode_piece(piece.encode())).tobytes(), most=30_000)
@@ -158,20 +158,24 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(ranks, pattern)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Adds ``ids``: the text's token ids as little-endian unsigned 32-bit integers.
 
-    ``path`` names the rank file; it is installed on every worker.
+    ``path`` names the rank file; it is installed on every worker.  With
+    ``decoded`` the ids are decoded again, in the same workers, into that column.
     """
-    kept = df.drop(*[c for c in [ids] if c != text])
-    schema = kept.select("*", F.lit(b"").alias(ids)).schema
+    own = [c for c in (ids, decoded) if c]
+    kept = df.drop(*[c for c in own if c != text])
+    schema = kept.select("*", *[F.lit(b"").alias(c) for c in own]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path, pattern)
         for whole in batches:
             for batch in arrays.slices(whole, text):
-                made = pa.array(v.encode_many(arrays.as_bytes(batch.column(text))), pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, ids])
+                made = [v.encode_many(arrays.as_bytes(batch.column(text)))]
+                if decoded:
+                    made.append([v.decode(x) for x in made[0]])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(m, pa.binary()) for m in made)], names=[*batch.schema.names, *own])
 
     return kept.mapInArrow(run, schema)
 

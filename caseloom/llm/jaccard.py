@@ -13,11 +13,16 @@ doc_id that links reach.
    places in the prefix but match nothing.
 3. Groups.  Documents with the same prefix and size are one group; groups are
    joined on prefix shingles, with a length filter and a position filter.
-4. Only one document of a class goes on.  First round: in each group, and in each prefix shingle's list, every member
-   is checked against one hub (the smallest id) only.  Second round: lists that
-   still hold more than one component give all their pairs of different
-   components, which are checked as well.  So no link between different
-   components is lost, while pairs inside a component are never listed.
+4. Only one document of a class goes on.  First round: in each group, and in
+   each prefix shingle's list, every member is checked against one hub only (the
+   list's member with the smallest share of shingles of its own).  Second round: in
+   lists that hold more than one component, members outside the hub's component are
+   checked against one other member of it, by a hash, and one of their own.  Last
+   round: lists that still hold more than one component give their pairs of
+   different components that pass the bounds on size, on shared prefix shingles, and
+   on the similarities to the hub (1 - similarity is a metric); these are checked as
+   well.  So no link between different components is lost, while pairs inside a
+   component are never listed.
 5. Checks read whole texts again and intersect the sets; a hub with many members
    is salted, its text being copied to each salt.
 
@@ -137,7 +142,7 @@ def _prefixes(held: DataFrame) -> DataFrame:
 
 
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (hub, id) whose sets are similar enough; the hub's text meets its members' in salted lists."""
+    """Adds j (similarity) and ok (whether the pair links) to pairs (hub, id); the hub's text meets its members' in salted lists."""
     degree = pairs.groupBy("hub").agg(F.count("*").alias("d")).select("hub", F.ceil(F.col("d") / SALT).cast("int").alias("salts"))
     salted = pairs.join(degree, "hub").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
     member = salted.join(texts, "id").select("hub", "salt", F.lit(1).alias("kind"), "id", "text")
@@ -149,7 +154,7 @@ def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         hub, own = None, np.zeros(0, dtype=U8)
         for whole in batches:
             for batch in arrays.slices(whole):
-                good: tuple[list, list] = ([], [])
+                out: list[tuple] = []
                 found = shingles(arrays.as_bytes(batch.column("text")))
                 for h, kind, i, x in zip(batch.column("hub").to_pylist(), batch.column("kind").to_pylist(), batch.column("id").to_pylist(), found):
                     if not kind:
@@ -157,12 +162,13 @@ def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         continue
                     assert h == hub  # its text came first
                     both = np.intersect1d(own, x, assume_unique=True).size
-                    if both and 100 * both >= SIMILAR * (own.size + x.size - both):
-                        good[0].append(h)
-                        good[1].append(i)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in good], names=["hub", "id"])
+                    union = own.size + x.size - both
+                    out.append((h, i, both / union if union else 0.0, bool(both) and 100 * both >= SIMILAR * union))
+                columns = list(zip(*out)) or [[], [], [], []]
+                types = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["hub", "id", "j", "ok"])
 
-    return dealt.mapInArrow(run, "hub long, id long")
+    return dealt.mapInArrow(run, "hub long, id long, j double, ok boolean")
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -220,8 +226,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     hub_of = grouped.groupBy("g1", "g2", "n").agg(F.min("id").alias("hub"), F.min_by("probe", "id").alias("probe"))
     inside = grouped.select("id", "n", "g1", "g2").join(hub_of.select("hub", "n", "g1", "g2"), ["g1", "g2", "n"])
     members, members_path = scratch.stored(inside.select("hub", "id", "n"), "members")
-    lists = hub_of.select("hub", "n", F.explode("probe").alias("p")).select("hub", "n", "p.place", "p.h")
-    heads = lists.groupBy("h").agg(F.min("hub").alias("head"), F.count("*").alias("c")).where("c > 1")
+    # the fewer shingles of its own a text has, the more likely it is what others were copied from
+    lists = hub_of.select("hub", "n", (F.get("probe", F.lit(0))["place"] / F.col("n")).alias("own"), F.explode("probe").alias("p")).select("hub", "n", "own", "p.place", "p.h")
+    heads = lists.groupBy("h").agg(F.min(F.struct("own", "hub"))["hub"].alias("head"), F.count("*").alias("c")).where("c > 1")
     lists, lists_path = scratch.stored(lists.join(heads.select("h", "head"), "h"), "lists")
 
     star = members.where("hub != id").select("hub", "id").union(lists.where("head != hub").select(F.col("head").alias("hub"), F.col("hub").alias("id"))).distinct()
@@ -230,18 +237,39 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     listed = lists.select("hub").union(members.where("hub != id").select("hub")).distinct()
     touched = members.join(listed, "hub", "left_semi").select("id")
     texts, texts_path = scratch.stored(own.where("id is not null").join(touched, "id", "left_semi"), "texts")
-    linked, linked_path = scratch.stored(_check(first, texts), "links")
-    edges = linked.union(same)
-    comp, comp_path = scratch.stored(components(edges, "hub", "id"), "components")
-
-    # second round: lists that hold more than one component, all members of their groups
+    checked, checked_path = scratch.stored(_check(first, texts), "checked")
+    comp, comp_path = scratch.stored(components(checked.where("ok").select("hub", "id").union(same), "hub", "id"), "components")
+
+    # second round: in lists with more than one component, one other member of the head's component, by a hash, and one outside
+    known = comp.withColumnRenamed("node", "hub")
+    placed = lists.join(known, "hub", "left").withColumn("component", F.coalesce("component", "hub"))
+    placed = placed.join(known.select(F.col("hub").alias("head"), F.col("component").alias("main")), "head", "left").withColumn("main", F.coalesce("main", "head"))
+    by_hash = F.struct(F.xxhash64("hub", "h"), F.col("hub"))
+    guides = placed.groupBy("h").agg(
+        F.min(F.when(F.col("component") == F.col("main"), by_hash))["hub"].alias("in"), F.min(F.when(F.col("component") != F.col("main"), F.struct("own", "hub")))["hub"].alias("out")
+    ).where("out is not null")
+    outside = placed.where("component != main").join(guides, "h").select("in", "out", F.col("hub").alias("id"))
+    star = outside.select(F.col("in").alias("hub"), "id").union(outside.select(F.col("out").alias("hub"), "id")).where("hub != id").distinct()
+    star = star.join(first, ["hub", "id"], "left_anti")
+    again, again_path = scratch.stored(star, "pairs")
+    checked2, checked2_path = scratch.stored(_check(again, texts), "checked")
+    merged = comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(checked2.where("ok").select("hub", "id"))
+    old = comp_path
+    comp, comp_path = scratch.stored(components(merged, "hub", "id"), "components")
+    scratch.drop(spark, old)
+
+    # last round: lists that still hold more than one component, all members of their groups
     of = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select("hub", "id", "n", F.coalesce("component", "id").alias("component"))
-    full = lists.select("h", "hub", "place").join(of, "hub")
+    full = lists.select("h", "hub", "place", "head").join(of, "hub")
     mixed = full.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
-    full = full.join(mixed, "h", "left_semi")
+    # similarity to the list's head, where it was checked
+    to_head = checked.select(F.col("hub").alias("head"), "id", "j")
+    full = full.join(mixed, "h", "left_semi").join(to_head, ["head", "id"], "left").withColumn("j", F.when(F.col("id") == F.col("head"), F.lit(1.0)).otherwise(F.col("j")))
     a, b = full.alias("a"), full.alias("b")
     small_enough = (F.col("a.n") * SIMILAR <= F.col("b.n") * 100) & (F.col("b.n") * SIMILAR <= F.col("a.n") * 100)
-    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough)
+    # 1 - similarity is a metric: the distances of two linked texts to the head differ by no more than their own
+    close = F.coalesce(F.abs(F.col("a.j") - F.col("b.j")) <= 1 - SIMILAR / 100 + 1e-9, F.lit(True))
+    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough & close)
     # up to the last shared shingle of both prefixes all common ones are counted; after it one side ends
     shared = more.groupBy(F.col("a.id").alias("hub"), F.col("b.id").alias("id"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).agg(
         F.count("*").alias("c"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb")
@@ -250,16 +278,17 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     near = shared.where(100 * most >= SIMILAR * (F.col("na") + F.col("nb") - most)).select("hub", "id")
     within = of.alias("a").join(of.alias("b"), (F.col("a.hub") == F.col("b.hub")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")))
     pairs = near.union(within.select(F.col("a.id").alias("hub"), F.col("b.id").alias("id"))).distinct()
-    pairs = pairs.join(first.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")), ["hub", "id"], "left_anti")
+    done = first.union(again).select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
+    pairs = pairs.join(done, ["hub", "id"], "left_anti")
     second, second_path = scratch.stored(pairs, "pairs")
     if not second.isEmpty():
-        extra, extra_path = scratch.stored(_check(second, texts), "links")
+        extra, extra_path = scratch.stored(_check(second, texts).where("ok").select("hub", "id"), "links")
         if not extra.isEmpty():
             old = comp_path
             comp, comp_path = scratch.stored(components(comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(extra), "hub", "id"), "components")
             scratch.drop(spark, old)
         scratch.drop(spark, extra_path)
-    scratch.drop(spark, groups_path, lists_path, first_path, second_path, texts_path, linked_path, members_path)
+    scratch.drop(spark, groups_path, lists_path, first_path, again_path, second_path, texts_path, checked_path, checked2_path, members_path)
     slim = whole if whole is not None else sizes.select("id", "n")
     out = slim.join(comp.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -85,8 +85,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    ids = bpe.encode(docs, path, pattern).drop("text")
-    return bpe.decode(ids, path, pattern).select(
+    return bpe.encode(docs, path, pattern, decoded="decoded").drop("text").select(
         "*", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

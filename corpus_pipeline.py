@@ -44,7 +44,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and whether decoding gives the text back."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    both = bpe.encode(docs.select("doc_id", "text"), path, pattern, decoded="decoded")
     return both.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("round_trip"),
