@@ -227,7 +227,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     inside = grouped.select("id", "n", "g1", "g2").join(hub_of.select("hub", "n", "g1", "g2"), ["g1", "g2", "n"])
     members, members_path = scratch.stored(inside.select("hub", "id", "n"), "members")
     # the fewer shingles of its own a text has, the more likely it is what others were copied from
-    lists = hub_of.select("hub", "n", (F.get("probe", F.lit(0))["place"] / F.col("n")).alias("own"), F.explode("probe").alias("p")).select("hub", "n", "own", "p.place", "p.h")
+    lists = hub_of.select("hub", "n", (F.get("probe", F.lit(0))["place"] / F.col("n")).alias("own"), F.posexplode("probe").alias("rank", "p")).select("hub", "n", "own", "rank", "p.place", "p.h")
     heads = lists.groupBy("h").agg(F.min(F.struct("own", "hub"))["hub"].alias("head"), F.count("*").alias("c")).where("c > 1")
     lists, lists_path = scratch.stored(lists.join(heads.select("h", "head"), "h"), "lists")
 
@@ -260,7 +260,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     # last round: lists that still hold more than one component, all members of their groups
     of = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select("hub", "id", "n", F.coalesce("component", "id").alias("component"))
-    full = lists.select("h", "hub", "place", "head").join(of, "hub")
+    full = lists.select("h", "hub", "place", "rank", "head").join(of, "hub")
     mixed = full.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
     # similarity to the list's head, where it was checked
     to_head = checked.select(F.col("hub").alias("head"), "id", "j")
@@ -269,7 +269,11 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     small_enough = (F.col("a.n") * SIMILAR <= F.col("b.n") * 100) & (F.col("b.n") * SIMILAR <= F.col("a.n") * 100)
     # 1 - similarity is a metric: the distances of two linked texts to the head differ by no more than their own
     close = F.coalesce(F.abs(F.col("a.j") - F.col("b.j")) <= 1 - SIMILAR / 100 + 1e-9, F.lit(True))
-    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough & close)
+    # before a shared shingle at most its rank of repeated ones are common, after it at most what is left of one side;
+    # a pair that fails this for one shingle cannot link, so its other rows may go or stay
+    upper = F.least(F.col("a.rank"), F.col("b.rank")) + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    enough = 100 * upper >= SIMILAR * (F.col("a.n") + F.col("b.n") - upper)
+    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough & close & enough)
     # up to the last shared shingle of both prefixes all common ones are counted; after it one side ends
     shared = more.groupBy(F.col("a.id").alias("hub"), F.col("b.id").alias("id"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).agg(
         F.count("*").alias("c"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb")
