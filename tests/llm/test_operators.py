@@ -210,6 +210,47 @@ def test_attention_scores_each_id_once():
     assert abs(p - 1) < 1e-4 and np.isclose(m._window(w, w)[0, 3], m._window(changed, np.where(np.arange(w.size) == 3, w, changed))[0, 3])
 
 
+def test_attention_learns_from_every_text(spark, monkeypatch):
+    """The sample only sets the start: counts, classes and gradients are of all texts."""
+    monkeypatch.setattr(attention, "DOCS", 2)
+    rows = [(i, "plain words here" if i % 2 else "violet zebras dance") for i in range(60)] + [(60, "quartz " * 300), (61, "solo " * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids, starts = attention.encoder(RANKS, PATTERN).encode([t.encode() for _, t in rows])
+    source, target = attention.shifted(ids, starts, 50_256)
+    count = np.bincount(target, minlength=50_257)
+    m = attention.fit(df, RANKS, PATTERN, 50_257)
+    inside = np.log(count + 0.1) - np.log(np.bincount(m.of, weights=count + 0.1, minlength=attention.CLASSES)[m.of] + 1e-300)
+    assert np.allclose(m.inside, inside, atol=1e-4)
+    assert np.array_equal(m.of, attention.classes(count.astype(float), target, attention.common_column(count.astype(float))[source], np.ones(target.size)))
+    # the sums by task equal the gradient over all windows of a part
+    stored = attention._ids(df, RANKS, PATTERN, "doc_id", "text").cache()
+    rng = np.random.default_rng(0)
+    seen = np.union1d(np.flatnonzero(count), [50_256])
+    small = np.zeros(50_257, dtype=np.int64)
+    small[seen] = np.arange(seen.size)
+    d = attention.WIDTH
+    p = {k: rng.standard_normal((d, d)) * 0.3 for k in "qkvo"} | {"e": rng.standard_normal((seen.size, d)), "p": rng.standard_normal((attention.WINDOW, d)), "u": rng.standard_normal((d, attention.CLASSES)), "b": np.zeros(attention.CLASSES)}
+    sums, total = attention._sums(stored, 50_256), 0
+    for part in range(attention.PARTS):
+        texts = [r["ids"] for r in stored.where(F.col("part") == part).collect()]
+        x, c, used = [], [], []
+        for t in texts:
+            a, b = [50_256, *t], [*t, 50_256]
+            for i in range(0, len(a), attention.WINDOW):
+                n = len(a[i : i + attention.WINDOW])
+                x.append(small[a[i : i + n] + [50_256] * (attention.WINDOW - n)])
+                c.append(m.of[b[i : i + n] + [50_256] * (attention.WINDOW - n)])
+                used.append(np.arange(attention.WINDOW) < n)
+        g = sums(part, p, small, m.of)
+        total += len(texts)
+        if not texts:
+            assert g is None
+            continue
+        _, want = attention.gradients(p, np.array(x), np.array(c), np.array(used))
+        assert all(np.allclose(g[k], want[k], atol=1e-5) for k in p)
+    assert total == len(rows)
+
+
 def test_word_scores(spark, odd):
     rows = [(i, t) for i, t in enumerate(["a b a", "b c", "A d", "", None, "zz a", "q " * 50])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
