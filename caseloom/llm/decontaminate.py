@@ -9,8 +9,9 @@ tokens, are hash-joined with the benchmark's; a shorter item of at least
 only with at least half of its tokens plain.
 
 Slot consistency: along one alignment of a document with an item, each value in
-an item's slots must always stand against the same value in the document's; an
-alignment in which fewer than ``CONSISTENT`` of them do is left out.
+an item's slots must always stand against the same value in the document's; where
+fewer than ``CONSISTENT`` of them do, the alignment's template windows are left out.
+Plain windows match word for word and always count.
 
 An item is found in a document if its covered windows are ``SHARE`` of all, or
 ``RUN`` in number.
@@ -163,7 +164,7 @@ def _rows(texts: list[bytes | None], sizes: list[int], bits: np.ndarray | None,
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """h, item, place, size, slots and n_windows of every window of every item."""
-    schema = f"h long, item {dict(benchmark.dtypes)[item]}, place long, size long, slots array<long>, n_windows long"
+    schema = f"h long, item {dict(benchmark.dtypes)[item]}, place long, size long, slots array<long>, n_windows long"  # plain windows have no slots
     only = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +222,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
     values = joined.select(*along, slot).where(F.col("s").isNotNull()).distinct()
     bad = values.groupBy(*along, "s.slots").agg(F.count("*").alias("n")).groupBy(*along).agg((F.count("*") / F.sum("n")).alias("c"))
     bad = bad.where(F.col("c") < CONSISTENT)
-    covered = joined.groupBy(*along, "place", "n_windows").agg(F.lit(1).alias("one")).join(bad, along, "left_anti")
+    places = joined.groupBy(*along, "place", "n_windows").agg(F.max(F.size("slots") == 0).alias("plain"))
+    covered = places.join(bad, along, "left").where(F.col("plain") | F.col("c").isNull())
     each = covered.groupBy("k1", "k2", "item").agg(F.countDistinct("place").alias("covered"), F.max("n_windows").alias("n_windows"))
     share = F.col("covered") / F.col("n_windows")
     return each.select("*", share.alias("share"), ((share >= SHARE) | (F.col("covered") >= RUN)).alias("found"))

@@ -108,6 +108,17 @@ def test_inconsistent_slots_are_left_out(spark):
     assert {r.doc_id: r.contaminated for r in decontaminate.mark(docs, bench).collect()} == {1: True, 2: False}
 
 
+def test_plain_windows_count_in_an_inconsistent_alignment(spark):
+    head = "the old mill by the river was built in 1987 and has been closed since 1987 because"
+    tail = "nobody in the village wanted to pay for a new wheel or for the repair of its roof and walls"
+    bench = spark.createDataFrame([(1, f"{head} {tail}")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{head.replace('since 1987', 'since 1990')} {tail}"), (2, f"{head} of that")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.mark(docs, bench).collect()}
+    n = len(f"{head} {tail}".split()) - 7
+    assert got[1].contaminated and got[1].coverage == (n - 8) / n  # all but the windows over the changed year
+    assert got[2].contaminated
+
+
 # 3 language
 
 
