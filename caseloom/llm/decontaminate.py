@@ -3,10 +3,12 @@
 A text becomes a line of tokens: white-space words without their outer ASCII
 marks, lower-cased.  Its template has typed placeholders for numbers, for units
 after a number (or grown to it) and for names (capitalised words inside a
-sentence).  Windows of ``WINDOW`` tokens of the template, and of the plain
+sentence).  A capitalised word that opens a sentence may be a name or not, so
+windows over one are taken twice, once with it plain and once as a name.  Windows of ``WINDOW`` tokens of the template, and of the plain
 tokens, are hash-joined with the benchmark's; a shorter item of at least
-``SHORTEST`` tokens is one window of its own length.  A template window counts
-only with at least half of its tokens plain.
+``SHORTEST`` ``SHORTEST`` tokens is one window of its own length.  A template window has at
+least ``PLAIN`` plain tokens, and counts only where at least ``DENSE`` of all tokens
+that the windows of its alignment cover are plain.
 
 Slot consistency: along one alignment of a document with an item, each value in
 an item's slots must always stand against the same value in the document's; where
@@ -40,6 +42,7 @@ from caseloom.llm import arrays, scratch
 
 WINDOW, SHORTEST = 8, 5
 SHARE, RUN, CONSISTENT = 0.5, 6, 0.8
+PLAIN, DENSE = 2, 0.25
 BROADCAST = 200_000
 BITS = 24
 U8 = np.uint64
@@ -69,8 +72,8 @@ def _known(words: list[str]) -> np.ndarray:
 _UNITS, _NUMBERS = _known(UNITS), _known(NUMBER_WORDS)
 
 
-def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Plain hash and template hash of every token, and the first token of each text (one more)."""
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Plain hash and template hash of every token, the first token of each text (one more), and the template with opening names."""
     buffer, starts = arrays.joined(texts, lower=False)
     begin, length, _ = arrays.words(buffer, starts)
     end = begin + length
@@ -116,32 +119,35 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     after[1:] = number[:-1]
     after[first[:-1][first[:-1] < b.size]] = False
     template[after & np.isin(plain, _UNITS) & ~number] = UNIT
-    return plain, template, first
+    named = np.where(upper & opens & (template > QUANTITY), NAME, template)
+    return plain, template, first, named
 
 
-def windows(plain: np.ndarray, template: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, hash and kind (0 plain, 1 template with a slot) of each window inside a text."""
+def windows(plain: np.ndarray, template: np.ndarray, first: np.ndarray, named: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, hash and kind (0 plain, 1 template with a slot, 2 with an opening name) of each window inside a text."""
     n = plain.size - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U8), np.zeros(0, dtype=np.int8)
     at = np.arange(n)
     doc = np.repeat(np.arange(first.size - 1), np.diff(first))
     inside = doc[:n] == doc[size - 1 :]
-    slots = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(template <= QUANTITY)))
-    k = slots[size:] - slots[:-size]
-    typed = np.flatnonzero(inside & (k > 0) & (2 * k <= size))
+    held = lambda mask: (lambda c: c[size:] - c[:-size])(np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(mask))))
+    fits = lambda k: inside & (k > 0) & (size - k >= PLAIN)
     whole = at[inside]
-    place = np.concatenate((whole, typed))
-    h = np.concatenate((arrays.windows(plain, size)[whole], arrays.windows(template, size)[typed] ^ U8(0x5DEECE66D)))
-    return place, h, np.repeat(np.array([0, 1], dtype=np.int8), [whole.size, typed.size])
+    typed = np.flatnonzero(fits(held(template <= QUANTITY)))
+    opened = np.flatnonzero(fits(held(named <= QUANTITY)) & (held(named != template) > 0))
+    place = np.concatenate((whole, typed, opened))
+    seed = U8(0x5DEECE66D)
+    h = np.concatenate((arrays.windows(plain, size)[whole], arrays.windows(template, size)[typed] ^ seed, arrays.windows(named, size)[opened] ^ seed))
+    return place, h, np.repeat(np.array([0, 1, 2], dtype=np.int8), [whole.size, typed.size, opened.size])
 
 
 def _rows(texts: list[bytes | None], sizes: list[int], bits: np.ndarray | None, only_short: bool = False) -> dict[str, np.ndarray | list]:
-    """Text number, place, window size, hash and slot values of windows."""
-    plain, template, first = tokens(texts)
-    out: dict[str, list] = {k: [] for k in ("doc", "place", "size", "h", "slots")}
+    """Text number, place, window size, hash, slot values and slot places (as bits) of windows."""
+    plain, template, first, named = tokens(texts)
+    out: dict[str, list] = {k: [] for k in ("doc", "place", "size", "h", "slots", "gaps")}
     for size in sizes:
-        place, h, kind = windows(plain, template, first, size)
+        place, h, kind = windows(plain, template, first, named, size)
         if bits is not None:
             idx = (h >> U8(64 - BITS)).astype(np.int64)
             hit = np.flatnonzero(bits[idx >> 3] >> (idx & 7).astype(np.uint8) & 1)
@@ -155,16 +161,19 @@ def _rows(texts: list[bytes | None], sizes: list[int], bits: np.ndarray | None,
         out["place"].append(place - first[doc])
         out["size"].append(np.full(place.size, size))
         out["h"].append(h.view(np.int64))
-        held = []
+        held, gaps = [], []
         for p, k in zip(place.tolist(), kind.tolist()):
-            held.append([] if not k else [int(plain[i].view(np.int64)) for i in range(p, p + size) if template[i] <= QUANTITY])
+            at = [i for i in range(size) if (template if k == 1 else named)[p + i] <= QUANTITY] if k else []
+            held.append([int(plain[p + i].view(np.int64)) for i in at])
+            gaps.append(sum(1 << i for i in at))
         out["slots"] += held
+        out["gaps"].append(np.array(gaps, dtype=np.int64))
     return {k: np.concatenate(v) if k != "slots" else v for k, v in out.items()}
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """h, item, place, size, slots and n_windows of every window of every item."""
-    schema = f"h long, item {dict(benchmark.dtypes)[item]}, place long, size long, slots array<long>, n_windows long"  # plain windows have no slots
+    """h, item, place, size, slots, gaps and n_windows of every window of every item."""
+    schema = f"h long, item {dict(benchmark.dtypes)[item]}, place long, size long, slots array<long>, gaps long, n_windows long"  # plain windows have no slots
     only = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +184,8 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
                 n = np.diff(tokens(raw)[2])
                 many = np.where(n >= WINDOW, n - WINDOW + 1, 1)[r["doc"]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["h"]), batch.column("item").take(pa.array(r["doc"])), pa.array(r["place"]), pa.array(r["size"]), pa.array(r["slots"], pa.list_(pa.int64())), pa.array(many)],
-                    names=["h", "item", "place", "size", "slots", "n_windows"],
+                    [pa.array(r["h"]), batch.column("item").take(pa.array(r["doc"])), pa.array(r["place"]), pa.array(r["size"]), pa.array(r["slots"], pa.list_(pa.int64())), pa.array(r["gaps"]), pa.array(many)],
+                    names=["h", "item", "place", "size", "slots", "gaps", "n_windows"],
                 )
 
     return only.mapInArrow(run, schema)
@@ -221,7 +230,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
     slot = F.explode_outer(F.arrays_zip("slots", "own")).alias("s")
     values = joined.select(*along, slot).where(F.col("s").isNotNull()).distinct()
     bad = values.groupBy(*along, "s.slots").agg(F.count("*").alias("n")).groupBy(*along).agg((F.count("*") / F.sum("n")).alias("c"))
-    bad = bad.where(F.col("c") < CONSISTENT)
+    bits = joined.select(*along, "place", "size", "gaps").distinct()
+    at = bits.select(*along, "place", "gaps", F.explode(F.expr("sequence(0L, size - 1)")).alias("j"))
+    slot_of = at.groupBy(*along, (F.col("place") + F.col("j")).alias("token")).agg(F.min(F.expr("shiftright(gaps, cast(j as int)) & 1")).alias("slot"))
+    thin = slot_of.groupBy(*along).agg(F.avg("slot").alias("s")).where(F.col("s") > 1 - DENSE)
+    bad = bad.where(F.col("c") < CONSISTENT).select(*along).union(thin.select(*along)).distinct().withColumn("c", F.lit(0.0))
     places = joined.groupBy(*along, "place", "n_windows").agg(F.max(F.size("slots") == 0).alias("plain"))
     covered = places.join(bad, along, "left").where(F.col("plain") | F.col("c").isNull())
     each = covered.groupBy("k1", "k2", "item").agg(F.countDistinct("place").alias("covered"), F.max("n_windows").alias("n_windows"))

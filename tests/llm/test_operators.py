@@ -108,6 +108,19 @@ def test_inconsistent_slots_are_left_out(spark):
     assert {r.doc_id: r.contaminated for r in decontaminate.mark(docs, bench).collect()} == {1: True, 2: False}
 
 
+def test_changed_names_that_open_sentences(spark):
+    item = "Tom has 5 red apples now. Ann gives Tom 3 more today. Tom eats 2 of them fast. Ann buys 4 green pears too. How many fruits do they have left?"
+    dense = "Pay for 12 kg at 3 euros and 7 kg at 5 euros and 9 kg at 2 euros and say the sum"
+    bench = spark.createDataFrame([(1, item), (2, dense)], "item_id long, text string")
+    docs = [
+        (1, item.replace("Tom", "Bob").replace("Ann", "Eve").replace("5", "6")), (2, dense.replace("12", "14").replace("3", "8").replace("7", "6").replace("5", "1").replace("9", "4")),
+        (3, "Tall trees grow near the house. Small birds sing there in spring. People walk by and stop."), (4, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 kg 3 kg 4 kg 5"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.mark(df, bench).collect()}
+    assert got == {1: "1", 2: "2", 3: "", 4: ""}
+
+
 def test_plain_windows_count_in_an_inconsistent_alignment(spark):
     head = "the old mill by the river was built in 1987 and has been closed since 1987 because"
     tail = "nobody in the village wanted to pay for a new wheel or for the repair of its roof and walls"
