@@ -5,33 +5,40 @@ fewer words, of the whole sequence).  Two documents link when their sets'
 Jaccard similarity is ``SIMILAR`` percent or more; the result has the smallest
 doc_id that links reach.
 
-1. Sets.  Documents with equal sets are one class from the first shuffle on.
-2. Order.  Shingles are ordered rare first: those whose hash lies in the lowest
-   ``LOW`` part come first, by the number of documents that have them, then the
-   rest.  A prefix (a quarter of the set) lies in the low part except in small
-   sets, which bring all their shingles.  Shingles of one document alone take
-   places in the prefix but match nothing.
-3. Groups.  Documents with the same prefix and size are one group; groups are
-   joined on prefix shingles, with a length filter and a position filter.
-4. Only one document of a class goes on.  First round: in each group, and in
-   each prefix shingle's list, every member is checked against one hub only (the
-   list's member with the smallest share of shingles of its own).  Second round: in
-   lists that hold more than one component, members outside the hub's component are
-   checked against one other member of it, by a hash, and one of their own.  Last
-   round: lists that still hold more than one component give their pairs of
-   different components that pass the bounds on size, on shared prefix shingles, and
-   on the similarities to the hub (1 - similarity is a metric); these are checked as
-   well.  So no link between different components is lost, while pairs inside a
-   component are never listed.
-5. Checks read whole texts again and intersect the sets; a hub with many members
-   is salted, its text being copied to each salt.
+1. Order.  A first scan counts how often the shingles of each of 2**bits hash
+   ranges occur: one array for each task, added up by range.  The counts, one byte
+   each on a log scale (16 MiB at most), go to every worker.  Shingles are ordered
+   by their range's count, then by hash.  Any total order gives exact results;
+   this one puts what many texts share last.
+2. Sets.  A second scan gives each document's size, its key and its prefix (a
+   quarter of the set in that order).  Nothing else of a set leaves the scan.
+3. Groups.  Documents with equal sets are one class, and only its smallest id goes
+   on.  Class members with the same prefix and size are one group, and only the
+   smallest id stands in the lists.  Prefix shingles that occur once end here.
+4. Families.  A shingle's list is led by the member in whose order it stands
+   first; lists with the same head, with all members of their groups, are a
+   family.  Documents that link share a prefix shingle, so a family holds both.
+5. First round: every group is checked against the head of each of its lists, and
+   every member against its group's hub.
+6. Next rounds: in families with more than one component, members of different
+   components are compared by signatures of ``PER_SHINGLE`` to twice as many bits a
+   shingle (each shingle flips one bit).  Two sets of sizes a and b that link differ
+   in at most (a + b) / 7 shingles, and signatures differ in no more bits than
+   sets in shingles, so a pair with more different bits cannot link.  The second
+   round checks the closest pair of each two components, the third all that are
+   left between different ones.  No link between components is lost, and pairs
+   inside one are never listed.
+7. Checks read whole texts and intersect the sets; a hub with many members is
+   salted.  Families of over ``BLOCK`` members are cut into blocks of the head's
+   component and blocks of the others; each pair of blocks is one unit of work.
 
 A doc_id stands for one document.  Where rows share one, each row has its own
 size, and the one with the smallest text links for all of them.  Rows with a
 null doc_id link with nothing and have a null component.
 
 Cases: null texts and texts without words have no shingles and link with
-nothing.  An empty table gives an empty result.
+nothing.  An empty table gives an empty result.  Columns besides key and text are
+left out.
 """
 
 from __future__ import annotations
@@ -40,31 +47,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import arrays, scratch
 
-SIZE, SIMILAR, LOW = 5, 75, 0.3
-SALT = 2000
+SIZE, SIMILAR = 5, 75
+RANGES, PARTS = (16, 24), 16
+SALT, BLOCK, PER_SHINGLE = 2000, 1000, 4
+PAIRS = 1 << 21
 U8 = np.uint64
 
 
-def shingles(texts: list[bytes | None], size: int = SIZE) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def _hashes(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, window hashes, and the first word of each text (one entry more)."""
     buffer, starts = arrays.joined(texts)
     begin, length, first = arrays.words(buffer, starts)
     h = arrays.hashes(buffer, begin, length)
-    w = arrays.windows(h, size)
+    return h, arrays.windows(h, size), first
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """The one shingle of a text of fewer words, never equal to another's hash but by chance."""
+    return arrays.windows(h, h.size) ^ np.full(1, h.size, dtype=U8) * U8(0x9E3779B97F4A7C15)
+
+
+def shingles(texts: list[bytes | None], size: int = SIZE) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    h, w, first = _hashes(texts, size)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= size:
             x = np.sort(w[a : b - size + 1])
             out.append(x[np.concatenate((np.ones(1, dtype=bool), x[1:] != x[:-1]))])
-        elif b > a:  # fewer words: the whole sequence, never equal to a shingle's hash but by chance
-            out.append(arrays.windows(h[a:b], b - a) ^ np.full(1, b - a, dtype=U8) * U8(0x9E3779B97F4A7C15))
         else:
-            out.append(np.zeros(0, dtype=U8))
+            out.append(_short(h[a:b]) if b > a else np.zeros(0, dtype=U8))
     return out
 
 
@@ -73,76 +91,198 @@ def prefix(n: int | np.ndarray) -> int | np.ndarray:
     return n - (SIMILAR * n + 99) // 100 + 1
 
 
-_FIELDS = [("id", pa.int64()), ("n", pa.int64()), ("n_low", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("low", pa.list_(pa.int64())), ("rest", pa.list_(pa.int64()))]
+# --- order and sets --------------------------------------------------------------
+
+
+def _bits(rows: int) -> int:
+    """Hash ranges by the number of documents: some 64 for each, within fixed bounds."""
+    return int(np.clip(np.ceil(np.log2(max(1, 64 * rows))), *RANGES))
+
+
+def frequencies(docs: DataFrame, bits: int) -> bytes:
+    """For each of 2**bits hash ranges one byte: eight times log2 of how often its shingles occur; zstandard."""
+    each = (1 << bits) // PARTS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for whole in batches:
+            for batch in arrays.slices(whole):
+                h, w, first = _hashes(arrays.as_bytes(batch.column("text")), SIZE)
+                if not h.size:
+                    continue
+                total = np.zeros(1 << bits, dtype=np.int64) if total is None else total
+                doc = np.repeat(np.arange(first.size - 1), np.diff(first))
+                inside = w[doc[: w.size] == doc[SIZE - 1 :]] if w.size else w
+                few = [_short(h[a:b]) for a, b in zip(first[:-1], first[1:]) if 0 < b - a < SIZE]
+                np.add.at(total, (np.concatenate([inside, *few]) >> U8(64 - bits)).astype(np.int64), 1)
+        if total is not None:
+            z = zstandard.ZstdCompressor(level=1)
+            yield pa.RecordBatch.from_pydict({"part": np.arange(PARTS), "n": [z.compress(total[k * each : (k + 1) * each].tobytes()) for k in range(PARTS)]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, sums = zstandard.ZstdDecompressor(), {}
+        for batch in batches:
+            for part, n in zip(batch.column("part").to_pylist(), batch.column("n").to_pylist()):
+                more = np.frombuffer(z.decompress(n), dtype=np.int64)
+                sums[part] = sums[part] + more if part in sums else more
+        coded = [np.floor(8 * np.log2(x + 1.0)).clip(0, 255).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int64()), "code": pa.array([zstandard.ZstdCompressor().compress(c) for c in coded], pa.binary())})
+
+    sums = docs.select("text").mapInArrow(count, "part long, n binary").repartition(PARTS, "part").mapInArrow(add, "part long, code binary")
+    table = np.zeros((PARTS, each), dtype=np.uint8)
+    for r in sums.collect():  # PARTS rows, 2**bits bytes before compression
+        table[r["part"]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["code"]), dtype=np.uint8)
+    return zstandard.ZstdCompressor().compress(table.tobytes())
+
+
+_KEYS = ("id", "n", "k1", "k2", "g1", "g2")
+
+
+def sets(docs: DataFrame, codes: bytes, bits: int) -> DataFrame:
+    """id, n, k1 and k2 (the set's key), g1 and g2 (the prefix's key), and the prefix in order."""
+    held = docs.sparkSession.sparkContext.broadcast(codes)  # 16 MiB at most before compression
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = np.frombuffer(zstandard.ZstdDecompressor().decompress(held.value), dtype=np.uint8)
+        for whole in batches:
+            for batch in arrays.slices(whole):
+                found = shingles(arrays.as_bytes(batch.column("text")))
+                n = np.array([x.size for x in found], dtype=np.int64)
+                flat = np.concatenate([*found, np.zeros(0, dtype=U8)])
+                first = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(n)))
+                # equal keys stay in the order of the hash, so the order is total
+                key = code[(flat >> U8(64 - bits)).astype(np.int64)].astype(U8) << U8(56) | flat >> U8(8)
+                cut = [x[np.argsort(key[a : a + x.size], kind="stable")[: prefix(x.size)]] if x.size else x for x, a in zip(found, first.tolist())]
+                sums = lambda parts: [np.array([arrays.mix(x ^ s).sum(dtype=U8) for x in parts], dtype=U8).view(np.int64) for s in (U8(0), U8(0xC2B2AE3D27D4EB4F))]
+                offsets = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum([c.size for c in cut]))).astype(np.int32)
+                probe = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*cut, np.zeros(0, dtype=U8)]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, (n, *sums(found), *sums(cut))), probe], names=[*_KEYS, "probe"])
+
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in _KEYS) + ", probe array<long>")
+
 
+# --- signatures --------------------------------------------------------------------
 
-def sets(docs: DataFrame) -> DataFrame:
-    """id, n, n_low, k1 and k2 (the set's key), low shingles, and the rest where the prefix may need them."""
-    bound = U8(int(LOW * 2.0**64))
 
+def signature(x: np.ndarray) -> np.ndarray:
+    """Parities of the shingles that fall on each bit; the number of bits is a power of two."""
+    bits = 1 << max(8, int(np.ceil(np.log2(PER_SHINGLE * max(1, x.size)))))
+    flips = np.bincount((x & U8(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def folded(s: np.ndarray, words: int) -> np.ndarray:
+    """Signatures (rows) with fewer bits: of two shingle sets, parities on the lower bits."""
+    while s.shape[1] > words:
+        s = s[:, : s.shape[1] // 2] ^ s[:, s.shape[1] // 2 :]
+    return s
+
+
+def signatures(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole):
                 found = shingles(arrays.as_bytes(batch.column("text")))
-                n = np.array([len(x) for x in found], dtype=np.int64)
-                n_low = np.array([np.searchsorted(x, bound) for x in found], dtype=np.int64)
-                with np.errstate(over="ignore"):
-                    k1 = np.array([arrays.mix(x).sum(dtype=U8) for x in found], dtype=U8)
-                    k2 = np.array([arrays.mix(x ^ U8(0xC2B2AE3D27D4EB4F)).sum(dtype=U8) for x in found], dtype=U8)
-                few = n_low < prefix(n)
-                lists = []
-                for cut in ([x[:k] for x, k in zip(found, n_low)], [x[k:] if f else x[:0] for x, k, f in zip(found, n_low, few)]):
-                    offsets = np.concatenate(([0], np.cumsum([len(c) for c in cut]))).astype(np.int32)
-                    lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*cut, np.zeros(0, dtype=U8)]).view(np.int64))))
-                columns = [batch.column("id"), pa.array(n), pa.array(n_low), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), *lists]
-                yield pa.RecordBatch.from_arrays(columns, names=[f for f, _ in _FIELDS])
-
-    return docs.mapInArrow(run, "id long, n long, n_low long, k1 long, k2 long, low array<long>, rest array<long>")
-
-
-def _prefixes(held: DataFrame) -> DataFrame:
-    """id, n, repeated prefix shingles in order: array of (place, h); documents with none are left out."""
-    low = held.select("id", F.explode("low").alias("h"))
-    rest = held.select("id", F.explode("rest").alias("h"))
-    every = low.unionByName(rest)
-    counts = every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    mine = every.join(counts, "h")
-    # at most the document's own shingles are gathered
-    mine = mine.groupBy("id").agg(F.collect_list(F.struct("h", "df")).alias("r"))
-    docs = held.select("id", "n", "n_low", F.size("rest").cast("long").alias("n_rest"))
-    bound = U8(int(LOW * 2.0**64))
-    kind = pa.struct([("place", pa.int32()), ("h", pa.int64())])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.size for x in found], pa.int64()), pa.array([signature(x).tobytes() for x in found], pa.binary())], names=["id", "n", "sig"])
+
+    return texts.mapInArrow(run, "id long, n long, sig binary")
+
+
+def _near(unit: np.ndarray, n: np.ndarray, comp: np.ndarray, sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows a < b of one unit and different components whose sets may link, and their different bits.
+
+    Rows come sorted by unit.
+    """
+    last = np.searchsorted(unit, unit, side="right")
+    many = last - np.arange(unit.size) - 1
+    words = np.array([len(s) // 8 for s in sigs])
+    matrix = {w: np.frombuffer(b"".join(s for s in sigs if len(s) == 8 * w), dtype="<u8").reshape(-1, w) for w in np.unique(words).tolist()}
+    at = np.zeros(unit.size, dtype=np.int64)
+    for w in matrix:
+        at[words == w] = np.arange((words == w).sum())
+    edge = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(many)))
+    out: list[tuple[np.ndarray, ...]] = []
+    lo = 0
+    while lo < unit.size:  # about PAIRS pairs at once
+        hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + PAIRS, side="right")) - 1)
+        a = np.repeat(np.arange(lo, hi), many[lo:hi])
+        b = np.arange(a.size) - (edge[a] - edge[lo]) + a + 1
+        fits = (comp[a] != comp[b]) & (SIMILAR * n[a] <= 100 * n[b]) & (SIMILAR * n[b] <= 100 * n[a])
+        a, b = a[fits], b[fits]
+        for wa in matrix:
+            for wb in matrix:
+                pick = np.flatnonzero((words[a] == wa) & (words[b] == wb))
+                w = min(wa, wb)
+                fa, fb = folded(matrix[wa], w), folded(matrix[wb], w)
+                for i in range(0, pick.size, max(1, (1 << 20) // w)):
+                    k = pick[i : i + max(1, (1 << 20) // w)]
+                    x = np.bitwise_count(fa[at[a[k]]] ^ fb[at[b[k]]]).sum(axis=1, dtype=np.int64)
+                    # 100 overlap >= SIMILAR union bounds the difference by (100 - SIMILAR) / (100 + SIMILAR) of both sizes
+                    close = (100 + SIMILAR) * x <= (100 - SIMILAR) * (n[a[k]] + n[b[k]])
+                    out.append((a[k[close]], b[k[close]], x[close]))
+        lo = hi
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
+
+
+def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame:
+    """hub, id: pairs of different components of one family that may link.
+
+    ``families`` (head, id, n, sig).  With ``closest`` only the closest pair of each
+    two components of a unit.
+    """
+    of = families.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    lead = comp.select(F.col("node").alias("head"), F.col("component").alias("main"))
+    of = of.join(lead, "head", "left").withColumn("main", F.coalesce("main", "head"))
+    own = F.col("component") == F.col("main")
+    size = of.groupBy("head").agg(F.count_if(own).alias("cm"), F.count_if(~own).alias("co"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int")
+    size = size.select("head", blocks("cm").alias("bm"), blocks("co").alias("bo"))
+    dealt = of.join(size, "head").withColumn("own", own)
+    k = F.pmod(F.xxhash64("id"), F.when(F.col("own"), F.col("bm")).otherwise(F.col("bo"))).cast("int")
+    # a block of the head's component meets every block of the others (u < 0); those meet each other
+    pair = lambda u, v: F.struct(u.cast("int").alias("u"), v.cast("int").alias("v"))
+    others = F.sequence(F.lit(0), F.col("bo") - 1)
+    meet = F.transform(others, lambda j: pair(-1 - F.col("k"), j))
+    among = F.when(F.col("bo") > 1, F.transform(others, lambda j: pair(F.least(j, F.col("k")), F.greatest(j, F.col("k"))))).otherwise(F.array().cast("array<struct<u:int,v:int>>"))
+    units = F.when(F.col("own"), meet).otherwise(F.concat(F.transform(F.sequence(F.lit(0), F.col("bm") - 1), lambda j: pair(-1 - j, F.col("k"))), among))
+    dealt = dealt.withColumn("k", k).select("head", "id", "n", "component", "sig", F.explode(units).alias("p")).select("head", "p.u", "p.v", "id", "n", "component", "sig")
+    dealt = dealt.repartition("head", "u", "v").sortWithinPartitions("head", "u", "v")
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        head, u, v, i, n, c = (rows.column(x).to_numpy() for x in ("head", "u", "v", "id", "n", "component"))
+        new = np.concatenate((np.zeros(1, dtype=bool), (head[1:] != head[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])))
+        unit = np.cumsum(new)
+        a, b, x = _near(unit, n, c, rows.column("sig").to_pylist())
+        if closest:
+            order = np.lexsort((i[b], i[a], x, np.maximum(c[a], c[b]), np.minimum(c[a], c[b]), unit[a]))
+            a, b = a[order], b[order]
+            key = np.stack((unit[a], np.minimum(c[a], c[b]), np.maximum(c[a], c[b])))
+            first = np.concatenate((np.ones(min(1, a.size), dtype=bool), (key[:, 1:] != key[:, :-1]).any(axis=0)))
+            a, b = a[first], b[first]
+        found = np.unique(np.stack((np.minimum(i[a], i[b]), np.maximum(i[a], i[b]))), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["hub", "id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole units at a time: the last one of a batch may go on in the next."""
+        held = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            n, n_low, n_rest = (batch.column(c).to_numpy() for c in ("n", "n_low", "n_rest"))
-            lists = batch.column("r")
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            flat = lists.flatten()
-            h, df = flat.field("h").to_numpy().view(U8), flat.field("df").to_numpy()
-            high = h >= bound
-            order = np.lexsort((h, df, high, doc))
-            h, high, doc = h[order], high[order], doc[order]
-            rank = np.arange(doc.size) - np.searchsorted(doc, doc)
-            many_low = np.bincount(doc[~high], minlength=n.size)
-            many_high = np.bincount(doc[high], minlength=n.size)
-            # shingles of one document alone come first in their part
-            place = np.where(high, (n_low + n_rest - many_high - many_low)[doc], (n_low - many_low)[doc]) + rank
-            keep = place < prefix(n)[doc]
-            doc, place, h = doc[keep], place[keep], h[keep]
-            cut = np.searchsorted(doc, np.arange(n.size + 1)).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(h.view(np.int64))], fields=list(kind))
-            out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.ListArray.from_arrays(pa.array(cut), items)], names=["id", "n", "probe"])
-            yield out.filter(pa.array(np.diff(cut) > 0))
-
-    both = docs.join(mine, "id").select("id", "n", "n_low", "n_rest", "r")
-    return both.mapInArrow(run, "id long, n long, probe array<struct<place:int,h:long>>")
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            keys = [held.column(x).to_numpy() for x in ("head", "u", "v")]
+            open_ = int(np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))[-1]) + 1 if any((k != k[-1]).any() for k in keys) else 0
+            if open_:
+                yield pairs(held.slice(0, open_))
+                held = held.slice(open_)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return dealt.mapInArrow(run, "hub long, id long").distinct()
+
+
+# --- checks and components -----------------------------------------------------------
 
 
 def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds j (similarity) and ok (whether the pair links) to pairs (hub, id); the hub's text meets its members' in salted lists."""
+    """Adds ok (whether the pair links) to pairs (hub, id); the hub's text meets its members' in salted lists."""
     degree = pairs.groupBy("hub").agg(F.count("*").alias("d")).select("hub", F.ceil(F.col("d") / SALT).cast("int").alias("salts"))
     salted = pairs.join(degree, "hub").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
     member = salted.join(texts, "id").select("hub", "salt", F.lit(1).alias("kind"), "id", "text")
@@ -163,12 +303,12 @@ def _check(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     assert h == hub  # its text came first
                     both = np.intersect1d(own, x, assume_unique=True).size
                     union = own.size + x.size - both
-                    out.append((h, i, both / union if union else 0.0, bool(both) and 100 * both >= SIMILAR * union))
-                columns = list(zip(*out)) or [[], [], [], []]
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["hub", "id", "j", "ok"])
+                    out.append((h, i, bool(both) and 100 * both >= SIMILAR * union))
+                columns = list(zip(*out)) or [[], [], []]
+                types = (pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["hub", "id", "ok"])
 
-    return dealt.mapInArrow(run, "hub long, id long, j double, ok boolean")
+    return dealt.mapInArrow(run, "hub long, id long, ok boolean")
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -204,95 +344,62 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: key, n_shingles, component_id.
 
     Eager: intermediate tables go to the shared folder, and are deleted when the
-    last job that reads them has ended.
+    last job that reads them has ended; sizes and components stay, as the result
+    reads them.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    bits = _bits(own.count())
+    codes = frequencies(own, bits)
     whole = None
     if not own.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
-        whole = scratch.stored(sets(own).select("id", "n"), "sizes")[0]
+        whole = scratch.stored(sets(own, codes, bits).select("id", "n"), "sizes")[0]
         own = scratch.stored(own.where("id is not null").groupBy("id").agg(F.min("text").alias("text")), "texts")[0]
-    held, held_path = scratch.stored(sets(own), "sets")
+    held, held_path = scratch.stored(sets(own, codes, bits), "sets")
     # classes of equal sets; the smallest id stands for a class from here on
-    sizes, sizes_path = scratch.stored(held.select("id", "n", "k1", "k2"), "sizes")
-    small = sizes.where("n > 0")
-    classes = small.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
-    same = small.join(classes, ["k1", "k2", "n"]).where(F.col("id").isNotNull() & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("hub"), "id")
-    alone = held.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    groups, groups_path = scratch.stored(_prefixes(alone).join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), "prefixes")
-    scratch.drop(spark, held_path)
+    sizes, _ = scratch.stored(held.select(*_KEYS), "sizes")
+    small = sizes.where("n > 0 and id is not null")
+    classes = small.groupBy("k1", "k2", "n").agg(F.min_by(F.struct("id", "g1", "g2"), "id").alias("r"))
+    reps = classes.select("r.*", "n", "k1", "k2")
+    same = small.select("id", "k1", "k2", "n").join(reps.select("k1", "k2", "n", F.col("id").alias("hub")), ["k1", "k2", "n"]).where("id != hub").select("hub", "id")
     # equal prefix and size: one group, whose smallest id stands for it in the lists
-    grouped = groups.select("id", "n", "probe", F.xxhash64("n", "probe").alias("g1"), F.xxhash64("probe", "n").alias("g2"))
-    hub_of = grouped.groupBy("g1", "g2", "n").agg(F.min("id").alias("hub"), F.min_by("probe", "id").alias("probe"))
-    inside = grouped.select("id", "n", "g1", "g2").join(hub_of.select("hub", "n", "g1", "g2"), ["g1", "g2", "n"])
-    members, members_path = scratch.stored(inside.select("hub", "id", "n"), "members")
-    # the fewer shingles of its own a text has, the more likely it is what others were copied from
-    lists = hub_of.select("hub", "n", (F.get("probe", F.lit(0))["place"] / F.col("n")).alias("own"), F.posexplode("probe").alias("rank", "p")).select("hub", "n", "own", "rank", "p.place", "p.h")
-    heads = lists.groupBy("h").agg(F.min(F.struct("own", "hub"))["hub"].alias("head"), F.count("*").alias("c")).where("c > 1")
-    lists, lists_path = scratch.stored(lists.join(heads.select("h", "head"), "h"), "lists")
-
-    star = members.where("hub != id").select("hub", "id").union(lists.where("head != hub").select(F.col("head").alias("hub"), F.col("hub").alias("id"))).distinct()
+    hubs = reps.groupBy("g1", "g2", "n").agg(F.min("id").alias("hub"))
+    members, members_path = scratch.stored(reps.join(hubs, ["g1", "g2", "n"]).select("hub", "id"), "members")
+    stand = members.where("hub = id").select("id")
+    lists, lists_path = scratch.stored(held.select("id", "probe").join(stand, "id", "left_semi"), "probes")
+    scratch.drop(spark, held_path)
+    places = lists.select(F.col("id").alias("hub"), F.posexplode("probe").alias("place", "h"))
+    again, again_path = scratch.stored(lists.select(F.explode("probe").alias("h")).groupBy("h").count().where("count > 1").select("h"), "repeated")
+    shared, shared_path = scratch.stored(places.join(again, "h"), "lists")
+    scratch.drop(spark, lists_path, again_path)
+    heads = shared.groupBy("h").agg(F.min(F.struct("place", "hub"))["hub"].alias("head"))
+    family, family_path = scratch.stored(shared.join(heads, "h").select("head", "hub").distinct(), "families")
+    scratch.drop(spark, shared_path)
+
+    grown = members.where("hub != id")
+    star = grown.union(family.where("head != hub").select(F.col("head").alias("hub"), F.col("hub").alias("id"))).distinct()
     first, first_path = scratch.stored(star, "pairs")
-    # all members of groups that are in a list, or have more than one member
-    listed = lists.select("hub").union(members.where("hub != id").select("hub")).distinct()
-    touched = members.join(listed, "hub", "left_semi").select("id")
-    texts, texts_path = scratch.stored(own.where("id is not null").join(touched, "id", "left_semi"), "texts")
-    checked, checked_path = scratch.stored(_check(first, texts), "checked")
-    comp, comp_path = scratch.stored(components(checked.where("ok").select("hub", "id").union(same), "hub", "id"), "components")
-
-    # second round: in lists with more than one component, one other member of the head's component, by a hash, and one outside
-    known = comp.withColumnRenamed("node", "hub")
-    placed = lists.join(known, "hub", "left").withColumn("component", F.coalesce("component", "hub"))
-    placed = placed.join(known.select(F.col("hub").alias("head"), F.col("component").alias("main")), "head", "left").withColumn("main", F.coalesce("main", "head"))
-    by_hash = F.struct(F.xxhash64("hub", "h"), F.col("hub"))
-    guides = placed.groupBy("h").agg(
-        F.min(F.when(F.col("component") == F.col("main"), by_hash))["hub"].alias("in"), F.min(F.when(F.col("component") != F.col("main"), F.struct("own", "hub")))["hub"].alias("out")
-    ).where("out is not null")
-    outside = placed.where("component != main").join(guides, "h").select("in", "out", F.col("hub").alias("id"))
-    star = outside.select(F.col("in").alias("hub"), "id").union(outside.select(F.col("out").alias("hub"), "id")).where("hub != id").distinct()
-    star = star.join(first, ["hub", "id"], "left_anti")
-    again, again_path = scratch.stored(star, "pairs")
-    checked2, checked2_path = scratch.stored(_check(again, texts), "checked")
-    merged = comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(checked2.where("ok").select("hub", "id"))
-    old = comp_path
-    comp, comp_path = scratch.stored(components(merged, "hub", "id"), "components")
-    scratch.drop(spark, old)
-
-    # last round: lists that still hold more than one component, all members of their groups
-    of = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select("hub", "id", "n", F.coalesce("component", "id").alias("component"))
-    full = lists.select("h", "hub", "place", "rank", "head").join(of, "hub")
-    mixed = full.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
-    # similarity to the list's head, where it was checked
-    to_head = checked.select(F.col("hub").alias("head"), "id", "j")
-    full = full.join(mixed, "h", "left_semi").join(to_head, ["head", "id"], "left").withColumn("j", F.when(F.col("id") == F.col("head"), F.lit(1.0)).otherwise(F.col("j")))
-    a, b = full.alias("a"), full.alias("b")
-    small_enough = (F.col("a.n") * SIMILAR <= F.col("b.n") * 100) & (F.col("b.n") * SIMILAR <= F.col("a.n") * 100)
-    # 1 - similarity is a metric: the distances of two linked texts to the head differ by no more than their own
-    close = F.coalesce(F.abs(F.col("a.j") - F.col("b.j")) <= 1 - SIMILAR / 100 + 1e-9, F.lit(True))
-    # before a shared shingle at most its rank of repeated ones are common, after it at most what is left of one side;
-    # a pair that fails this for one shingle cannot link, so its other rows may go or stay
-    upper = F.least(F.col("a.rank"), F.col("b.rank")) + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    enough = 100 * upper >= SIMILAR * (F.col("a.n") + F.col("b.n") - upper)
-    more = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & small_enough & close & enough)
-    # up to the last shared shingle of both prefixes all common ones are counted; after it one side ends
-    shared = more.groupBy(F.col("a.id").alias("hub"), F.col("b.id").alias("id"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).agg(
-        F.count("*").alias("c"), F.max("a.place").alias("pa"), F.max("b.place").alias("pb")
-    )
-    most = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    near = shared.where(100 * most >= SIMILAR * (F.col("na") + F.col("nb") - most)).select("hub", "id")
-    within = of.alias("a").join(of.alias("b"), (F.col("a.hub") == F.col("b.hub")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component")))
-    pairs = near.union(within.select(F.col("a.id").alias("hub"), F.col("b.id").alias("id"))).distinct()
-    done = first.union(again).select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
-    pairs = pairs.join(done, ["hub", "id"], "left_anti")
-    second, second_path = scratch.stored(pairs, "pairs")
-    if not second.isEmpty():
-        extra, extra_path = scratch.stored(_check(second, texts).where("ok").select("hub", "id"), "links")
-        if not extra.isEmpty():
-            old = comp_path
-            comp, comp_path = scratch.stored(components(comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(extra), "hub", "id"), "components")
-            scratch.drop(spark, old)
-        scratch.drop(spark, extra_path)
-    scratch.drop(spark, groups_path, lists_path, first_path, again_path, second_path, texts_path, checked_path, checked2_path, members_path)
+    # families with all members of their groups, and groups that are in no list
+    every = family.join(members, "hub").select("head", "id").union(members.join(grown.select("hub").distinct(), "hub", "left_semi").select(F.col("hub").alias("head"), "id")).distinct()
+    every, every_path = scratch.stored(every, "families")
+    texts, texts_path = scratch.stored(own.join(every.select("id").distinct(), "id", "left_semi"), "texts")
+    comp, comp_path = scratch.stored(components(_check(first, texts).where("ok").select("hub", "id").union(same), "hub", "id"), "components")
+    full, full_path = scratch.stored(every.join(signatures(texts), "id"), "signed")
+    scratch.drop(spark, every_path, family_path, members_path)
+
+    done = first.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
+    used = [first_path, texts_path, full_path]
+    for closest in (True, False):
+        found, found_path = scratch.stored(candidates(full, comp, closest).join(done, ["hub", "id"], "left_anti"), "pairs")
+        used.append(found_path)
+        if found.isEmpty():
+            break
+        links, links_path = scratch.stored(_check(found, texts).where("ok").select("hub", "id"), "links")
+        old = comp_path
+        comp, comp_path = scratch.stored(components(comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(links), "hub", "id"), "components")
+        scratch.drop(spark, old, links_path)
+        done = done.union(found)
+    scratch.drop(spark, *used)
     slim = whole if whole is not None else sizes.select("id", "n")
     out = slim.join(comp.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

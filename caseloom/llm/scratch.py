@@ -2,8 +2,12 @@
 
 Everything goes below the folder that the cluster names in
 ``spark.checkpoint.dir`` (visible to the driver and every executor), so a lost
-executor never loses an intermediate result.  Only when the setting is absent,
-as in unit tests, a temporary folder is made and set.
+executor never loses an intermediate result.  Only where the setting is absent
+and the master is local, as in unit tests, a temporary folder is made and set;
+on a cluster that is an error.
+
+Tables that a lazy result still reads cannot be deleted by the operator that
+made it; ``clear`` deletes what is left once the results have been written.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LIVE: set[str] = set()
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -24,6 +29,8 @@ def root(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="caseloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base
@@ -31,7 +38,9 @@ def root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{root(spark).rstrip('/')}/caseloom/{name}-{uuid.uuid4().hex}"
+    path = f"{root(spark).rstrip('/')}/caseloom/{name}-{uuid.uuid4().hex}"
+    _LIVE.add(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -51,10 +60,16 @@ def drop(spark: SparkSession, *paths: str) -> None:
     """Delete intermediate tables that no later plan reads."""
     jvm = spark.sparkContext._jvm
     for path in paths:
+        _LIVE.discard(path)
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clear(spark: SparkSession, *keep: str) -> None:
+    """Delete all tables of this process but ``keep``; lazy results that read them are lost."""
+    drop(spark, *(_LIVE - set(keep)))
+
+
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
