@@ -18,15 +18,14 @@ doc_id that links reach.
 4. Families.  A shingle's list is led by the member in whose order it stands
    first; lists with the same head, with all members of their groups, are a
    family.  Documents that link share a prefix shingle, so a family holds both.
-5. First round: every group is checked against the head of each of its lists, and
-   every member against its group's hub.
-6. Next rounds: in families with more than one component, members of different
-   components are compared by signatures of ``PER_SHINGLE`` to twice as many bits a
-   shingle (each shingle flips one bit).  Two sets of sizes a and b that link differ
-   in at most (a + b) / 7 shingles, and signatures differ in no more bits than
-   sets in shingles, so a pair with more different bits cannot link.  The second
-   round checks the closest pair of each two components, the third all that are
-   left between different ones.  No link between components is lost, and pairs
+5. Signatures have ``PER_SHINGLE`` to twice as many bits a shingle; each shingle
+   flips one bit.  Two sets of sizes a and b that link differ in at most (a + b) / 7
+   shingles, and signatures differ in no more bits than sets in shingles, so a pair
+   with more different bits cannot link.
+6. Rounds.  First every document is checked against the closest of its families'
+   heads.  Then, in families with more than one component, the closest pair of each
+   two components, and last all pairs that are left between different ones and
+   that signatures cannot rule out.  No link between components is lost, and pairs
    inside one are never listed.
 7. Checks read whole texts and intersect the sets; a hub with many members is
    salted.  Families of over ``BLOCK`` members are cut into blocks of the head's
@@ -224,6 +223,13 @@ def _near(unit: np.ndarray, n: np.ndarray, comp: np.ndarray, sigs: list[bytes])
     return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
 
 
+def heads_first(families: DataFrame) -> DataFrame:
+    """hub, id: for each document the closest head of its families, if any may link."""
+    alone = families.withColumn("component", (F.col("id") != F.col("head")).cast("long")).withColumn("main", F.lit(0))
+    found = _dealt(alone, "head")
+    return found.groupBy("id").agg(F.min_by("hub", F.struct("x", "hub")).alias("hub")).select("hub", "id")
+
+
 def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame:
     """hub, id: pairs of different components of one family that may link.
 
@@ -233,6 +239,14 @@ def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame
     of = families.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     lead = comp.select(F.col("node").alias("head"), F.col("component").alias("main"))
     of = of.join(lead, "head", "left").withColumn("main", F.coalesce("main", "head"))
+    return _dealt(of, "closest" if closest else "all").select("hub", "id").distinct()
+
+
+def _dealt(of: DataFrame, wanted: str) -> DataFrame:
+    """hub, id, x (different bits) of pairs of different components in units of bounded size.
+
+    ``of`` has head, id, n, sig, component, and the head's component as main.
+    """
     own = F.col("component") == F.col("main")
     size = of.groupBy("head").agg(F.count_if(own).alias("cm"), F.count_if(~own).alias("co"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int")
@@ -243,7 +257,7 @@ def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame
     pair = lambda u, v: F.struct(u.cast("int").alias("u"), v.cast("int").alias("v"))
     others = F.sequence(F.lit(0), F.col("bo") - 1)
     meet = F.transform(others, lambda j: pair(-1 - F.col("k"), j))
-    among = F.when(F.col("bo") > 1, F.transform(others, lambda j: pair(F.least(j, F.col("k")), F.greatest(j, F.col("k"))))).otherwise(F.array().cast("array<struct<u:int,v:int>>"))
+    among = F.when((F.col("bo") > 1) & F.lit(wanted != "head"), F.transform(others, lambda j: pair(F.least(j, F.col("k")), F.greatest(j, F.col("k"))))).otherwise(F.array().cast("array<struct<u:int,v:int>>"))
     units = F.when(F.col("own"), meet).otherwise(F.concat(F.transform(F.sequence(F.lit(0), F.col("bm") - 1), lambda j: pair(-1 - j, F.col("k"))), among))
     dealt = dealt.withColumn("k", k).select("head", "id", "n", "component", "sig", F.explode(units).alias("p")).select("head", "p.u", "p.v", "id", "n", "component", "sig")
     dealt = dealt.repartition("head", "u", "v").sortWithinPartitions("head", "u", "v")
@@ -253,14 +267,17 @@ def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame
         new = np.concatenate((np.zeros(1, dtype=bool), (head[1:] != head[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])))
         unit = np.cumsum(new)
         a, b, x = _near(unit, n, c, rows.column("sig").to_pylist())
-        if closest:
+        if wanted == "head":  # the head is the one of component 0
+            swap = c[a] > c[b]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            return pa.RecordBatch.from_arrays([pa.array(i[a]), pa.array(i[b]), pa.array(x)], names=["hub", "id", "x"])
+        if wanted == "closest":
             order = np.lexsort((i[b], i[a], x, np.maximum(c[a], c[b]), np.minimum(c[a], c[b]), unit[a]))
             a, b = a[order], b[order]
             key = np.stack((unit[a], np.minimum(c[a], c[b]), np.maximum(c[a], c[b])))
             first = np.concatenate((np.ones(min(1, a.size), dtype=bool), (key[:, 1:] != key[:, :-1]).any(axis=0)))
-            a, b = a[first], b[first]
-        found = np.unique(np.stack((np.minimum(i[a], i[b]), np.maximum(i[a], i[b]))), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["hub", "id"])
+            a, b, x = a[first], b[first], x[first]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(i[a], i[b])), pa.array(np.maximum(i[a], i[b])), pa.array(x)], names=["hub", "id", "x"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole units at a time: the last one of a batch may go on in the next."""
@@ -275,7 +292,7 @@ def candidates(families: DataFrame, comp: DataFrame, closest: bool) -> DataFrame
         if held is not None and held.num_rows:
             yield pairs(held)
 
-    return dealt.mapInArrow(run, "hub long, id long").distinct()
+    return dealt.mapInArrow(run, "hub long, id long, x long")
 
 
 # --- checks and components -----------------------------------------------------------
@@ -366,39 +383,38 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     hubs = reps.groupBy("g1", "g2", "n").agg(F.min("id").alias("hub"))
     members, members_path = scratch.stored(reps.join(hubs, ["g1", "g2", "n"]).select("hub", "id"), "members")
     stand = members.where("hub = id").select("id")
-    lists, lists_path = scratch.stored(held.select("id", "probe").join(stand, "id", "left_semi"), "probes")
+    # sides that grow with the corpus are joined alike at every size
+    lists, lists_path = scratch.stored(held.select("id", "probe").join(stand.hint("merge"), "id", "left_semi"), "probes")
     scratch.drop(spark, held_path)
     places = lists.select(F.col("id").alias("hub"), F.posexplode("probe").alias("place", "h"))
     again, again_path = scratch.stored(lists.select(F.explode("probe").alias("h")).groupBy("h").count().where("count > 1").select("h"), "repeated")
-    shared, shared_path = scratch.stored(places.join(again, "h"), "lists")
+    shared, shared_path = scratch.stored(places.join(again.hint("merge"), "h"), "lists")
     scratch.drop(spark, lists_path, again_path)
     heads = shared.groupBy("h").agg(F.min(F.struct("place", "hub"))["hub"].alias("head"))
-    family, family_path = scratch.stored(shared.join(heads, "h").select("head", "hub").distinct(), "families")
-    scratch.drop(spark, shared_path)
-
-    grown = members.where("hub != id")
-    star = grown.union(family.where("head != hub").select(F.col("head").alias("hub"), F.col("hub").alias("id"))).distinct()
-    first, first_path = scratch.stored(star, "pairs")
+    family = shared.join(heads.hint("merge"), "h").select("head", "hub").distinct()
     # families with all members of their groups, and groups that are in no list
-    every = family.join(members, "hub").select("head", "id").union(members.join(grown.select("hub").distinct(), "hub", "left_semi").select(F.col("hub").alias("head"), "id")).distinct()
+    grown = members.where("hub != id").select("hub").distinct()
+    every = family.join(members, "hub").select("head", "id").union(members.join(grown, "hub", "left_semi").select(F.col("hub").alias("head"), "id")).distinct()
     every, every_path = scratch.stored(every, "families")
-    texts, texts_path = scratch.stored(own.join(every.select("id").distinct(), "id", "left_semi"), "texts")
-    comp, comp_path = scratch.stored(components(_check(first, texts).where("ok").select("hub", "id").union(same), "hub", "id"), "components")
+    scratch.drop(spark, shared_path, members_path)
+    texts, texts_path = scratch.stored(own.join(every.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
     full, full_path = scratch.stored(every.join(signatures(texts), "id"), "signed")
-    scratch.drop(spark, every_path, family_path, members_path)
+    scratch.drop(spark, every_path)
 
-    done = first.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
-    used = [first_path, texts_path, full_path]
-    for closest in (True, False):
-        found, found_path = scratch.stored(candidates(full, comp, closest).join(done, ["hub", "id"], "left_anti"), "pairs")
+    done, comp, comp_path, used = None, None, None, [texts_path, full_path]
+    for round_ in (heads_first, lambda f: candidates(f, comp, True), lambda f: candidates(f, comp, False)):
+        found = round_(full)
+        found, found_path = scratch.stored(found.join(done, ["hub", "id"], "left_anti") if done else found, "pairs")
         used.append(found_path)
-        if found.isEmpty():
+        if comp is not None and found.isEmpty():
             break
         links, links_path = scratch.stored(_check(found, texts).where("ok").select("hub", "id"), "links")
-        old = comp_path
-        comp, comp_path = scratch.stored(components(comp.select(F.col("component").alias("hub"), F.col("node").alias("id")).union(links), "hub", "id"), "components")
-        scratch.drop(spark, old, links_path)
-        done = done.union(found)
+        known = comp.select(F.col("component").alias("hub"), F.col("node").alias("id")) if comp else same
+        new, new_path = scratch.stored(components(known.union(links), "hub", "id"), "components")
+        scratch.drop(spark, links_path, *([comp_path] if comp_path else []))
+        comp, comp_path = new, new_path
+        pair = found.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id"))
+        done = done.union(pair) if done else pair
     scratch.drop(spark, *used)
     slim = whole if whole is not None else sizes.select("id", "n")
     out = slim.join(comp.withColumnRenamed("node", "id"), "id", "left")
