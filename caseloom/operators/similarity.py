@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseloom.sources.shared import folder
+
 METHODS = ("resnik", "lin", "jc", "rel")
 
 
@@ -15,10 +17,7 @@ def closure(edges: DataFrame, most: int = 64) -> DataFrame:
     there are about log2(depth) rounds; lineage is cut by checkpoint().
     """
     spark = edges.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="caseloom-"))
+    folder(spark)  # checkpoint() needs it
     nodes = edges.select(F.col("child").alias("term")).union(edges.select("parent")).distinct()
     known = nodes.select("term", F.col("term").alias("ancestor")).union(edges.select(F.col("child"), F.col("parent"))).distinct().checkpoint()
     size = known.count()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.missing import without_na
+from caseloom.sources.shared import written
 
 
 def read_delimited(spark: SparkSession, path: str, separator: str = "\t", encoding: str = "UTF-8", strip_header: bool = False, na: bool = True) -> DataFrame:
@@ -31,9 +32,9 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_positional(spark: SparkSession, path: str) -> DataFrame:
-    """id and text, by position; short rows go, of rows with one id the last stays."""
-    df = spark.read.csv(path, sep="\t", header=False, multiLine=True, quote='"', escape='"', schema="id string, text string", mode="PERMISSIVE")
-    df = df.withColumn("ord", F.monotonically_increasing_id()).where(F.col("ord") > 0).where(F.col("text").isNotNull())
+    """id and text, by position; headers and short rows go, of rows with one id the last stays."""
+    df = spark.read.csv(path, sep="\t", header=True, enforceSchema=True, multiLine=True, quote='"', escape='"', schema="id string, text string", mode="PERMISSIVE")
+    df = df.withColumn("ord", F.monotonically_increasing_id()).where(F.col("text").isNotNull())
     last = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("ord")))
     return df.withColumn("r", last).where("r = 1").drop("r")
 
@@ -55,13 +56,18 @@ def read_transcripts(spark: SparkSession, path: str | None) -> DataFrame:
 def numbered(df: DataFrame, order: list, name: str = "ID") -> DataFrame:
     """A number from 1 on in the order given, without a single-task window over all rows.
 
-    Rows are sorted by range; a small sum over partition sizes gives each
-    partition's first number.
+    Rows are sorted by range and written once to the shared folder, with their
+    partition and place in it; numbers are made from that table only, so both the
+    sizes of the partitions and the rows come from one and the same dealing,
+    whatever adaptive execution does.  Rows that are equal in ``order`` go by a hash
+    of all their columns; equal rows are alike, so their order shows nowhere.
     """
-    spark = df.sparkSession
-    placed = df.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    sizes = placed.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_low"))
+    columns = [f"`{c}`" for c in df.columns]
+    keyed = df.withColumn("_h", F.xxhash64(*columns))
+    placed = keyed.orderBy(*order, "_h").withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()).drop("_h")
+    held = written(placed, "numbered")
+    sizes = held.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_low"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sizes.select("_p", before.alias("_base"), "_low")  # a row for each partition
-    out = placed.join(F.broadcast(base), "_p")
+    out = held.join(F.broadcast(base), "_p")
     return out.withColumn(name, (F.col("_base") + F.col("_m") - F.col("_low") + 1).cast("long")).drop("_p", "_m", "_base", "_low")

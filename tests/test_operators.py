@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from caseloom.operators import harmonize as H
@@ -57,6 +58,22 @@ def test_numbered_is_dense_over_partitions(spark):
     assert got == list(range(1, 1001))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbered_keeps_every_wide_row(spark, adaptive):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = spark.range(1_100_000).select((F.col("id") % 700_001).alias("o"), *[F.sha2(F.concat("id", F.lit(str(k))), 256).alias(f"c{k}") for k in range(3)])
+        r = tables.numbered(df, ["o"], "n").agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n"), F.countDistinct("c0")).first()
+        assert tuple(r) == (1_100_000, 1_100_000, 1, 1_100_000, 1_100_000)
+        low = tables.numbered(df, ["o"], "n").where("n <= 1000").orderBy("n").select("o").collect()
+        assert [x.o for x in low] == sorted(x.o for x in low)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_rank_and_area(spark):
     scores = spark.createDataFrame([("p", "g1", 3.0), ("p", "g2", 3.0), ("p", "g3", 1.0), ("p", "g4", 5.0)], "id string, entity_id string, score double")
     truth = spark.createDataFrame([("p", "g1")], "id string, entity_id string")
