@@ -47,10 +47,10 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = MAX_BYTES) -
             start, total = i, 0
         total += size
     yield batch.slice(start)
-    _trim()
+    trim()
 
 
-def _trim() -> None:
+def trim() -> None:
     """Give freed memory back: workers outlive their tasks, and share a host."""
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -89,6 +89,11 @@ def words(buffer: np.ndarray, starts: np.ndarray, table: np.ndarray = WHITE) ->
     return begin, end - begin, np.searchsorted(begin, starts)
 
 
+def low_bytes(length: np.ndarray) -> np.ndarray:
+    """Masks of the bytes of a range among the eight from its begin on."""
+    return _LOW[np.minimum(length, 8)]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
     h = h ^ (h >> U8(30))

@@ -75,7 +75,8 @@ class Vocabulary:
 
         The two are taken apart again, last merge first, along the border; if
         some pair there merges earlier than what was taken apart, it would have
-        been merged across the border.
+        been merged across the border.  This is the pair-compatibility test published
+        with the linear-time encoder of van Antwerpen and Neubeck (2024).
         """
         limit = 1 << 60
         while True:

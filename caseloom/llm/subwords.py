@@ -3,9 +3,12 @@
 Texts are cut where no match of the byte-level split pattern can cross: before
 a single space or line feed between non-spaces, after such a line feed, and
 before the marks that end a word after a letter or digit.  The parts' 64-bit
-hashes are looked up in an open-addressing table; parts not known are given to
-the tokenizer, all of a batch in one text.  Texts with other white space go to
-the tokenizer whole.
+hashes are looked up in an open-addressing table that grows with its entries; a
+hit counts only if length and bytes agree (first and last eight bytes, and for
+parts of over 16 bytes a second hash).  Parts not known are given to the
+tokenizer, many in one text; a text with a part whose hash another part holds goes
+to the tokenizer whole, and so do texts with other white space.  Words are taken
+``CHUNK`` at a time, so a text of any length needs a bounded table.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ _MARK = arrays.separators(bytes(b for b in range(33, 127) if not chr(b).isalnum(
 _ALNUM = arrays.separators(bytes(b for b in range(128) if chr(b).isalnum()))
 _WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")  # where other white space begins
 _LED = U8(0xA0761D6478BD642F)
+CHUNK = 400_000
 
 
 class Subwords:
@@ -36,6 +40,7 @@ class Subwords:
     def clear(self) -> None:
         self.key = np.zeros(1 << self.bits, dtype=U8)
         self.entry = np.zeros(1 << self.bits, dtype=np.int32)
+        self.marks = np.zeros((3, 1 << 20), dtype=U8)  # length and lead, first bytes, last bytes (or second hash)
         self.offset = np.zeros(1 << 20, dtype=np.int64)
         self.length = np.zeros(1 << 20, dtype=np.int64)
         self.arena = np.zeros(1 << 22, dtype="<u4")
@@ -45,6 +50,7 @@ class Subwords:
     def _append(self, ids: np.ndarray) -> None:
         if self.n == self.offset.size:
             self.offset, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.offset, self.length))
+            self.marks = np.concatenate((self.marks, np.zeros_like(self.marks)), axis=1)
         while self.used + ids.size > self.arena.size:
             self.arena = np.concatenate((self.arena, np.zeros_like(self.arena)))
         self.arena[self.used : self.used + ids.size] = ids
@@ -78,8 +84,18 @@ class Subwords:
             left = np.concatenate((left[~free], put[~won]))
             at[left] = (at[left] + 1) & mask
 
-    def _learn(self, keys: np.ndarray, parts: list[bytes], led: np.ndarray) -> None:
+    def _grow(self) -> None:
+        """Twice the places, with all entries put in again."""
+        held = self.key != 0
+        keys, entries = self.key[held], self.entry[held]
+        self.bits += 1
+        self.key, self.entry = np.zeros(1 << self.bits, dtype=U8), np.zeros(1 << self.bits, dtype=np.int32)
+        self._insert(keys, entries)
+
+    def _learn(self, keys: np.ndarray, parts: list[bytes], led: np.ndarray, marks: np.ndarray) -> None:
         first = self.n
+        while 2 * (self.n + keys.size) > 1 << self.bits:
+            self._grow()
         order = []
         for lead in (True, False):
             which = np.flatnonzero(led == lead).tolist()
@@ -92,12 +108,11 @@ class Subwords:
                 self._append(ids[begin:end])
                 order.append(i)
                 begin = end + 1
+        self.marks[:, first : self.n] = marks[:, order]
         self._insert(keys[order], np.arange(first, self.n, dtype=np.int32))
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one entry more)."""
-        if self.n > self.most:
-            self.clear()
         buffer, starts = arrays.joined(texts, lower=False)
         gap = _GAP[buffer[: starts[-1]]]
         twice = np.flatnonzero(gap[1:] & gap[:-1]) + 1
@@ -128,40 +143,65 @@ class Subwords:
         led = (buffer[np.maximum(begin - 1, 0)] == 32) & ~head
         feed = ~led & ~head
         tail = high < end
+        done = [self._ids(buffer, raw, *(x[i : i + CHUNK] for x in (begin, high, end, led, feed)), odd, doc[i : i + CHUNK]) for i in range(0, begin.size, CHUNK)]
+        ids = np.concatenate([d[0] for d in done]) if done else np.zeros(0, dtype="<u4")
+        owner, count = (np.concatenate([d[k] for d in done]) if done else np.zeros(0, dtype=np.int64) for k in (1, 2))
+        of_doc = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
+        slow = [i for i in np.flatnonzero(odd[:-1]).tolist() if texts[i]]  # parts before the odd one are replaced too
+        if slow:
+            cut = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(of_doc)))
+            parts = [ids[cut[i] : cut[i + 1]] for i in range(len(texts))]
+            for i in slow:
+                parts[i] = self.encode_text(texts[i].decode())
+                of_doc[i] = parts[i].size
+            ids = np.concatenate(parts)
+        return ids, np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(of_doc)))
+
+    def _ids(
+        self, buffer: np.ndarray, raw: bytes, begin: np.ndarray, high: np.ndarray, end: np.ndarray, led: np.ndarray, feed: np.ndarray, odd: np.ndarray, doc: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of some words, and the text and number of ids of each of their parts; marks texts as odd."""
+        if self.n > self.most:
+            self.clear()
+        tail = high < end
         # parts in order: a line feed, the word, its marks
         many = 1 + feed.astype(np.int64) + tail
         place = np.cumsum(many) - many
         total = int(many.sum())
-        entry = np.zeros(total, dtype=np.int32)
-        key = np.zeros(total, dtype=U8)
         at_word, at_tail = place + feed, (place + feed + 1)[tail]
-        key[at_word] = arrays.hashes(buffer, begin, high - begin) ^ np.where(led, _LED, U8(0))
-        key[at_tail] = arrays.hashes(buffer, high[tail], (end - high)[tail])
-        key |= U8(1)
+        b, n, lead = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64), np.zeros(total, dtype=bool)
+        b[at_word], n[at_word], lead[at_word] = begin, high - begin, led
+        b[at_tail], n[at_tail] = high[tail], (end - high)[tail]
         asked = np.ones(total, dtype=bool)
         asked[place[feed]] = False
         asked = np.flatnonzero(asked)
-        found = self._find(key[asked])
-        missing = asked[found < 0]
+        b, n, lead = b[asked], n[asked], lead[asked]
+        key = self.keys_of(buffer, b, n) ^ np.where(lead, _LED, U8(0)) | U8(1)
+        marks = _marks(buffer, b, n, lead)
+        found = self._find(key)
+        missing = np.flatnonzero(found < 0)
         if missing.size:
-            b, n, lead = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64), np.zeros(total, dtype=bool)
-            b[at_word], n[at_word], lead[at_word] = begin, high - begin, led
-            b[at_tail], n[at_tail] = high[tail], (end - high)[tail]
             keys, at = np.unique(key[missing], return_index=True)
             at = missing[at]
-            self._learn(keys, [raw[x : x + y] for x, y in zip(b[at].tolist(), n[at].tolist())], lead[at])
-            found = self._find(key[asked])
+            self._learn(keys, [raw[x : x + y] for x, y in zip(b[at].tolist(), n[at].tolist())], lead[at], marks[:, at])
+            found[missing] = self._find(key[missing])
+        of = np.repeat(doc, many)
+        other = (self.marks[:, found] != marks).any(axis=0)
+        odd[of[asked[other]]] = True
+        entry = np.zeros(total, dtype=np.int32)
         entry[asked] = found
-        count = self.length[entry]
+        count = self.length[entry] * ~odd[of]  # a text that is odd by now goes to the tokenizer whole
         upto = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(count)))
-        ids = self.arena[np.repeat(self.offset[entry] - upto[:-1], count) + np.arange(upto[-1])]
-        of_doc = np.bincount(np.repeat(doc, many), weights=count, minlength=len(texts)).astype(np.int64)
-        slow = [i for i in np.flatnonzero(odd[:-1]).tolist() if texts[i]]
-        if slow:
-            cut = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(of_doc)))
-            parts = [ids[cut[i] : cut[i + 1]] for i in range(len(texts))]
-            for i in slow:
-                parts[i] = self.encode_text(texts[i].decode())
-                of_doc[i] = parts[i].size
-            ids = np.concatenate(parts)
-        return ids, np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(of_doc)))
+        return self.arena[np.repeat(self.offset[entry] - upto[:-1], count) + np.arange(upto[-1])], of, count
+
+    keys_of = staticmethod(arrays.hashes)
+
+
+def _marks(buffer: np.ndarray, begin: np.ndarray, length: np.ndarray, led: np.ndarray) -> np.ndarray:
+    """What tells byte ranges apart besides their hash: exact for up to 16 bytes."""
+    eight = np.ndarray(shape=(buffer.size - 7,), dtype="<u8", buffer=buffer.data, strides=(1,))
+    head = eight[begin] & arrays.low_bytes(length)
+    last = eight[begin + np.maximum(length - 8, 0)] & arrays.low_bytes(length)
+    long = np.flatnonzero(length > 16)
+    last[long] = arrays.hashes(buffer, begin[long], length[long], seed=99)
+    return np.stack((length.astype(U8) * U8(2) + led.astype(U8), head, last))
