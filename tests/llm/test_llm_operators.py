@@ -237,6 +237,7 @@ def test_attention_scores_each_id_once():
 def test_attention_learns_from_every_text(spark, monkeypatch):
     """The sample only sets the start: counts, classes and gradients are of all texts."""
     monkeypatch.setattr(attention, "DOCS", 2)
+    monkeypatch.setattr(attention, "SPACING", 1)
     rows = [(i, "plain words here" if i % 2 else "violet zebras dance") for i in range(60)] + [(60, "quartz " * 300), (61, "solo " * 20_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     ids, starts = attention.encoder(RANKS, PATTERN).encode([t.encode() for _, t in rows])
@@ -265,16 +266,42 @@ def test_attention_learns_from_every_text(spark, monkeypatch):
                 x.append(small[a[i : i + n] + [50_256] * (attention.WINDOW - n)])
                 c.append(m.of[b[i : i + n] + [50_256] * (attention.WINDOW - n)])
                 used.append(np.arange(attention.WINDOW) < n)
-        g = sums(part, p, small, m.of)
+        base = rng.standard_normal((seen.size + 1, attention.CLASSES))
+        g = sums(part, p, small, m.of, base)
         total += len(texts)
         if not texts:
             assert g is None
             continue
-        _, want = attention.gradients(p, np.array(x), np.array(c), np.array(used))
+        _, want = attention.gradients(p, np.array(x), np.array(c), np.array(used), base[np.array(x)])
         assert all(np.allclose(g[k], want[k], atol=1e-5) for k in p)
     assert total == len(rows)
 
 
+def test_attention_beats_a_bigram():
+    """Held out, the model knows more than an interpolated bigram of the same ids."""
+    r = random.Random(7)
+    kinds = {k: [r.randrange(40 * k, 40 * k + 60) for _ in range(40)] for k in range(4)}
+
+    def text():
+        k, out = r.randrange(4), []
+        for _ in range(r.randint(10, 120)):
+            out.append(r.choice(kinds[k]) if r.random() < 0.7 else r.randrange(200, 230))
+        return out
+
+    some = [text() for _ in range(500)]
+    ids, starts = np.concatenate(some[:400]), np.concatenate(([0], np.cumsum([len(t) for t in some[:400]])))
+    new, at = np.concatenate(some[400:]), np.concatenate(([0], np.cumsum([len(t) for t in some[400:]])))
+    m = attention.train(ids, starts, 300, 299, steps=200)
+    got = -m.score(new, at).sum() / (new.size + 100)
+    (s, y), (s2, y2) = attention.shifted(ids, starts, 299), attention.shifted(new, at, 299)
+    uni = (np.bincount(y, minlength=300) + 0.1) / (y.size + 30)
+    pairs = np.zeros((300, 300))
+    np.add.at(pairs, (s, y), 1)
+    total, seen = np.maximum(pairs.sum(axis=1), 1), (pairs > 0).sum(axis=1)
+    bigram = min(-np.log(np.maximum(pairs[s2, y2] - d, 0) / total[s2] + np.where(seen[s2] > 0, d * seen[s2] / total[s2], 1) * uni[y2]).mean() for d in (0.5, 0.7, 0.9))
+    assert got < bigram
+
+
 def test_word_scores(spark, odd):
     rows = [(i, t) for i, t in enumerate(["a b a", "b c", "A d", "", None, "zz a", "q " * 50])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
