@@ -1,19 +1,22 @@
 """License scan: phrases, and an exact containment join with license texts.
 
-DataFrame functions only.  Blocks are the lines of a text.  A template is in a
-block if at least ``THRESHOLD`` of its distinct words are among the block's.
+DataFrame functions only.  Blocks are windows of words, whatever lines and comment
+marks stand between them: for a template of t words the 2 t words from each
+multiple of t on, so that any t + 1 words in a row lie in one block.  A template is
+in a block if at least ``THRESHOLD`` of its distinct words are among the block's.
 
 Join: the templates' words are ordered by how many documents of the whole table
 hold them, rarest first (a count of a fixed vocabulary, so it is small).  For a
-template of t words of which ``need`` must be there, a block that meets the
-threshold holds at least one of the t - need + 1 rarest, its prefix; so blocks
-and templates are joined on prefix words.  A pair goes on only if the block has
-``need`` words of the vocabulary at all (length filter) and enough of them from
-the matching word on, in both (position filter).  What is left is counted.
+template of n distinct words of which ``need`` must be there, a block that meets
+the threshold holds at least one of the n - need + 1 rarest, its prefix; so places
+of prefix words are joined with templates, which gives the blocks around them.  A
+block goes on only if it has ``need`` words of the vocabulary at all (length
+filter) and enough of them from the matching word on, in both (position filter).
+What is left is counted.  Each place carries only the vocabulary words near it, so
+the work grows with the text's length.
 
 Cases: a null text counts as empty and has no words, no labels and null
-``first_word`` and ``last_word``.  Repeated rows get equal results each.  Empty
-lines are blocks without words.  Columns named like a result are replaced, all
+``first_word`` and ``last_word``.  Repeated rows get equal results each.  Columns named like a result are replaced, all
 others are kept.
 """
 
@@ -105,16 +108,17 @@ def scan(
     spark = df.sparkSession
     own = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     others = [c for c in df.columns if c != text and c not in own]
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, s in sets for w in s})
+    sets = [(label, sorted(set(t.split())), len(t.split())) for label, t in templates]
+    vocabulary = sorted({w for _, s, _ in sets for w in s})
     order = global_order(df, text, vocabulary)
     rank = {w: i for i, w in enumerate(order)}
     prefix = []
-    for label, s in sets:
+    for label, s, size in sets:
         ranks, least = sorted(rank[w] for w in s), need(len(s), threshold)
-        prefix += [(ranks[i], label, i, least, ranks) for i in range(len(ranks) - least + 1)]
-    table = spark.createDataFrame(prefix, "rank int, label string, i int, least int, ranks array<int>")
-    rare = sorted({order[p[0]] for p in prefix})
+        prefix += [(ranks[i], label, i, least, ranks, size) for i in range(len(ranks) - least + 1)]
+    table = spark.createDataFrame(prefix, "rank int, label string, i int, least int, ranks array<int>, size int")
+    rare = sorted({p[0] for p in prefix})
+    far = 2 * max((size for _, _, size in sets), default=1)  # words to both sides that a block may reach
 
     t = F.coalesce(F.col(text), F.lit(""))
     low = F.lower(t)
@@ -127,23 +131,28 @@ def scan(
     exact = F.when(hint, _words(_ascii_lower(F.col("_text"))))
     base = base.select(
         *others, F.size("_words").cast("long").alias("n_words"), F.concat(F.lit(" "), F.array_join(exact, "  "), F.lit(" ")).alias("_exact"),
-        F.when(F.arrays_overlap("_words", _strings(rare)), F.split(_ascii_lower(F.col("_text")), "\n")).alias("_lines"),
+        F.when(F.arrays_overlap("_words", _strings([order[r] for r in rare])), F.col("_words")).alias("_words"),
     )
     n, first, last, labels = phrase_places(F.col("n_words"), F.col("_exact"), phrases)
     found = F.col("_exact").isNotNull()
-    # vocabulary words of each block by rank; blocks without a prefix word are left out
-    ranks_of = lambda line: F.array_sort(F.transform(F.array_intersect(_words(line), _strings(order)), lambda w: F.array_position(_strings(order), w).cast("int") - 1))
-    rare_ranks = F.array(*[F.lit(rank[w]) for w in rare]) if rare else F.array().cast("array<int>")
-    blocks = F.filter(F.transform("_lines", ranks_of), lambda b: F.arrays_overlap(b, rare_ranks))
+    numbers = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))]) if rank else F.lit(None).cast("map<string,int>")
+    # places and ranks of vocabulary words; then the places of prefix words, each with the vocabulary words around it
+    hits = F.filter(F.transform("_words", lambda w, i: F.struct(i.alias("at"), F.try_element_at(numbers, w).alias("rank"))), lambda x: x["rank"].isNotNull())
     docs = base.select(
         *others, "n_words", F.when(found, n).otherwise(0).cast("long").alias("n_base"), F.when(found, first).alias("first_word"),
         F.when(found, last).alias("last_word"), F.when(found, labels).otherwise(F.array().cast("array<string>")).alias("_base"),
-        F.monotonically_increasing_id().alias("_row"), blocks.alias("_blocks"),
+        F.monotonically_increasing_id().alias("_row"), hits.alias("_hits"),
     )
-    each = docs.withColumn("_b", F.explode_outer("_blocks")).drop("_blocks")
-    pairs = each.select("*", F.posexplode_outer("_b").alias("_j", "_rank"))
-    joined = pairs.join(F.broadcast(table), F.col("_rank") == F.col("rank"), "left")  # a few rows for each template
-    fits = (F.size("_b") - F.col("_j") >= F.col("least")) & (F.size("ranks") - F.col("i") >= F.col("least"))
+    numbered = F.filter(F.transform("_hits", lambda x, k: F.struct(x["at"].alias("at"), x["rank"].alias("rank"), k.alias("k"))), lambda x: x["rank"].isin(rare) if rare else F.lit(False))
+    near = F.transform(numbered, lambda x: F.struct(x["at"], x["rank"], F.slice("_hits", F.greatest(x["k"] + 1 - far, F.lit(1)), F.lit(2 * far + 1)).alias("near")))
+    each = docs.withColumn("_p", F.explode_outer(near)).drop("_hits")
+    joined = each.join(F.broadcast(table), F.col("_p.rank") == F.col("rank"), "left")  # a few rows for each template
+    step = F.floor(F.col("_p.at") / F.col("size")).cast("int")
+    joined = joined.withColumn("_w", F.explode_outer(F.when(step > 0, F.array(step - 1, step)).when(step == 0, F.array(step))))
+    in_block = lambda x: (x["at"] >= F.col("_w") * F.col("size")) & (x["at"] < (F.col("_w") + 2) * F.col("size"))
+    joined = joined.withColumn("_b", F.array_sort(F.array_distinct(F.transform(F.filter("_p.near", in_block), lambda x: x["rank"]))))
+    place = F.array_position("_b", F.col("rank")).cast("int") - 1
+    fits = (F.size("_b") >= F.col("least")) & (F.size("_b") - place >= F.col("least")) & (F.size("ranks") - F.col("i") >= F.col("least"))
     overlap = F.when(fits, F.size(F.array_intersect("_b", "ranks"))).otherwise(0)
     joined = joined.select(*others, "n_words", "n_base", "first_word", "last_word", "_base", "_row", "label", F.when(overlap >= F.col("least"), overlap / F.size("ranks")).alias("_c"))
     keep = [F.first(c).alias(c) for c in [*others, "n_words", "n_base", "first_word", "last_word", "_base"]]
@@ -162,15 +171,15 @@ def oracle() -> str:
     places = ", ".join(f"list_filter(range(0, greatest(len(w) - {size[p] - 1}, 0)), lambda i: {at(p)}) AS p{k}" for k, (p, _) in enumerate(PHRASES))
     every = "list_concat(list_concat(p0, p1), list_concat(p2, p3))"
     base = "list_filter([" + ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(PHRASES)) + "], lambda x: x IS NOT NULL)"
-    rows = ", ".join(f"('{label}', {sorted(set(t.split()))!r}, {need(len(set(t.split())), THRESHOLD)})" for label, t in TEMPLATES)
+    rows = ", ".join(f"('{label}', {sorted(set(t.split()))!r}, {need(len(set(t.split())), THRESHOLD)}, {len(t.split())})" for label, t in TEMPLATES)
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
-    WITH t(label, words, least) AS (VALUES {rows}),
-    d AS (SELECT doc_id, {low} AS x, regexp_extract_all({low}, '{WORD}') AS w FROM documents),
+    WITH t(label, words, least, size) AS (VALUES {rows}),
+    d AS (SELECT doc_id, regexp_extract_all({low}, '{WORD}') AS w FROM documents),
     b AS (SELECT doc_id, len(w) AS n_words, {places} FROM d),
-    l AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(x, chr(10))), '{WORD}')) AS s FROM d),
-    m AS (SELECT doc_id, label, max(len(list_intersect(s, words)) / len(words)) AS c
-          FROM l, t WHERE len(list_intersect(s, words)) >= least GROUP BY ALL),
+    l AS (SELECT doc_id, label, words, least, size, w, unnest(range(0, len(w) // size + 1)) AS k FROM d, t),
+    m AS (SELECT doc_id, label, max(c / n) AS c FROM (SELECT doc_id, label, least, len(words) AS n, len(list_intersect(list_distinct(w[k * size + 1 : (k + 2) * size]), words)) AS c FROM l)
+          WHERE c >= least GROUP BY ALL),
     g AS (SELECT doc_id, list(label) AS more, max(c) AS score FROM m GROUP BY ALL)
     SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len({every}) AS BIGINT) AS n_base,
            CAST(list_min({every}) AS BIGINT) AS first_word, CAST(list_max({every}) AS BIGINT) AS last_word,

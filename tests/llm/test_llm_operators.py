@@ -174,16 +174,24 @@ def test_held_out_is_crc32(spark):
 # 4 licences
 
 
+WRAPPED = """intro text
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of it, or later.
+"""
+
+
 def test_license_scan(spark, odd):
     docs = [
         (1, "Licensed under the Apache License, Version 2.0."), (2, "CC BY CC BY-NC cc by"), (3, "GNU General Public License"), (4, "Licensed under CC BY-NC 4.0."), (5, "Released under the MIT License.\nMIT License"),
-        (6, "released\nunder the mit license"), (7, "\u212a License mit  license"),
+        (6, "released\nunder the mit license"), (8, WRAPPED), (9, "released " + "x " * 12 + "under the mit license"), (7, "\u212a License mit  license"),
     ]
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string").withColumn("labels", F.lit(1))).collect()}
     assert (got[1].labels, got[1].n_base, got[1].first_word) == ("apache,apache-notice", 1, 3)
     assert (got[2].n_base, got[2].first_word, got[2].last_word, got[2].labels) == (3, 0, 5, "cc-by")
     assert got[3].labels == "gpl" and got[4].labels == "cc-by,cc-by-family-notice,cc-by-nc-notice" and got[5].labels == "mit,mit-notice" and got[5].score == 1.0
-    assert got[6].labels == "mit" and (got[7].n_words, got[7].n_base, got[7].first_word) == (4, 1, 2)
+    assert got[6].labels == "mit,mit-notice" and (got[7].n_words, got[7].n_base, got[7].first_word) == (4, 1, 2)
+    assert got[8].labels == "gpl,gpl-program" and got[8].score > 0.9 and got[9].labels == "mit"
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(odd.limit(0)).count() == 0
     none_ = [r for r in licenses.scan(odd).collect() if r.doc_id == 3]
     assert len(none_) == 2 and none_[0].n_words == 0 and none_[0].first_word is None and none_[0].labels == ""
