@@ -296,9 +296,10 @@ def _scores_sql(method: str) -> str:
  b AS (SELECT x.term AS a, y.term AS b, max(ic.ic) AS m FROM (SELECT DISTINCT u.* FROM up u JOIN pt ON pt.term = u.term) x JOIN (SELECT DISTINCT u.* FROM up u JOIN prof ON prof.term = u.term) y ON x.ancestor = y.ancestor JOIN ic ON ic.term = x.ancestor WHERE ic.ic > 0 GROUP BY ALL),
  ps AS (SELECT b.a, b.b, m, i.ic AS ia, j.ic AS ib FROM b JOIN ic i ON i.term = b.a JOIN ic j ON j.term = b.b),
  s AS (SELECT a, b, {_SIM[method]} AS sim FROM {"b" if method == "resnik" else "ps"}),
- h AS (SELECT pt.id, prof.entity_id, s.a, s.b, s.sim FROM pt JOIN s ON s.a = pt.term JOIN prof ON prof.term = s.b),
- r AS (SELECT id, entity_id, sum(x) AS rs FROM (SELECT id, entity_id, a, max(sim) AS x FROM h GROUP BY ALL) GROUP BY ALL),
- c AS (SELECT id, entity_id, sum(x) AS cs FROM (SELECT id, entity_id, b, max(sim) AS x FROM h GROUP BY ALL) GROUP BY ALL),
+ ea AS (SELECT s.a, prof.entity_id, max(s.sim) AS x FROM s JOIN prof ON prof.term = s.b GROUP BY ALL),
+ r AS (SELECT pt.id, entity_id, sum(x) AS rs FROM pt JOIN ea ON ea.a = pt.term GROUP BY ALL),
+ pb AS (SELECT pt.id, s.b, max(s.sim) AS x FROM pt JOIN s ON s.a = pt.term GROUP BY ALL),
+ c AS (SELECT pb.id, prof.entity_id, sum(x) AS cs FROM pb JOIN prof ON prof.term = pb.b GROUP BY ALL),
  np AS (SELECT id, count(*) AS n FROM pt GROUP BY 1), ne AS (SELECT entity_id, count(*) AS n FROM prof GROUP BY 1),
  sc AS (SELECT np.id, ne.entity_id, round((coalesce(rs, 0) / np.n + coalesce(cs, 0) / ne.n) / 2, 9) AS score FROM np CROSS JOIN ne LEFT JOIN r ON r.id = np.id AND r.entity_id = ne.entity_id LEFT JOIN c ON c.id = np.id AND c.entity_id = ne.entity_id)"""
 
@@ -312,7 +313,7 @@ def _profiles(spark, sf_dir) -> DataFrame:
 
 
 def _scores(spark, sf_dir, method: str) -> DataFrame:
-    patients, profiles, closed = Y.run(spark, sf_dir, Y.braces(Y.PATIENTS), "lineitem", "orders"), _profiles(spark, sf_dir), _closed(spark, sf_dir)
+    patients, profiles, closed = Y.run(spark, sf_dir, Y.braces(Y.PATIENTS), "lineitem"), _profiles(spark, sf_dir), _closed(spark, sf_dir)
     ic = S.information_content(closed, profiles.withColumnRenamed("entity_id", "item"))
     scores = S.set_similarity(patients, profiles, S.pair_similarity(patients, profiles, closed, ic, method))
     return scores.withColumn("score", F.round("score", 9))
@@ -346,7 +347,7 @@ _RANKED = _scores_sql("resnik") + """, t AS (SELECT sc.id, sc.entity_id AS g, sc
 
 
 def _results(spark, sf_dir) -> DataFrame:
-    truth = Y.run(spark, sf_dir, Y.braces(Y.TRUTH), "lineitem", "orders")
+    truth = Y.run(spark, sf_dir, Y.braces(Y.TRUTH), "lineitem")
     return S.evaluate(_scores(spark, sf_dir, "resnik"), truth)
 
 

@@ -65,13 +65,16 @@ def set_similarity(patients: DataFrame, profiles: DataFrame, pairs: DataFrame) -
     """id, entity_id and score of every patient with every entity: mean of the two best-match averages.
 
     ``patients`` (id, term) and ``profiles`` (entity_id, term).  Only pairs of terms
-    with some similarity are joined; sets without any score 0.
+    with some similarity are joined; sets without any score 0.  The best match of a
+    patient's term in an entity does not depend on the patient, nor that of an
+    entity's term in a patient on the entity, so each is found once before they meet.
     """
     p, e = patients.select("id", "term").distinct(), profiles.select("entity_id", "term").distinct()
     np_, ne = p.groupBy("id").agg(F.count("*").alias("np")), e.groupBy("entity_id").agg(F.count("*").alias("ne"))
-    hit = p.join(pairs, p["term"] == pairs["a"]).join(e, F.col("b") == e["term"]).select("id", "entity_id", "a", "b", "sim")
-    rows = hit.groupBy("id", "entity_id", "a").agg(F.max("sim").alias("m")).groupBy("id", "entity_id").agg(F.sum("m").alias("rs"))
-    cols = hit.groupBy("id", "entity_id", "b").agg(F.max("sim").alias("m")).groupBy("id", "entity_id").agg(F.sum("m").alias("cs"))
+    in_entity = pairs.join(e.withColumnRenamed("term", "b"), "b").groupBy("a", "entity_id").agg(F.max("sim").alias("m"))
+    rows = p.withColumnRenamed("term", "a").join(in_entity, "a").groupBy("id", "entity_id").agg(F.sum("m").alias("rs"))
+    in_patient = p.withColumnRenamed("term", "a").join(pairs, "a").groupBy("id", "b").agg(F.max("sim").alias("m"))
+    cols = in_patient.join(e.withColumnRenamed("term", "b"), "b").groupBy("id", "entity_id").agg(F.sum("m").alias("cs"))
     both = rows.join(cols, ["id", "entity_id"])
     every = np_.crossJoin(F.broadcast(ne) if ne.count() <= 200_000 else ne)  # the result itself has every pair
     found = every.join(both, ["id", "entity_id"], "left")

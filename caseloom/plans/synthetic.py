@@ -60,10 +60,11 @@ EDGES = (
     f"SELECT {TERM('p_partkey')} AS child, {TERM('CAST(floor(p_partkey / 3) AS BIGINT)')} AS parent FROM PART WHERE p_partkey > 0 "
     f"UNION SELECT {TERM('p_partkey')}, {TERM('CAST(floor(p_partkey / 4) AS BIGINT)')} FROM PART WHERE p_partkey > 0 AND p_partkey % 7 = 0"
 )
-#: Genes are suppliers, their terms the parts of some of their lines; patients are some orders.
-PROFILES = f"SELECT DISTINCT 'GENE' || CAST(l_suppkey AS STRING) AS entity_id, {TERM('l_partkey')} AS term FROM LINEITEM WHERE l_linenumber = 1"
-PATIENTS = f"SELECT DISTINCT 'CASE' || CAST(l_orderkey + 1 AS STRING) AS id, {TERM('l_partkey')} AS term FROM LINEITEM JOIN ORDERS ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'"
-TRUTH = "SELECT 'CASE' || CAST(l_orderkey + 1 AS STRING) AS id, min('GENE' || CAST(l_suppkey AS STRING)) AS entity_id FROM LINEITEM JOIN ORDERS ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' GROUP BY l_orderkey"
+#: Genes are suppliers, their terms the parts of all their lines.  Patients are the query set of the
+#: search: every order whose key is divisible by 20, held against all genes and all annotations.
+PROFILES = f"SELECT DISTINCT 'GENE' || CAST(l_suppkey AS STRING) AS entity_id, {TERM('l_partkey')} AS term FROM LINEITEM"
+PATIENTS = f"SELECT DISTINCT 'CASE' || CAST(l_orderkey + 1 AS STRING) AS id, {TERM('l_partkey')} AS term FROM LINEITEM WHERE l_orderkey % 20 = 0"
+TRUTH = "SELECT 'CASE' || CAST(l_orderkey + 1 AS STRING) AS id, min('GENE' || CAST(l_suppkey AS STRING)) AS entity_id FROM LINEITEM WHERE l_orderkey % 20 = 0 GROUP BY l_orderkey"
 
 
 def braces(sql: str) -> str:
