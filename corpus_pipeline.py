@@ -66,10 +66,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    previous = None
     for name, stage in STAGES:
         docs, path = scratch.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        if previous:
-            scratch.drop(spark, previous)
-        previous = path
+        scratch.clear(spark, path)  # what the stage and the one before it have written
     return docs
