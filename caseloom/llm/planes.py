@@ -15,9 +15,12 @@ alone.  Layout of a file::
 All numbers are little-endian.  Byte planes take ``width`` planes of
 ``block`` bytes; bit planes take ``8 * width`` planes of ``block / 8`` bytes.
 
-Documents are dealt by ranges of doc_id and sorted within each range, so the
-files in order of their number hold the documents in ascending doc_id order
-(null ids first; documents with equal doc_id in any order among themselves).
+Documents are dealt by ranges of doc_id, then of a hash of the text and the row's
+place in the input, so that one doc_id may be spread over many files, and sorted
+within each range: the files in order of their number hold the documents in
+ascending doc_id order (null ids first).  There are as many files as shuffle
+partitions, or more, so that one has about ``FILE_BYTES`` of text.  A file is read
+in pieces of about ``PIECE`` ids by the chunk index, one task each.
 Files are written under a name of the task attempt and moved when whole; the
 manifest names the file that counts, so a task that is run twice leaves the
 other unread.
@@ -49,6 +52,7 @@ from caseloom.llm.subwords import Subwords
 MAGIC = b"CLPL1\0\0\0"
 FOOTER = struct.Struct("<IIIQQQQQI8s")
 BLOCK = 1 << 16
+FILE_BYTES, PIECE = 256 << 20, 1 << 22
 
 
 @lru_cache(maxsize=2)
@@ -159,10 +163,15 @@ class Reader:
         ids = np.concatenate([self.read_block(k) for k in range(first, last + 1)])
         return ids[start - first * self.block :][:n]
 
-    def each(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """doc_id, first place in this file and ids of every document, one block in memory at a time."""
-        rest, k, at = np.zeros(0, dtype="<u4"), 0, 0
-        for doc_id, n in self.documents.tolist():
+    def each(self, low: int = 0, high: int | None = None) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """doc_id, first place in this file and ids of every document that starts from ``low`` to before ``high``, one block in memory at a time."""
+        starts = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(self.documents["n"].astype(np.int64))))
+        first, last = np.searchsorted(starts[:-1], [low, starts[-1] + 1 if high is None else high])
+        at = int(starts[first])
+        k, rest = at // self.block, np.zeros(0, dtype="<u4")
+        if first < last and at % self.block:
+            rest, k = self.read_block(k)[at % self.block :], k + 1
+        for doc_id, n in self.documents[first:last].tolist():
             parts = [rest]
             have = rest.size
             while have < n:
@@ -185,7 +194,9 @@ def write(
     """
     spark = df.sparkSession
     folder = folder or scratch.new_path(spark, "planes")
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     schema = "number long, file string, n_docs long, n_tokens long, n_bytes long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +222,8 @@ def write(
         store.move(f"{base}/{name}.part", f"{base}/{name}")
         yield pa.RecordBatch.from_pydict({"number": [number], "file": [f"{folder}/{name}"], "n_docs": [docs], "n_tokens": [w.n_ids], "n_bytes": [size]})
 
-    only = df.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text))
-    dealt = only.repartitionByRange(n, doc_id).sortWithinPartitions(doc_id)
+    only = df.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text), F.xxhash64(text).alias("_h"), F.monotonically_increasing_id().alias("_k"))
+    dealt = only.repartitionByRange(files, doc_id, "_h", "_k").sortWithinPartitions(doc_id, "_h", "_k").drop("_h", "_k")
     return scratch.stored(dealt.mapInArrow(run, schema), "manifest")[0]
 
 
@@ -224,19 +235,20 @@ def read(manifest: DataFrame) -> DataFrame:
     before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each file: the running sum is over file sizes only
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    placed = placed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_tokens") - 1) / PIECE).cast("int"))))
     n = manifest.sparkSession.sparkContext.defaultParallelism
-    placed = placed.repartition(max(n, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "number")
+    placed = placed.repartition(max(n, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "number", "piece")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "n_tokens", "ids"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist()):
+            for file, base, piece in zip(*(batch.column(c).to_pylist() for c in ("file", "base", "piece"))):
                 store, name = fs.FileSystem.from_uri(file)
                 with store.open_input_file(name) as f:
                     rows: list[tuple] = []
                     held = 0
-                    for doc_id, at, ids in Reader(f).each():
+                    for doc_id, at, ids in Reader(f).each(piece * PIECE, (piece + 1) * PIECE):
                         rows.append((doc_id, base + at, ids.size, ids.tobytes()))
                         held += 4 * ids.size
                         if held > arrays.MAX_BYTES:

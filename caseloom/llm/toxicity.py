@@ -256,7 +256,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         arrays.trim()
 
     rows = sample(docs, labels, key, text, toxic).repartition(1).sortWithinPartitions("h", "key")
-    return pickle.loads(rows.select("text", "y").mapInArrow(run, "chain binary").first()[0])
+    made = rows.select("text", "y").mapInArrow(run, "chain binary").first()  # none where no task has rows
+    return pickle.loads(made[0]) if made else Chain()
 
 
 def score(df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
