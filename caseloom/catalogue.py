@@ -7,7 +7,7 @@ the oracle states the rule again in another engine's SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions import clinical as C
@@ -424,8 +424,9 @@ def json_path(spark, sf_dir):
 def label_auc(spark, sf_dir):
     """Area under the curve of text length for quality, by ranks: no pairs are made."""
     s = Y.table(spark, sf_dir, "labels").join(Y.table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
-    by = s.groupBy("n_chars").agg(F.count_if(F.col("quality") == 1).alias("p"), F.count_if(F.col("quality") == 0).alias("n"))
-    from pyspark.sql import Window
-
-    below = F.coalesce(F.sum("n").over(Window.orderBy("n_chars").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return by.withColumn("below", below).agg(F.round(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)) / (F.sum("p") * F.sum("n")), 6).alias("auc"))
+    by = s.groupBy("n_chars").agg(F.count_if(F.col("quality") == 1).alias("p"), F.count_if(F.col("quality") == 0).alias("n")).withColumn("block", F.shiftright("n_chars", 16))
+    so_far = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # lengths are 32-bit: at most 2**15 blocks of at most 2**16 lengths
+    blocks = by.groupBy("block").agg(F.sum("n").alias("n")).select("block", so_far("n", Window.orderBy("block")).alias("before"))
+    below = by.withColumn("inside", so_far("n", Window.partitionBy("block").orderBy("n_chars"))).join(blocks, "block")
+    return below.agg(F.round(F.sum(F.col("p") * (F.col("before") + F.col("inside") + F.col("n") / 2)) / (F.sum("p") * F.sum("n")), 6).alias("auc"))

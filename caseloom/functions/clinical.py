@@ -120,7 +120,18 @@ def labelled(**columns: Column) -> Column:
 
 
 def phenotype_parts(c: Column, term_of: Column | None = None) -> Column:
-    """struct(hpo, omim, text): sorted distinct ids and unmapped labels of a text.
+    """struct(hpo, omim, text): sorted distinct ids and unmapped labels of a text; see ``phenotype_pieces``."""
+    return phenotype_sets(phenotype_pieces(c, term_of))
+
+
+def phenotype_sets(pieces: Column) -> Column:
+    """struct(hpo, omim, text) over all pieces of a text."""
+    pick = lambda k: sorted_distinct(F.flatten(F.transform(pieces, lambda x: x[k])))
+    return F.struct(pick("hpo").alias("hpo"), pick("omim").alias("omim"), pick("text").alias("text"))
+
+
+def phenotype_pieces(c: Column, term_of: Column | None = None) -> Column:
+    """A struct(hpo, omim, text) of arrays for each part of a text.
 
     Parts are separated by ``|`` or ``,``.  A part with a label before a term id
     gives that id only; else one with a label before a disease id gives that; else
@@ -143,9 +154,7 @@ def phenotype_parts(c: Column, term_of: Column | None = None) -> Column:
         make = lambda h, o, t: F.struct(h.alias("hpo"), o.alias("omim"), t.alias("text"))
         return F.when(hpo != "", make(F.array(hpo), empty, empty)).when(omim != "", make(empty, F.array(omim), empty)).otherwise(make(as_hpo, bare_o, as_text))
 
-    found = F.transform(pieces, one)
-    pick = lambda k: sorted_distinct(F.flatten(F.transform(found, lambda x: x[k])))
-    return F.struct(pick("hpo").alias("hpo"), pick("omim").alias("omim"), pick("text").alias("text"))
+    return F.transform(pieces, one)
 
 
 def variant_expressions(v: Column) -> Column:

@@ -23,49 +23,73 @@ def _finding(field: Column | str, message: Column, severity: str = "ERROR") -> C
     return F.array(F.struct((F.lit(field) if isinstance(field, str) else field).alias("field"), message.alias("message"), F.lit(severity).alias("severity")))
 
 
-def _has(doc: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(doc), key), F.lit(False))
+def _members(doc: Column) -> Column:
+    """The members of an object as texts; null for anything else."""
+    return F.from_json(doc, "map<string,string>")
 
 
-def _empty(doc: Column, key: str) -> Column:
+def _has(members: Column, key: str) -> Column:
+    return F.coalesce(F.map_contains_key(members, key), F.lit(False))
+
+
+def _empty(members: Column, key: str) -> Column:
     """Absent, null, or an empty value."""
-    value = F.get_json_object(doc, f"$.{key}")
-    return ~_has(doc, key) | value.isNull() | value.isin("", "[]", "{}", "0", "false", "null")
+    value = members[key]
+    return ~_has(members, key) | value.isNull() | value.rlike(r"^(?:\[\s*\]|\{\s*\}|0|false|null|)$")
 
 
-def _required(doc: Column, key: str, context: Column) -> Column:
+def _required(members: Column, key: str, context: Column) -> Column:
     text = F.concat(F.lit("["), context, F.lit(f"] Required field '{key}' is missing or empty"))
-    return F.when(_empty(doc, key), _finding(key, text)).otherwise(_none())
+    return F.when(_empty(members, key), _finding(key, text)).otherwise(_none())
 
 
-def _items(doc: Column, key: str) -> Column:
-    return F.coalesce(F.from_json(F.get_json_object(doc, f"$.{key}"), "array<string>"), F.array().cast("array<string>"))
+def _items(text: Column) -> Column:
+    return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
 
 
 def _each(items: Column, rule) -> Column:
     return F.flatten(F.transform(items, rule))
 
 
-def findings(doc: Column, name: Column) -> Column:
-    """All findings of one document, errors and warnings."""
+def parsed(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Adds the members that rules look at, each level parsed once: a projection for the document, one for what is in it."""
+    top = docs.withColumn("_top", _members(F.col(doc)))
+    member = lambda key: F.col("_top")[key]
+    maps = lambda key: F.transform(_items(member(key)), _members)
+    feature = lambda m: F.struct(_has(m, "type").alias("typed"), _members(m["type"]).alias("kind"))
+    genomic = lambda m: F.transform(_items(F.get_json_object(m["diagnosis"], "$.genomicInterpretations")), _members)
+    return top.withColumns(
+        {
+            "_subject": _members(member("subject")), "_meta": _members(member("metaData")), "_features": F.transform(maps("phenotypicFeatures"), feature),
+            "_interpretations": F.transform(maps("interpretations"), lambda m: F.struct(m.alias("own"), genomic(m).alias("genomic"))),
+            "_diseases": F.transform(maps("diseases"), lambda m: _has(m, "term")),
+        }
+    )
+
+
+_PARSED = ("_top", "_subject", "_meta", "_features", "_interpretations", "_diseases")
+
+
+def findings(name: Column) -> Column:
+    """All findings of one document of ``parsed``, errors and warnings."""
+    top, subject, meta = (F.col(c) for c in _PARSED[:3])
     at = lambda i, key: F.concat(F.lit(f"{key}["), i.cast("string"), F.lit("]"))
     says = lambda *xs: F.concat(F.lit("["), name, F.lit("] "), *[F.lit(x) if isinstance(x, str) else x for x in xs])
-    subject = F.get_json_object(doc, "$.subject")
-    sex = F.get_json_object(subject, "$.sex")
+    sex = subject["sex"]
     for_subject = F.concat(
         _required(subject, "id", F.concat(name, F.lit(".subject"))),
         F.when(_has(subject, "sex") & ~F.coalesce(sex.isin(*SEXES), F.lit(False)), _finding("subject.sex", says("Invalid sex value: ", F.coalesce(sex, F.lit("None")), ". Must be one of ", str(list(SEXES))))).otherwise(_none()),
     )
 
     def feature(f: Column, i: Column) -> Column:
-        kind = F.get_json_object(f, "$.type")
-        id_ = F.get_json_object(kind, "$.id")
+        kind = f["kind"]
+        id_ = kind["id"]
         bad_id = _has(kind, "id") & ~F.coalesce(id_.startswith("HP:"), F.lit(False))
         in_type = F.concat(
             F.when(~_has(kind, "id"), _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type")), says("Feature type missing required 'id' field"))).otherwise(_none()),
             F.when(bad_id, _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type.id")), says("ID ", F.coalesce(id_, F.lit("None")), " doesn't appear to be an HPO term"), "WARNING")).otherwise(_none()),
         )
-        return F.when(~_has(f, "type"), _finding(at(i, "phenotypicFeatures"), says("Feature missing required 'type' field"))).otherwise(in_type)
+        return F.when(~f["typed"], _finding(at(i, "phenotypicFeatures"), says("Feature missing required 'type' field"))).otherwise(in_type)
 
     def genomic(context: Column):
         def one(g: Column, i: Column) -> Column:
@@ -76,38 +100,36 @@ def findings(doc: Column, name: Column) -> Column:
 
     def interpretation(x: Column, i: Column) -> Column:
         inside = F.concat(name, F.lit("."), at(i, "interpretations"))
-        status = F.get_json_object(x, "$.progressStatus")
-        bad = _has(x, "progressStatus") & ~F.coalesce(status.isin(*PROGRESS), F.lit(False))
+        status = x["own"]["progressStatus"]
+        bad = _has(x["own"], "progressStatus") & ~F.coalesce(status.isin(*PROGRESS), F.lit(False))
         return F.concat(
-            _required(x, "id", inside),
+            _required(x["own"], "id", inside),
             F.when(bad, _finding(F.concat(at(i, "interpretations"), F.lit(".progressStatus")), says("Invalid progressStatus: ", F.coalesce(status, F.lit("None"))))).otherwise(_none()),
-            _each(_items(x, "diagnosis.genomicInterpretations"), genomic(F.concat(inside, F.lit(".diagnosis")))),
+            _each(x["genomic"], genomic(F.concat(inside, F.lit(".diagnosis")))),
         )
 
-    disease = lambda x, i: F.when(~_has(x, "term"), _finding(at(i, "diseases"), says("Disease missing required 'term' field"))).otherwise(_none())
-    meta = F.get_json_object(doc, "$.metaData")
+    disease = lambda has, i: F.when(~has, _finding(at(i, "diseases"), says("Disease missing required 'term' field"))).otherwise(_none())
     inside = F.concat(name, F.lit(".metaData"))
     for_meta = F.concat(
         _required(meta, "created", inside), _required(meta, "phenopacketSchemaVersion", inside),
         F.when(_empty(meta, "resources"), _finding("metaData.resources", says("Resources field is recommended"), "WARNING")).otherwise(_none()),
     )
     return F.concat(
-        _required(doc, "id", name), _required(doc, "metaData", name),
-        F.when(_has(doc, "subject"), for_subject).otherwise(_finding("subject", says("Subject is recommended but missing"), "WARNING")),
-        _each(_items(doc, "phenotypicFeatures"), feature), _each(_items(doc, "interpretations"), interpretation), _each(_items(doc, "diseases"), disease),
-        F.when(_has(doc, "metaData"), for_meta).otherwise(_none()),
+        _required(top, "id", name), _required(top, "metaData", name),
+        F.when(_has(top, "subject"), for_subject).otherwise(_finding("subject", says("Subject is recommended but missing"), "WARNING")),
+        _each(F.col("_features"), feature), _each(F.col("_interpretations"), interpretation), _each(F.col("_diseases"), disease),
+        F.when(_has(top, "metaData"), for_meta).otherwise(_none()),
     )
 
 
 def validate(docs: DataFrame, doc: str = "doc", number: str | None = None) -> DataFrame:
     """Adds name, errors, warnings and valid; without an id a document is named by its number."""
-    id_ = F.get_json_object(doc, "$.id")
-    name = F.coalesce(id_, F.concat(F.lit("phenopacket_"), (F.col(number) + 1).cast("string")) if number else F.lit(""))
+    name = F.coalesce(F.col("_top")["id"], F.concat(F.lit("phenopacket_"), (F.col(number) + 1).cast("string")) if number else F.lit(""))
     broken = F.try_parse_json(doc).isNull()
-    found = F.when(broken, _finding("", F.lit("Invalid JSON"))).otherwise(findings(F.col(doc), name))
-    out = docs.withColumns({"name": name, "_f": found})
+    named = parsed(docs, doc).withColumn("name", name)
+    out = named.withColumn("_f", F.when(broken, _finding("", F.lit("Invalid JSON"))).otherwise(findings(F.col("name"))))
     of = lambda s: F.filter("_f", lambda x: x["severity"] == s)
-    return out.withColumns({"errors": of("ERROR"), "warnings": of("WARNING")}).withColumn("valid", F.size("errors") == 0).drop("_f")
+    return out.withColumns({"errors": of("ERROR"), "warnings": of("WARNING")}).withColumn("valid", F.size("errors") == 0).drop("_f", *_PARSED)
 
 
 def totals(validated: DataFrame) -> DataFrame:

@@ -29,7 +29,9 @@ def parse_cases(cases: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
     ``terms`` (name, id) maps free text by a join.
     """
-    both = cases.withColumns({"_p": C.phenotype_parts(F.col("phenotypes")), "_row": F.monotonically_increasing_id()})
+    # the pieces stand in a projection of their own, so that a text is taken apart once
+    pieces = cases.withColumn("_pieces", C.phenotype_pieces(F.col("phenotypes")))
+    both = pieces.withColumns({"_p": C.phenotype_sets(F.col("_pieces")), "_row": F.monotonically_increasing_id()}).drop("_pieces")
     hpo, free = F.col("_p.hpo"), F.col("_p.text")
     if terms is not None:
         each = both.select("_row", F.explode("_p.text").alias("text"))
