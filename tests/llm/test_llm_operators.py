@@ -251,7 +251,7 @@ def test_attention_learns_from_every_text(spark, monkeypatch):
     ids, starts = attention.encoder(RANKS, PATTERN).encode([t.encode() for _, t in rows])
     source, target = attention.shifted(ids, starts, 50_256)
     count = np.bincount(target, minlength=50_257)
-    texts, _ = attention.encoded(df, F.lit(True), RANKS, PATTERN)
+    texts, _ = attention.encoded(df, F.lit(True), RANKS, PATTERN, 50_257)
     m = attention.fit(texts, 50_257)
     inside = np.log(count + 0.1) - np.log(np.bincount(m.of, weights=count + 0.1, minlength=attention.CLASSES)[m.of] + 1e-300)
     assert np.allclose(m.inside, inside, atol=1e-4)
@@ -266,7 +266,7 @@ def test_attention_learns_from_every_text(spark, monkeypatch):
     p = {k: rng.standard_normal((d, d)) * 0.3 for k in "qkvo"} | {"e": rng.standard_normal((seen.size, d)), "p": rng.standard_normal((attention.WINDOW, d)), "u": rng.standard_normal((d, attention.CLASSES)), "b": np.zeros(attention.CLASSES)}
     sums, total = attention._sums(stored, 50_256), 0
     for part in range(attention.PARTS):
-        texts = [r["ids"] for r in stored.where(F.col("part") == part).collect()]
+        texts = [np.frombuffer(r["ids"], "<u2").tolist() for r in stored.where(F.col("part") == part).collect()]
         x, c, used = [], [], []
         for t in texts:
             a, b = [50_256, *t], [*t, 50_256]
