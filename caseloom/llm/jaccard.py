@@ -24,9 +24,9 @@ doc_id that links reach.
    with more different bits cannot link.
 6. Rounds.  First every document is checked against the closest of its families'
    heads.  Then, in families with more than one component, the closest pair of each
-   two components, and last all pairs that are left between different ones and
-   that signatures cannot rule out.  No link between components is lost, and pairs
-   inside one are never listed.
+   two components, and last, whatever the second round found, all pairs that are
+   left between different ones and that signatures cannot rule out.  No link between
+   components is lost, and pairs inside one are never listed.
 7. Checks read whole texts and intersect the sets; a hub with many members is
    salted.  Families of over ``BLOCK`` members are cut into blocks of the head's
    component and blocks of the others; each pair of blocks is one unit of work.
@@ -55,6 +55,8 @@ from caseloom.llm import arrays, scratch
 SIZE, SIMILAR = 5, 75
 RANGES, PARTS = (16, 24), 16
 SALT, BLOCK, PER_SHINGLE = 2000, 1000, 4
+#: Parts of a head's members that meet the head's counts apart from each other.
+HEAD_SALTS = 16
 PAIRS = 1 << 21
 U8 = np.uint64
 
@@ -250,8 +252,9 @@ def _dealt(of: DataFrame, wanted: str) -> DataFrame:
     own = F.col("component") == F.col("main")
     size = of.groupBy("head").agg(F.count_if(own).alias("cm"), F.count_if(~own).alias("co"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int")
-    size = size.select("head", blocks("cm").alias("bm"), blocks("co").alias("bo"))
-    dealt = of.join(size, "head").withColumn("own", own)
+    size = size.select("head", blocks("cm").alias("bm"), blocks("co").alias("bo"), F.explode(F.sequence(F.lit(0), F.lit(HEAD_SALTS - 1))).alias("salt"))
+    salted = of.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(HEAD_SALTS)).cast("int"))
+    dealt = salted.join(size, ["head", "salt"]).withColumn("own", own)
     k = F.pmod(F.xxhash64("id"), F.when(F.col("own"), F.col("bm")).otherwise(F.col("bo"))).cast("int")
     # a block of the head's component meets every block of the others (u < 0); those meet each other
     pair = lambda u, v: F.struct(u.cast("int").alias("u"), v.cast("int").alias("v"))
@@ -407,7 +410,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         found, found_path = scratch.stored(found.join(done, ["hub", "id"], "left_anti") if done else found, "pairs")
         used.append(found_path)
         if comp is not None and found.isEmpty():
-            break
+            continue  # the closest pairs by signature need not be the closest in truth: the last round looks at all
         links, links_path = scratch.stored(_check(found, texts).where("ok").select("hub", "id"), "links")
         known = comp.select(F.col("component").alias("hub"), F.col("node").alias("id")) if comp else same
         new, new_path = scratch.stored(components(known.union(links), "hub", "id"), "components")
