@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import attention, bpe, decontaminate, flac, jaccard, langid, licenses, planes, scratch, toxicity, urls
+from caseloom.llm import attention, bpe, conversations, decontaminate, flac, jaccard, langid, licenses, merkle, planes, sampling, scratch, toxicity, urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,9 +96,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damaged(table(spark, sf_dir, "conversations"))
+    pieces = conversations.repair(damaged, conv="conv", present=F.col("present"))
+    return conversations.summaries(pieces).withColumnRenamed("conv", "conv_id")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sampling.edit_report(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op5_attention_lm, op6_bit_planes, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_url_filter)}
+    return {f.__name__: f for f in (op1_flac, op2_decontaminate, op3_language_id, op4_license_scan, op5_attention_lm, op6_bit_planes, op7_jaccard_join, op8_toxicity, op9_byte_bpe, op10_url_filter, op11_conversation_repair, op12_merkle_manifest, op13_weighted_sampling)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": licenses.oracle(), "op7_jaccard_join": jaccard.oracle(), "op10_url_filter": urls.oracle()}
+    return {"op4_license_scan": licenses.oracle(), "op7_jaccard_join": jaccard.oracle(), "op10_url_filter": urls.oracle(), "op11_conversation_repair": conversations.oracle(), "op12_merkle_manifest": merkle.oracle()}
