@@ -72,7 +72,7 @@ def plain(rows):
     """One row for each conversation of (conv, turn, role, text, present), by the programme over all its turns at once."""
     out = {}
     for conv in {x[0] for x in rows}:
-        mine = sorted((x for x in rows if x[0] == conv and x[4]), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or " ", (x[3] or " ")))
+        mine = sorted((x for x in rows if x[0] == conv and x[4]), key=lambda x: (x[1] is not None, x[1] or 0, " " if x[2] is None else x[2], " " if x[3] is None else x[3]))
         turns = [(" " if x[2] is None else x[2], " " if x[3] is None else x[3]) for x in mine]
         codes = faults(turns)
         ways = V.paths([a[:1] for a, _ in turns], bytes(codes))
