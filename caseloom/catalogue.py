@@ -14,6 +14,7 @@ from caseloom.functions import clinical as C
 from caseloom.functions.missing import is_missing
 from caseloom.operators import harmonize as H
 from caseloom.operators import match as M
+from caseloom.operators import mentions as N
 from caseloom.operators import packets as P
 from caseloom.operators import similarity as S
 from caseloom.operators import stats
@@ -400,18 +401,56 @@ def exact_match(spark, sf_dir):
 
 @query()
 def fuzzy_match(spark, sf_dir):
-    """Brand and name with one word misspelt, against names of brand and name; scored exactly after the bounds."""
-    sql = "SELECT lower(p_name) AS name, min(p_partkey) AS ord, concat('HP:', lpad(cast(max(p_partkey) as string), 7, '0')) AS id FROM {part} GROUP BY 1"
-    wrong = "SELECT DISTINCT replace(replace(lower(p_name), 'e', 'a'), 'o', '') || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS phrase FROM {part}"
-    out = M.fuzzy(Y.run(spark, sf_dir, wrong, "part"), Y.run(spark, sf_dir, sql, "part"))
-    return out.select("phrase", "name", "id", F.round("score", 6).alias("score"))
+    """Distinct phrases of all documents against the whole dictionary: the best name of each, if it is near enough."""
+    phrases = _phrases(spark, sf_dir).where(C.is_finding(F.col("phrase"))).select("phrase").distinct()
+    return M.fuzzy(phrases, _names(spark, sf_dir)).select("phrase", "name", "id", F.round("score", 6).alias("score"))
+
+
+#: Names of one to seven words, as benchmark items begin, which documents that quote them hold.
+_BEGINS = "SELECT DISTINCT array_to_string(list_slice(string_split(lower(text), ' '), 1, 1 + item_id % 7), ' ') AS name FROM benchmark"
+_BEGINS_SPARK = "SELECT DISTINCT array_join(slice(split(lower(text), ' '), 1, CAST(1 + item_id % 7 AS INT)), ' ') AS name FROM {benchmark}"
+#: Every document, some with a clause that quotes an item and negates it or not.
+_QUOTED = """SELECT doc_id AS id, d.text || CASE doc_id % 6 WHEN 0 THEN '. No sign of ' || b.text WHEN 1 THEN '. ' || b.text || ' was ruled out' WHEN 2 THEN '; not only ' || b.text
+ WHEN 3 THEN '. Without pain, but ' || b.text WHEN 4 THEN '! Denies ' || b.text || ' and ' || b.text ELSE '' END AS text FROM {documents} d JOIN {benchmark} b ON b.item_id = d.doc_id % (SELECT count(*) FROM {benchmark})"""
+
+
+def _matches_sql(out: str, phrases: str, cover: bool) -> str:
+    """SQL: the longest of ``phrases`` (t, tag) from each place of ``toks`` (id, l); with ``cover`` without those inside others."""
+    places = f"SELECT p.id, p.p - 1 AS a, p.p - 1 + len(n.t) AS b, n.tag FROM pos p JOIN {phrases} n ON n.t[1] = p.w WHERE list_slice(p.l, p.p, p.p + len(n.t) - 1) = n.t"
+    longest = f"SELECT * FROM ({places}) QUALIFY row_number() OVER (PARTITION BY id, a ORDER BY b DESC, tag) = 1"
+    if not cover:
+        return f"{out} AS ({longest})"
+    return f"{out} AS (SELECT * FROM ({longest}) QUALIFY b > coalesce(max(b) OVER (PARTITION BY id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1))"
+
+
+_TOK = N.PATTERN.replace("'", "''")
+_CUE_ROWS = ", ".join(f"('{w}', '{kind}')" for kind, ws in (("before", N.BEFORE), ("after", N.AFTER), ("pseudo", N.PSEUDO), ("turn", N.TURNS)) for w in ws)
+_MENTIONS = f"""WITH names AS (SELECT t, min(name) AS tag FROM (SELECT name, regexp_extract_all(name, '{_TOK}') AS t FROM ({_BEGINS})) WHERE len(t) > 0 GROUP BY t),
+ cues AS (SELECT string_split(w, ' ') AS t, kind AS tag FROM (VALUES {_CUE_ROWS}) AS x(w, kind)),
+ toks AS (SELECT id, regexp_extract_all(lower(text), '{_TOK}') AS l FROM ({_QUOTED.format(documents='documents', benchmark='benchmark')})),
+ pos AS (SELECT id, l, unnest(l) AS w, generate_subscripts(l, 1) AS p FROM toks),
+ {_matches_sql('hit', 'names', True)}, {_matches_sql('cue', 'cues', False)},
+ turns AS (SELECT id, a FROM cue WHERE tag = 'turn'),
+ scope AS (SELECT p.id, p.p - 1 AS a, sum(CASE WHEN p.w IN ('.', ';', ':', '!', '?', chr(10)) THEN 1 ELSE 0 END) OVER (PARTITION BY p.id ORDER BY p.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m,
+  sum(CASE WHEN t.a IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY p.id ORDER BY p.p) AS n FROM pos p LEFT JOIN turns t ON t.id = p.id AND t.a = p.p - 1),
+ reach AS (SELECT c.id, coalesce(m, 0) + n AS s, min(CASE WHEN tag = 'before' THEN b END) AS low, max(CASE WHEN tag = 'after' THEN c.a END) AS high FROM cue c JOIN scope s ON s.id = c.id AND s.a = c.a GROUP BY ALL)
+ SELECT h.id, CAST(h.a AS BIGINT) AS begin, CAST(h.b AS BIGINT) AS "end", h.tag AS name, coalesce(low <= h.a, false) OR coalesce(high >= h.b, false) AS negated
+ FROM hit h JOIN scope s ON s.id = h.id AND s.a = h.a LEFT JOIN reach r ON r.id = h.id AND r.s = coalesce(s.m, 0) + s.n"""
+
+
+@query(_MENTIONS)
+def text_mentions(spark, sf_dir):
+    """Every mention of a name in every document, and whether it is negated."""
+    texts = Y.run(spark, sf_dir, _QUOTED, "documents", "benchmark")
+    return N.find(texts, Y.run(spark, sf_dir, _BEGINS_SPARK, "benchmark"))
 
 
 @query()
 def annotate_text(spark, sf_dir):
-    texts = Y.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.concat("text", F.lit(". no fever. "), F.col("item_id").cast("string")).alias("text"))
-    names = Y.run(spark, sf_dir, "SELECT lower(p_name) AS name, concat('HP:', lpad(cast(max(p_partkey) as string), 7, '0')) AS id, min(p_partkey) AS ord FROM {part} GROUP BY 1", "part")
-    return M.annotate(texts, names).select("id", F.array_join("terms", ",").alias("terms"))
+    """Term ids of every document, by mentions and by the best names of what stands between them."""
+    texts = Y.run(spark, sf_dir, _QUOTED, "documents", "benchmark")
+    begins = "SELECT array_join(slice(split(lower(text), ' '), 1, CAST(1 + item_id % 7 AS INT)), ' ') AS name, concat('HP:', lpad(cast(min(item_id) AS string), 7, '0')) AS id, min(item_id) AS ord FROM {benchmark} GROUP BY 1"
+    return M.annotate(texts, Y.run(spark, sf_dir, begins, "benchmark")).select("id", F.array_join("terms", ",").alias("terms"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")

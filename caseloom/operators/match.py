@@ -6,13 +6,18 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from caseloom.functions.clinical import is_finding
+from caseloom.operators import mentions, subsequence
 
 THRESHOLD = 60.0
+#: Names that a task holds at once for fuzzy matching: some 10 KB each with 64 letters.
+NAMES = 50_000
 
 
 @F.pandas_udf(T.StringType())
@@ -39,60 +44,46 @@ def exact(phrases: DataFrame, names: DataFrame, phrase: str = "phrase") -> DataF
     return phrases.join(names.select(F.col("name").alias(phrase), "id"), phrase, "left")
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    v = full
-    for ch in b:
-        u = v & where.get(ch, 0)
-        v = (v + u) | (v - u)
-    return (~v & full).bit_count()
-
-
-def _ratio_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series([200.0 * _lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)])
-
-
-_ratio = F.pandas_udf(_ratio_batches, T.DoubleType())
-
-
-def letter_counts(c: Column) -> Column:
-    """Counts of a to z, digits as one, space, all else as one: for the upper bound on common letters."""
-    kinds = [*(chr(x) for x in range(97, 123)), " "]
-    n = lambda ch: F.char_length(c) - F.char_length(F.replace(c, F.lit(ch), F.lit("")))
-    digits = F.char_length(c) - F.char_length(F.regexp_replace(c, r"[0-9]", ""))
-    counts = [n(k) for k in kinds]
-    return F.array(*counts, digits, F.char_length(c) - sum(counts[1:], counts[0]) - digits)
-
-
-def fuzzy(phrases: DataFrame, names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def fuzzy(phrases: DataFrame, names: DataFrame, threshold: float = THRESHOLD, most: int = NAMES) -> DataFrame:
     """phrase, best name, id and score of phrases with a name at or over the threshold.
 
     The score is 200 L / (l1 + l2) on sorted words, L the longest common
-    subsequence.  Two bounds lose nothing: L is at most the shorter length, so
-    lengths lie within a factor; and at most the number of letters in common.  The
-    first is an equi-join on length bands (each name stands in its own band, each
-    phrase looks into all bands that its factor reaches); only pairs that pass the
-    second are scored.  Ties go to the name that is first in the dictionary.
+    subsequence.  Each task holds the names as matrices and gives one row for a
+    phrase at most (``subsequence``), so pairs are never rows.  Dictionaries of over
+    ``most`` names are cut; each part is one pass over the phrases, and the best of
+    all passes stays.  Ties go to the name that is first in the dictionary.
     """
-    t = threshold / 200.0
-    factor = (1 - t) / t
-    sorted_ = lambda df, c: df.withColumn("s", token_sort(F.col(c))).withColumn("l", F.char_length("s")).withColumn("k", letter_counts(F.col("s")))
-    band = lambda x: F.floor(F.log2(F.greatest(x, F.lit(1)).cast("double")) * 4).cast("int")
-    p = sorted_(phrases.select("phrase").distinct(), "phrase")
-    p = p.withColumn("band", F.explode(F.sequence(band(F.col("l") / factor), band(F.col("l") * factor))))
-    d = sorted_(names.select("name", "id", "ord"), "name").withColumn("band", band(F.col("l")))
-    a, b = p.alias("a"), d.alias("b")
-    shorter, total = F.least("a.l", "b.l"), F.col("a.l") + F.col("b.l")
-    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (shorter >= t * total))
-    common = F.aggregate(F.zip_with("a.k", "b.k", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    pairs = pairs.where(common >= t * total).select("phrase", "name", "id", "ord", _ratio(F.col("a.s"), F.col("b.s")).alias("score"))
-    best = F.row_number().over(Window.partitionBy("phrase").orderBy(F.desc("score"), "ord"))
-    return pairs.where(F.col("score") >= threshold).withColumn("r", best).where("r = 1").select("phrase", "name", "id", "score")
+    each = phrases.select("phrase").where("phrase is not null").distinct()
+    d = names.select("name", "id", "ord").where("name is not null")
+    parts = max(1, -(-d.count() // most))
+    kinds = {c: d.schema[c].dataType for c in ("id", "ord")}
+    schema = T.StructType([T.StructField("phrase", T.StringType()), T.StructField("name", T.StringType()), T.StructField("id", kinds["id"]), T.StructField("ord", kinds["ord"]), T.StructField("score", T.DoubleType())])
+    spread = each.withColumn("_s", token_sort(F.col("phrase")))
+    found = None
+    for k in range(parts):
+        mine = d if parts == 1 else d.where(F.pmod(F.xxhash64("name"), F.lit(parts)) == k)
+        rows = mine.withColumn("_s", token_sort(F.col("name"))).collect()  # about ``most`` names
+        held = d.sparkSession.sparkContext.broadcast(rows)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            rows = held.value
+            table = subsequence.Names([r["_s"] for r in rows], [r["ord"] for r in rows])
+            fields = to_arrow_schema(schema)
+            for batch in batches:
+                out = []
+                for phrase, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    hit = table.best(s, threshold)
+                    if hit:
+                        r = rows[hit[0]]
+                        out.append({"phrase": phrase, "name": r["name"], "id": r["id"], "ord": r["ord"], "score": hit[1]})
+                yield pa.RecordBatch.from_pylist([{**x, "ord": x["ord"].asDict() if hasattr(x["ord"], "asDict") else x["ord"]} for x in out], schema=fields)
+
+        part = spread.mapInArrow(run, schema)
+        found = part if found is None else found.unionByName(part)
+    if parts > 1:
+        first = F.row_number().over(Window.partitionBy("phrase").orderBy(F.desc("score"), "ord"))  # one row for each part
+        found = found.withColumn("_r", first).where("_r = 1")
+    return found.select("phrase", "name", "id", "score")
 
 
 def match(phrases: DataFrame, names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -108,27 +99,22 @@ def map_text(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return texts.join(terms.select(F.col("name").alias("_n"), "id"), F.lower("text") == F.col("_n"), "left").drop("_n")
 
 
-NEGATIONS = ("no", "not", "without", "denies", "denied", "negative for", "absence of", "no evidence of", "ruled out")  # fixed values: cues before a finding
-
-
-def phrases_of(texts: DataFrame, key: str = "id", text: str = "text", longest: int = 5) -> DataFrame:
-    """key and phrase: candidate phrases of a text, distinct.
+def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "text", threshold: float = THRESHOLD, extract=None) -> DataFrame:
+    """key and terms (sorted ids, maybe none) of every text.
 
-    A stand-in for a language model, which is not part of this engine: clauses are
-    cut at marks and common function words, pieces of up to ``longest`` words are
-    candidates; those right after a negation cue are left out.
+    Names that stand in the text, wherever and of whatever length, give their ids
+    unless they are negated; what stands between them is matched to its best name
+    where that reaches the threshold.  In place of both, ``extract`` may be any
+    annotator that gives key and phrase (a language model, say).
     """
-    cut = r"(?U)[.;,:!?()\n]|\b(?:and|or|with|of the|has|had|have|is|was|were|showed|shows)\b"
-    piece = texts.select(key, F.explode(F.split(F.lower(text), cut)).alias("p"))
-    negated = F.rtrim(F.ltrim("p")).rlike("(?U)^(?:" + "|".join(NEGATIONS) + r")\b")
-    words = F.filter(F.split(F.regexp_replace("p", r"(?U)^\s*(?:a|an|the)\b", ""), r"(?U)\s+"), lambda x: x != "")
-    phrase = F.array_join(words, " ")
-    return piece.where(~negated).where((F.size(words) > 0) & (F.size(words) <= longest)).select(key, phrase.alias("phrase")).where(is_finding(F.col("phrase"))).distinct()
-
-
-def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "text", threshold: float = THRESHOLD, extract=phrases_of) -> DataFrame:
-    """key and terms (sorted ids, maybe none); ``extract`` may be any annotator that gives key and phrase."""
-    phrases = extract(texts, key, text)
-    matched = phrases.join(match(phrases, names, threshold).withColumnRenamed("id", "_term"), "phrase")
+    if extract is not None:
+        said = extract(texts, key, text)
+        matched = said.join(match(said, names, threshold).withColumnRenamed("id", "_term"), "phrase")
+    else:
+        direct = mentions.find(texts, names, key, text).where("NOT negated").select(key, "name").distinct()
+        direct = direct.join(names.select("name", F.col("id").alias("_term")), "name").select(key, "_term")
+        rest = mentions.pieces(texts, names, key, text).withColumnRenamed("piece", "phrase").where(is_finding(F.col("phrase"))).distinct()
+        near = rest.join(match(rest, names, threshold).withColumnRenamed("id", "_term"), "phrase").select(key, "_term")
+        matched = direct.unionByName(near)
     ids = matched.groupBy(key).agg(F.array_sort(F.collect_set("_term")).alias("terms"))
     return texts.select(key).distinct().join(ids, key, "left").select(key, F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))
