@@ -10,8 +10,9 @@ probability equal to their generalised Jaccard similarity, the sum of the least
 weights over the sum of the greatest, so the share of equal samples estimates it; its
 standard error is at most 0.5 / sqrt(SAMPLES).
 
-Draws come from tables of the distributions' quantiles as integers, so fingerprints
-are the same on every machine.  The lowest 1/256 of c, where the least a mostly lies,
+Draws come from tables of the distributions' quantiles, and only additions and
+products follow, so fingerprints are the same on every machine (weights over 1 need a
+logarithm, whose last digit hardly ever decides a floor).  The lowest 1/256 of c, where the least a mostly lies,
 has a finer table.  Terms that several documents of a batch hold with the same weight
 are drawn once.  16 bits of each sample are kept, in hexadecimal; two different
 samples look alike once in 65,536.
@@ -42,8 +43,6 @@ from caseloom.llm import arrays, jaccard
 
 SIZE, SAMPLES = 5, 128
 U8 = np.uint64
-#: Binary digits after the point of all logarithms and of r.
-POINT = 20
 #: Terms of one pass over the samples: their draws stay in the processor's cache.
 CHUNK = 1 << 14
 LOWEST = np.iinfo(np.int64).min
@@ -61,13 +60,13 @@ def _gamma_quantile(p: np.ndarray) -> np.ndarray:
 
 
 class Tables:
-    """Quantiles as integers: r and ln c by 16 bits, the lowest 1/256 of ln c by 16 bits more."""
+    """Quantiles by 16 bits of r and ln c, the lowest 1/256 of ln c by 16 bits more, and 1 - b."""
 
     def __init__(self) -> None:
         p = (np.arange(1 << 16) + 0.5) / (1 << 16)
         quantile = _gamma_quantile(p)
-        fixed = lambda x: np.rint(x * (1 << POINT)).astype(np.int64)
-        self.r, self.log_c, self.low_log_c = fixed(quantile), fixed(np.log(quantile)), fixed(np.log(_gamma_quantile(p / 256)))
+        f = lambda x: x.astype(np.float32)
+        self.r, self.log_c, self.low_log_c, self.rest = f(quantile), f(np.log(quantile)), f(np.log(_gamma_quantile(p / 256))), f(1 - np.arange(1 << 16) / (1 << 16))
 
 
 _TABLES: list[Tables] = []
@@ -79,25 +78,55 @@ def tables() -> Tables:
     return _TABLES[0]
 
 
-_SEEDS = arrays.mix(np.arange(1, SAMPLES + 1, dtype=U8) * U8(0x9E3779B97F4A7C15))
-_OFFSET = 1 << 28  # makes all ln a positive: they lie within 2**8 of 0
-
-
-def draws(terms: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """For sample ``k`` the key of each (term, weight): ln a, then 32 bits of what is kept."""
-    at = tables()
-    h = arrays.mix(terms ^ _SEEDS[k])
-    c16, r16, b16, fine = (((h >> U8(s)) & U8(0xFFFF)).astype(np.int64) for s in (48, 32, 16, 0))
-    log_c, r = at.log_c[c16], at.r[r16]
-    low = np.flatnonzero(c16 < 256)
-    log_c[low] = at.low_log_c[c16[low] << 8 | fine[low] >> 8]
-    t = np.zeros(terms.size, dtype=np.int64)
-    many = np.flatnonzero(weights > 1)  # ln 1 = 0, so t = 0
-    if many.size:
-        t[many] = np.floor(np.log(weights[many]) * (1 << POINT) / r[many] + b16[many] / 65536).astype(np.int64)
-    log_a = log_c - (r * (((t + 1) << 16) - b16) >> 16)
-    kept = (arrays.mix(terms + U8(1)) ^ (t.astype(U8) * U8(0x9E3779B1))) & U8(0xFFFFFFFF)
-    return (log_a + _OFFSET).astype(U8) << U8(32) | kept
+_SEEDS = arrays.mix(np.arange(1, SAMPLES + 1, dtype=U8) * U8(0x9E3779B97F4A7C15)) | U8(1)
+_OFFSET = np.float32(64)  # makes all ln a positive, so that they sort like their bits
+
+
+class Draws:
+    """The draws of terms with their weights, one sample after the other, in arrays that are made once."""
+
+    def __init__(self, terms: np.ndarray, weights: np.ndarray) -> None:
+        n = terms.size
+        self.terms = terms
+        self.kept = (arrays.mix(terms + U8(1)) & U8(0xFFFFFFFF)).astype("<u4")
+        self.many = np.flatnonzero(weights > 1)  # ln 1 = 0, so t = 0 for all others
+        self.log_w = np.log(weights[self.many])
+        self.hash, self.shifted = np.empty(n, dtype="<u8"), np.empty(n, dtype="<u8")
+        self.c, self.r, self.b = (np.empty(n, dtype=np.intp) for _ in range(3))
+        self.log_a, self.scale, self.rest = (np.empty(n, dtype=np.float32) for _ in range(3))
+        self.rare = np.empty(n, dtype=bool)
+
+    def keys(self, k: int, out: np.ndarray | None = None) -> np.ndarray:
+        """For sample ``k`` one number for each term: ln a in the upper 32 bits, then what is kept of (term, t)."""
+        at, h, s = tables(), self.hash, self.shifted
+        np.multiply(self.terms, _SEEDS[k], out=h)  # terms are well mixed; the factors are odd
+        np.right_shift(h, U8(32), out=s)
+        np.bitwise_xor(h, s, out=h)
+        np.multiply(h, U8(0x94D049BB133111EB), out=h)
+        np.right_shift(h, U8(29), out=s)
+        np.bitwise_xor(h, s, out=h)
+        bits = h.view("<u2").reshape(-1, 4)
+        for place, column in ((3, self.c), (2, self.r), (1, self.b)):
+            column[...] = bits[:, place]
+        # "wrap" spares a check: 16 bits are always inside
+        at.log_c.take(self.c, mode="wrap", out=self.log_a)
+        at.r.take(self.r, mode="wrap", out=self.scale)
+        at.rest.take(self.b, mode="wrap", out=self.rest)
+        low = np.flatnonzero(np.less(self.c, 256, out=self.rare))
+        self.log_a[low] = at.low_log_c[self.c[low] << 8 | bits[low, 0] >> 8]
+        out = np.empty(self.terms.size, dtype="<u8") if out is None else out
+        pair = out.view("<u4").reshape(-1, 2)
+        pair[:, 0] = self.kept
+        if self.many.size:
+            m = self.many
+            t = np.floor(self.log_w / self.scale[m] + (1 - self.rest[m].astype(np.float64)))
+            self.rest[m] += t.astype(np.float32)
+            pair[m, 0] ^= (t.astype(U8) * U8(0x9E3779B1) & U8(0xFFFFFFFF)).astype("<u4")
+        self.scale *= self.rest
+        self.log_a -= self.scale
+        self.log_a += _OFFSET
+        pair[:, 1] = self.log_a.view(np.uint32)
+        return out
 
 
 def weighted(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,17 +160,21 @@ def fingerprints(texts: list[bytes | None]) -> np.ndarray:
     full = np.flatnonzero(np.diff(first))
     if not full.size:
         return out
-    # equal terms of equal weight are drawn once
+    # equal terms of equal weight are drawn once; they are numbered as they come, so that texts read them in a row
     pair = arrays.mix(term + weight.astype(U8) * U8(0xD6E8FEB86659FD93))
     _, one, back = np.unique(pair, return_index=True, return_inverse=True)
-    term, weight = term[one], weight[one]
-    best = np.full((SAMPLES, full.size), np.iinfo(np.uint64).max, dtype=U8)
+    order = np.argsort(one)
+    number = np.empty_like(order)
+    number[order] = np.arange(order.size)
+    back, one = number[back], one[order]
+    parts = [Draws(term[one[a : a + CHUNK]], weight[one[a : a + CHUNK]]) for a in range(0, one.size, CHUNK)]
+    best = np.empty((SAMPLES, full.size), dtype=U8)
     starts = first[full]
-    key = np.empty(term.size, dtype=U8)
+    key, read = np.empty(one.size, dtype="<u8"), np.empty(back.size, dtype="<u8")
     for k in range(SAMPLES):
-        for a in range(0, term.size, CHUNK):
-            key[a : a + CHUNK] = draws(term[a : a + CHUNK], weight[a : a + CHUNK], k)
-        best[k] = np.minimum.reduceat(key[back], starts)
+        for i, part in enumerate(parts):
+            part.keys(k, key[i * CHUNK : (i + 1) * CHUNK])
+        best[k] = np.minimum.reduceat(key.take(back, mode="wrap", out=read), starts)
     out[full] = (best & U8(0xFFFF)).astype(np.uint16).T
     return out
 
