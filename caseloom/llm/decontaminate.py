@@ -4,15 +4,17 @@ A text becomes a line of tokens: white-space words without their outer ASCII
 marks, lower-cased.  Its template has typed placeholders for numbers, for units
 after a number (or grown to it) and for names (capitalised words inside a
 sentence).  A capitalised word that opens a sentence may be a name or not, so
-windows over one are taken twice, once with it plain and once as a name.  Windows of ``WINDOW`` tokens of the template, and of the plain
-tokens, are hash-joined with the benchmark's; a shorter item of at least
-``SHORTEST`` ``SHORTEST`` tokens is one window of its own length.  A template window has at
-least ``PLAIN`` plain tokens, and counts only where at least ``DENSE`` of all tokens
-that the windows of its alignment cover are plain.
-
-Slot consistency: along one alignment of a document with an item, each value in
-an item's slots must always stand against the same value in the document's; where
-fewer than ``CONSISTENT`` of them do, the alignment's template windows are left out.
+windows over one are taken twice, once with it plain and once as a name.  Windows of
+``WINDOW`` tokens of the template, and of the plain tokens, are hash-joined with the
+benchmark's; a shorter item of at least ``SHORTEST`` tokens is one window of its own
+length.  A template window has at least ``PLAIN`` plain tokens, and counts only where
+at least ``DENSE`` of all tokens that the windows of its alignment cover are plain.
+
+Slot consistency, both ways: along one alignment of a document with an item, each
+value in an item's slots must always stand against the same value in the document's,
+and each of the document's against the same of the item's.  Where fewer than
+``CONSISTENT`` of the item's values do, or fewer than ``DISTINCT`` of the document's
+(two values may become one by chance), the alignment's template windows are left out.
 Plain windows match word for word and always count.
 
 An item is found in a document if its covered windows are ``SHARE`` of all, or
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from caseloom.llm import arrays, scratch
 
 WINDOW, SHORTEST = 8, 5
-SHARE, RUN, CONSISTENT = 0.5, 6, 0.8
+SHARE, RUN, CONSISTENT, DISTINCT = 0.5, 6, 0.8, 0.6
 PLAIN, DENSE = 2, 0.25
 BROADCAST = 200_000
 BITS = 24
@@ -224,17 +226,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
                     names=["k1", "k2", "h", "at", "own"],
                 )
 
-    hits = only.mapInArrow(run, schema)
+    # windows that pass the bit table are few; written once, they are read by all that follows
+    hits, _ = scratch.stored(only.mapInArrow(run, schema), "hits")
     joined = hits.join(F.broadcast(bench) if size["n"] <= BROADCAST else bench, "h").withColumn("line", F.col("at") - F.col("place"))
     along = ["k1", "k2", "item", "line"]
     slot = F.explode_outer(F.arrays_zip("slots", "own")).alias("s")
     values = joined.select(*along, slot).where(F.col("s").isNotNull()).distinct()
-    bad = values.groupBy(*along, "s.slots").agg(F.count("*").alias("n")).groupBy(*along).agg((F.count("*") / F.sum("n")).alias("c"))
+    pairs = values.select(*along, F.col("s.slots").alias("theirs"), F.col("s.own").alias("ours"))
+    steady = lambda of, name: pairs.groupBy(*along, of).agg(F.count("*").alias("n")).groupBy(*along).agg((F.count("*") / F.sum("n")).alias(name))
+    bad = steady("theirs", "c").join(steady("ours", "own_c"), along)
     bits = joined.select(*along, "place", "size", "gaps").distinct()
     at = bits.select(*along, "place", "gaps", F.explode(F.expr("sequence(0L, size - 1)")).alias("j"))
     slot_of = at.groupBy(*along, (F.col("place") + F.col("j")).alias("token")).agg(F.min(F.expr("shiftright(gaps, cast(j as int)) & 1")).alias("slot"))
     thin = slot_of.groupBy(*along).agg(F.avg("slot").alias("s")).where(F.col("s") > 1 - DENSE)
-    bad = bad.where(F.col("c") < CONSISTENT).select(*along).union(thin.select(*along)).distinct().withColumn("c", F.lit(0.0))
+    bad = bad.where((F.col("c") < CONSISTENT) | (F.col("own_c") < DISTINCT)).select(*along).union(thin.select(*along)).distinct().withColumn("c", F.lit(0.0))
     places = joined.groupBy(*along, "place", "n_windows").agg(F.max(F.size("slots") == 0).alias("plain"))
     covered = places.join(bad, along, "left").where(F.col("plain") | F.col("c").isNull())
     each = covered.groupBy("k1", "k2", "item").agg(F.countDistinct("place").alias("covered"), F.max("n_windows").alias("n_windows"))

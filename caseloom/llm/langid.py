@@ -14,8 +14,10 @@ boundary, and a boundary stands before and after the text.
 
 Training takes a bounded sample (a documented bound): at most ``DOCS`` documents
 for each language, whole texts of at most ``LONGEST`` characters, drawn by a
-hash of their key, of which every fifth is kept back to calibrate.  At most
-``LANGUAGES`` languages, the most frequent ones, are learned.
+hash of their key, of which every fifth is kept back to calibrate.  Every language is
+learned.  All samples together have ``BYTES`` bytes, in equal shares but at least one
+text each; as the n-gram table has a column for each language, they have in proportion
+less with more than ``COLUMNS`` languages, so that the table stays as large.
 
 Calibration: the kept-back texts give each language a mean and a deviation of
 the cross-entropy of the right model; the limit for a text of n characters is
@@ -44,7 +46,8 @@ from caseloom.llm import arrays
 ORDER = 5
 DOCS = 400
 LONGEST = 200_000
-LANGUAGES = 64
+#: Bytes of all texts that are learned from, and the number of languages up to which they are.
+BYTES, COLUMNS = 64 << 20, 64
 SLACK = 0.75
 SHORT = 5.0
 U8 = np.uint64
@@ -315,17 +318,21 @@ def _calibrate(m: Model, kept: list[tuple[str, int]]) -> None:
             m.limit[j] = x.mean() + 4 * x.std() + SLACK
 
 
-def sample(df: DataFrame, key: str, text: str, lang: str, docs: int = DOCS, longest: int = LONGEST) -> DataFrame:
-    """A bounded sample: ``docs`` texts of each of the ``LANGUAGES`` most frequent languages."""
+def sample(df: DataFrame, key: str, text: str, lang: str, docs: int = DOCS, longest: int = LONGEST, most: int = BYTES) -> DataFrame:
+    """A bounded sample of every language: at most ``docs`` texts each, and an equal share of ``most`` bytes, but one text at least."""
     some = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= longest))
-    sizes = some.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = some.groupBy(F.col(lang).alias("lang")).count()
+    n = max(1, sizes.count())
+    share_bytes = most * min(n, COLUMNS) // n // n if n > COLUMNS else most // n
     h = F.xxhash64(F.col(key).cast("string"), F.lit("language sample"))
-    few = some.select(F.col(text).alias("text"), F.col(lang).alias("lang"), h.alias("h")).join(F.broadcast(sizes), "lang")
+    few = some.select(F.col(text).alias("text"), F.col(lang).alias("lang"), h.alias("h")).join(sizes, "lang")
     # about twice the sample by hash, then exactly the first by hash: the window sees a bounded number of rows
     share = F.least(F.lit(1.0), (2.0 * docs + 50) / F.col("count"))
     few = few.where((F.col("h") / 2.0**64 + 0.5) < share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    return few.withColumn("r", rank).where(F.col("r") <= docs).select("text", "lang", "r")
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    so_far = F.sum(F.octet_length("text").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    few = few.withColumns({"r": F.row_number().over(order), "b": so_far})
+    return few.where((F.col("r") == 1) | (F.col("r") <= docs) & (F.col("b") <= share_bytes)).select("text", "lang", "r")
 
 
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", docs: int = DOCS) -> Model:

@@ -116,7 +116,7 @@ def scan(
     for label, s, size in sets:
         ranks, least = sorted(rank[w] for w in s), need(len(s), threshold)
         prefix += [(ranks[i], label, i, least, ranks, size) for i in range(len(ranks) - least + 1)]
-    table = spark.createDataFrame(prefix, "rank int, label string, i int, least int, ranks array<int>, size int")
+    table = spark.createDataFrame(prefix, "_rank int, _label string, _i int, _least int, _ranks array<int>, _size int")  # names that no other column is likely to have
     rare = sorted({p[0] for p in prefix})
     far = 2 * max((size for _, _, size in sets), default=1)  # words to both sides that a block may reach
 
@@ -146,17 +146,17 @@ def scan(
     numbered = F.filter(F.transform("_hits", lambda x, k: F.struct(x["at"].alias("at"), x["rank"].alias("rank"), k.alias("k"))), lambda x: x["rank"].isin(rare) if rare else F.lit(False))
     near = F.transform(numbered, lambda x: F.struct(x["at"], x["rank"], F.slice("_hits", F.greatest(x["k"] + 1 - far, F.lit(1)), F.lit(2 * far + 1)).alias("near")))
     each = docs.withColumn("_p", F.explode_outer(near)).drop("_hits")
-    joined = each.join(F.broadcast(table), F.col("_p.rank") == F.col("rank"), "left")  # a few rows for each template
-    step = F.floor(F.col("_p.at") / F.col("size")).cast("int")
+    joined = each.join(F.broadcast(table), F.col("_p.rank") == F.col("_rank"), "left")  # a few rows for each template
+    step = F.floor(F.col("_p.at") / F.col("_size")).cast("int")
     joined = joined.withColumn("_w", F.explode_outer(F.when(step > 0, F.array(step - 1, step)).when(step == 0, F.array(step))))
-    in_block = lambda x: (x["at"] >= F.col("_w") * F.col("size")) & (x["at"] < (F.col("_w") + 2) * F.col("size"))
+    in_block = lambda x: (x["at"] >= F.col("_w") * F.col("_size")) & (x["at"] < (F.col("_w") + 2) * F.col("_size"))
     joined = joined.withColumn("_b", F.array_sort(F.array_distinct(F.transform(F.filter("_p.near", in_block), lambda x: x["rank"]))))
-    place = F.array_position("_b", F.col("rank")).cast("int") - 1
-    fits = (F.size("_b") >= F.col("least")) & (F.size("_b") - place >= F.col("least")) & (F.size("ranks") - F.col("i") >= F.col("least"))
-    overlap = F.when(fits, F.size(F.array_intersect("_b", "ranks"))).otherwise(0)
-    joined = joined.select(*others, "n_words", "n_base", "first_word", "last_word", "_base", "_row", "label", F.when(overlap >= F.col("least"), overlap / F.size("ranks")).alias("_c"))
+    place = F.array_position("_b", F.col("_rank")).cast("int") - 1
+    fits = (F.size("_b") >= F.col("_least")) & (F.size("_b") - place >= F.col("_least")) & (F.size("_ranks") - F.col("_i") >= F.col("_least"))
+    overlap = F.when(fits, F.size(F.array_intersect("_b", "_ranks"))).otherwise(0)
+    joined = joined.select(*others, "n_words", "n_base", "first_word", "last_word", "_base", "_row", "_label", F.when(overlap >= F.col("_least"), overlap / F.size("_ranks")).alias("_c"))
     keep = [F.first(c).alias(c) for c in [*others, "n_words", "n_base", "first_word", "last_word", "_base"]]
-    done = joined.groupBy("_row").agg(*keep, F.max("_c").alias("_score"), F.collect_set(F.when(F.col("_c").isNotNull(), F.col("label"))).alias("_more"))
+    done = joined.groupBy("_row").agg(*keep, F.max("_c").alias("_score"), F.collect_set(F.when(F.col("_c").isNotNull(), F.col("_label"))).alias("_more"))
     out = done.select(
         *others, "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("_base", "_more")), ",").alias("labels"), F.coalesce("_score", F.lit(0.0)).alias("score"),

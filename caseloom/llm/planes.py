@@ -68,7 +68,9 @@ def encoder(path: str) -> Subwords:
 
 
 def to_planes(block: np.ndarray, width: int, bits: bool) -> list[bytes]:
-    """The planes of one block of unsigned 32-bit ids, lowest byte (bit) first."""
+    """The planes of one block of unsigned 32-bit ids, lowest byte (bit) first; an error if an id needs more bytes."""
+    if block.size and int(block.max()) >= 1 << 8 * width:
+        raise ValueError(f"id {int(block.max())} does not fit into {width} bytes")
     as_bytes = np.ascontiguousarray(block.astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :width]
     if not bits:
         return [np.ascontiguousarray(as_bytes[:, k]).tobytes() for k in range(width)]

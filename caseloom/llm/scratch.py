@@ -7,18 +7,21 @@ and the master is local, as in unit tests, a temporary folder is made and set;
 on a cluster that is an error.
 
 Tables that a lazy result still reads cannot be deleted by the operator that
-made it; ``clear`` deletes what is left once the results have been written.
+made it.  A run that writes its results itself collects the tables made meanwhile
+(``collecting``) and deletes those, and only those, when it no longer reads them.
 """
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_LIVE: set[str] = set()
+_MADE: contextvars.ContextVar[set[str] | None] = contextvars.ContextVar("tables made in this run", default=None)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -39,10 +42,22 @@ def root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     path = f"{root(spark).rstrip('/')}/caseloom/{name}-{uuid.uuid4().hex}"
-    _LIVE.add(path)
+    made = _MADE.get()
+    if made is not None:
+        made.add(path)
     return path
 
 
+@contextmanager
+def collecting() -> Iterator[set[str]]:
+    """The paths of the tables that are made inside, and not dropped again."""
+    before = _MADE.set(set())
+    try:
+        yield _MADE.get()
+    finally:
+        _MADE.reset(before)
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession
@@ -59,17 +74,14 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def drop(spark: SparkSession, *paths: str) -> None:
     """Delete intermediate tables that no later plan reads."""
     jvm = spark.sparkContext._jvm
+    made = _MADE.get()
     for path in paths:
-        _LIVE.discard(path)
+        if made is not None:
+            made.discard(path)
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def clear(spark: SparkSession, *keep: str) -> None:
-    """Delete all tables of this process but ``keep``; lazy results that read them are lost."""
-    drop(spark, *(_LIVE - set(keep)))
-
-
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
