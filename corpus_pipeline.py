@@ -65,8 +65,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs, path = scratch.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        scratch.clear(spark, path)  # what the stage and the one before it have written
+        with scratch.collecting() as made:
+            docs, path = scratch.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.drop(spark, *last, *(made - {path}))  # the stage before, and what this one has written on its way
+        last = [path]
     return docs
