@@ -21,6 +21,7 @@ from caseloom.operators import stats
 from caseloom.operators import validate as V
 from caseloom.plans import pipelines
 from caseloom.plans import synthetic as Y
+from caseloom.sources.shared import written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -279,6 +280,62 @@ def validation_totals(spark, sf_dir):
     return V.totals(_faults(spark, sf_dir))
 
 
+#: Values of each type, empty and not: JSON text (none: the member is absent), whether it counts as empty, and how messages name it.
+_VALUES = (
+    ('"x"', False, "x"), ('""', True, ""), ("0", True, "0"), ('"0"', False, "0"), ("0.0", True, "0"), ("false", True, "False"), ('"false"', False, "false"), ("null", True, None),
+    ("[]", True, "[]"), ('"[]"', False, "[]"), ("{}", True, "{}"), ('"null"', False, "null"), ("1", False, "1"), ("true", False, "True"), (None, True, None),
+)
+_PLACE = lambda d, n: f"CAST(floor(o_orderkey / {d}) AS BIGINT) % {n}"
+_PICK = lambda d, xs: f"CASE {_PLACE(d, len(xs))} " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(xs) if x is not None) + " END"
+_MEMBER = lambda name, d: _PICK(d, [None if v is None else f'"{name}":{v}' for v, _, _ in _VALUES])
+_OBJECT = lambda *members: "'{' || concat_ws(',', " + ", ".join(members) + ") || '}'"
+_SEX = ('"sex":"MALE"', '"sex":"M"', '"sex":0', '"sex":null', None)
+_FEATURES = (None, '"phenotypicFeatures":[]', '"phenotypicFeatures":[{}]', '"phenotypicFeatures":[{"type":{}},{"type":{"id":"HP:1"}},{"type":{"id":"X:1"}}]', '"phenotypicFeatures":[{"type":{"id":5}},{"type":null},3]', '"phenotypicFeatures":"none"')
+_STATUS = ('"progressStatus":"SOLVED"', '"progressStatus":"DONE"', '"progressStatus":null', '"progressStatus":true', None)
+_DISEASES = (None, '"diseases":[{}]', '"diseases":[{"term":null},{}]')
+_QUOTE = lambda x: "'" + x + "'"
+_DIAGNOSIS = f"""{_QUOTE('"diagnosis":{"genomicInterpretations":[')} || {_OBJECT(_MEMBER("subjectOrBiosampleId", 11), _MEMBER("interpretationStatus", 4))} || {_QUOTE("]}")}"""
+_INSIDE = ", ".join([
+    _MEMBER("id", 1), f"CASE WHEN o_orderkey % 4 <> 0 THEN {_QUOTE('\"subject\":')} || {_OBJECT(_MEMBER('id', 5), _PICK(3, _SEX))} END", _PICK(1, _FEATURES),
+    f"CASE WHEN o_orderkey % 7 < 4 THEN {_QUOTE('\"interpretations\":[')} || {_OBJECT(_MEMBER('id', 2), _PICK(7, _STATUS), _DIAGNOSIS)} || ']' END", _PICK(1, _DISEASES),
+    f"CASE WHEN o_orderkey % 9 <> 0 THEN {_QUOTE('\"metaData\":')} || {_OBJECT(_MEMBER('created', 2), _MEMBER('phenopacketSchemaVersion', 3), _MEMBER('resources', 13))} END",
+])
+_VALUED = f"""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 101 = 100 THEN {_QUOTE('{"id":')} ELSE {_OBJECT(_INSIDE)} END AS doc FROM ORDERS"""
+_GONE = lambda d: f"{_PLACE(d, len(_VALUES))} IN (" + ", ".join(str(i) for i, v in enumerate(_VALUES) if v[1]) + ")"
+_SAYS = lambda when, field, message, severity="ERROR": f"CASE WHEN {when} THEN {{'field': {field}, 'message': {message}, 'severity': '{severity}'}} END"
+_NEEDS = lambda when, name, d, context: _SAYS(f"{when} AND {_GONE(d)}", f"'{name}'", f"'[' || name || '{context}] Required field ''{name}'' is missing or empty'")
+_IS = lambda d, n, i: f"{_PLACE(d, n)} = {i}"
+_AT = lambda x: f"'[' || name || '] {x}'"
+_FOUND = ", ".join([
+    _NEEDS("true", "id", 1, ""), _SAYS("o_orderkey % 9 = 0", "'metaData'", "'[' || name || '] Required field ''metaData'' is missing or empty'"),
+    _SAYS(f"o_orderkey % 9 <> 0 AND {_PLACE(2, 15)} = 14 AND {_PLACE(3, 15)} = 14 AND {_PLACE(13, 15)} = 14", "'metaData'", "'[' || name || '] Required field ''metaData'' is missing or empty'"),
+    _NEEDS("o_orderkey % 4 <> 0", "id", 5, ".subject"),
+    *[_SAYS(f"o_orderkey % 4 <> 0 AND {_IS(3, 5, i)}", "'subject.sex'", _AT(f"Invalid sex value: {x}. Must be one of [''UNKNOWN_SEX'', ''FEMALE'', ''MALE'', ''OTHER_SEX'']")) for i, x in ((1, "M"), (2, "0"), (3, "None"))],
+    _SAYS("o_orderkey % 4 = 0", "'subject'", _AT("Subject is recommended but missing"), "WARNING"),
+    _SAYS(_IS(1, 6, 2), "'phenotypicFeatures[0]'", _AT("Feature missing required ''type'' field")), _SAYS(_IS(1, 6, 3), "'phenotypicFeatures[0].type'", _AT("Feature type missing required ''id'' field")),
+    _SAYS(_IS(1, 6, 3), "'phenotypicFeatures[2].type.id'", _AT("ID X:1 doesn''t appear to be an HPO term"), "WARNING"), _SAYS(_IS(1, 6, 4), "'phenotypicFeatures[0].type.id'", _AT("ID 5 is not a text")),
+    _SAYS(_IS(1, 6, 4), "'phenotypicFeatures[1].type'", _AT("Feature type missing required ''id'' field")), _SAYS(_IS(1, 6, 4), "'phenotypicFeatures[2]'", _AT("Feature missing required ''type'' field")),
+    _NEEDS("o_orderkey % 7 < 4", "id", 2, ".interpretations[0]"),
+    *[_SAYS(f"o_orderkey % 7 < 4 AND {_IS(7, 5, i)}", "'interpretations[0].progressStatus'", _AT(f"Invalid progressStatus: {x}")) for i, x in ((1, "DONE"), (2, "None"), (3, "True"))],
+    *[_NEEDS("o_orderkey % 7 < 4", n, d, ".interpretations[0].diagnosis.genomicInterpretations[0]") for n, d in (("subjectOrBiosampleId", 11), ("interpretationStatus", 4))],
+    *[_SAYS(w, f"'diseases[{i}]'", _AT("Disease missing required ''term'' field")) for w, i in ((_IS(1, 3, 1), 0), (_IS(1, 3, 2), 1))],
+    _NEEDS("o_orderkey % 9 <> 0", "created", 2, ".metaData"), _NEEDS("o_orderkey % 9 <> 0", "phenopacketSchemaVersion", 3, ".metaData"),
+    _SAYS(f"o_orderkey % 9 <> 0 AND {_GONE(13)}", "'metaData.resources'", _AT("Resources field is recommended"), "WARNING"),
+])
+_NAME = f"coalesce({_PICK(1, [v[2] for v in _VALUES])}, 'phenopacket_' || CAST(o_orderkey + 1 AS VARCHAR))"
+
+
+@query(f"""WITH n AS (SELECT o_orderkey, {_NAME} AS name FROM orders), f AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 101 = 100 THEN [{{'field': '', 'message': 'Invalid JSON', 'severity': 'ERROR'}}] ELSE
+ list_filter([{_FOUND}], lambda x: x IS NOT NULL) END AS l FROM n), e AS (SELECT k, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM f)
+ SELECT k, CAST(i AS BIGINT) AS i, x.field AS field, x.message AS message, x.severity AS severity FROM e""")
+def finding_texts(spark, sf_dir):
+    """Every finding of documents made of values of each type, in order: field, message and severity."""
+    sql = _VALUED.replace("{", "{{").replace("}", "}}").replace("FROM ORDERS", "FROM {orders}")
+    found = V.validate(written(Y.run(spark, sf_dir, sql, "orders"), "valued"), number="k")  # documents come from a table, as they would
+    each = found.select("k", F.posexplode_outer("findings").alias("i", "x")).where("i IS NOT NULL")  # else a filter on their number would find them twice
+    return each.select("k", (F.col("i") + 1).cast("long").alias("i"), "x.field", "x.message", "x.severity")
+
+
 @query(f"WITH {W} SELECT count(*) AS total, count(*) AS valid, CAST(0 AS BIGINT) AS errors FROM cases")
 def packets_are_valid(spark, sf_dir):
     return V.totals(V.validate(P.as_json(_packets(spark, sf_dir)))).select("total", "valid", "errors")
@@ -313,11 +370,8 @@ def _profiles(spark, sf_dir) -> DataFrame:
     return Y.run(spark, sf_dir, Y.braces(Y.PROFILES), "lineitem")
 
 
-def _scores(spark, sf_dir, method: str) -> DataFrame:
-    patients, profiles, closed = Y.run(spark, sf_dir, Y.braces(Y.PATIENTS), "lineitem"), _profiles(spark, sf_dir), _closed(spark, sf_dir)
-    ic = S.information_content(closed, profiles.withColumnRenamed("entity_id", "item"))
-    scores = S.set_similarity(patients, profiles, S.pair_similarity(patients, profiles, closed, ic, method))
-    return scores.withColumn("score", F.round("score", 9))
+def _patients(spark, sf_dir) -> DataFrame:
+    return Y.run(spark, sf_dir, Y.braces(Y.PATIENTS), "lineitem")
 
 
 @query(f"WITH RECURSIVE {_CLOSED} SELECT term, count(*) AS ancestors FROM up GROUP BY term")
@@ -333,7 +387,8 @@ def information_content(spark, sf_dir):
 
 def _similarity(method: str):
     def f(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _scores(spark, sf_dir, method).groupBy("entity_id").agg(F.round(F.sum("score"), 4).alias("total"), F.round(F.max("score"), 6).alias("best"))
+        found = S.entity_totals(_patients(spark, sf_dir), _profiles(spark, sf_dir), _closed(spark, sf_dir), method)
+        return found.select("entity_id", F.round("total", 4).alias("total"), F.round("best", 6).alias("best"))
 
     f.__name__ = f"similarity_{method}"
     return query(_scores_sql(method) + " SELECT entity_id, round(sum(score), 4) AS total, round(max(score), 6) AS best FROM sc GROUP BY 1")(f)
@@ -349,7 +404,7 @@ _RANKED = _scores_sql("resnik") + """, t AS (SELECT sc.id, sc.entity_id AS g, sc
 
 def _results(spark, sf_dir) -> DataFrame:
     truth = Y.run(spark, sf_dir, Y.braces(Y.TRUTH), "lineitem")
-    return S.evaluate(_scores(spark, sf_dir, "resnik"), truth)
+    return S.evaluated(_patients(spark, sf_dir), truth, _profiles(spark, sf_dir), _closed(spark, sf_dir))
 
 
 @query(_RANKED + " SELECT id, g AS ground_truth_gene, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, round(roc_auc, 6) AS roc_auc FROM e")

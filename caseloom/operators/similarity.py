@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.sources.shared import folder
+from caseloom.operators import ranking
+from caseloom.sources.shared import written
 
 METHODS = ("resnik", "lin", "jc", "rel")
 
@@ -14,16 +15,16 @@ def closure(edges: DataFrame, most: int = 64) -> DataFrame:
     """term and ancestor, each term being its own ancestor; paths double in each round.
 
     ``edges`` has child and parent.  A round that finds nothing new ends it, so
-    there are about log2(depth) rounds; lineage is cut by checkpoint().
+    there are about log2(depth) rounds; each is written to the shared folder once,
+    which cuts the lineage and gives its size.
     """
     spark = edges.sparkSession
-    folder(spark)  # checkpoint() needs it
     nodes = edges.select(F.col("child").alias("term")).union(edges.select("parent")).distinct()
-    known = nodes.select("term", F.col("term").alias("ancestor")).union(edges.select(F.col("child"), F.col("parent"))).distinct().checkpoint()
+    known = written(nodes.select("term", F.col("term").alias("ancestor")).union(edges.select("child", "parent")).distinct(), "closure")
     size = known.count()
     for _ in range(most):
         longer = known.alias("a").join(known.alias("b"), F.col("a.ancestor") == F.col("b.term")).select("a.term", "b.ancestor")
-        known = longer.distinct().checkpoint()
+        known = written(longer.distinct(), "closure")
         new = known.count()
         if new == size:
             break
@@ -32,10 +33,17 @@ def closure(edges: DataFrame, most: int = 64) -> DataFrame:
 
 
 def information_content(closed: DataFrame, annotations: DataFrame) -> DataFrame:
-    """term and ic = -ln(share of annotated items that have the term or a descendant)."""
-    items = annotations.select("item", "term").distinct()
+    """term and ic = -ln(share of annotated items that have the term or a descendant).
+
+    Each item's ancestors are united in its own row, as a set no larger than the
+    ontology; what goes on are counts by term, added up in each task before the
+    shuffle, so terms near the root cost a row for each task and not for each item.
+    """
+    items = annotations.select("item", "term").dropna().distinct()
+    up = closed.groupBy("term").agg(F.collect_list("ancestor").alias("up"))
+    reached = items.join(up, "term").groupBy("item").agg(F.array_distinct(F.flatten(F.collect_set("up"))).alias("up"))
     total = items.select("item").distinct().agg(F.count("*").alias("n"))
-    with_term = items.join(closed, "term").select("item", F.col("ancestor").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("c"))
+    with_term = reached.select(F.explode("up").alias("term")).groupBy("term").agg(F.count("*").alias("c"))
     return with_term.crossJoin(F.broadcast(total)).select("term", (-F.log(F.col("c") / F.col("n"))).alias("ic"))  # total is one row
 
 
@@ -54,10 +62,11 @@ def pair_similarity(a_terms: DataFrame, b_terms: DataFrame, closed: DataFrame, i
     if method == "resnik":
         return best.select("a", "b", F.col("m").alias("sim"))
     of = lambda n: ic.select(F.col("term").alias(n), F.col("ic").alias(f"ic_{n}"))
-    both = best.join(of("a"), "a").join(of("b"), "b")
+    # a term that no item has carries no information of its own
+    both = best.join(of("a"), "a", "left").join(of("b"), "b", "left").na.fill(0.0, ["ic_a", "ic_b"])
     total = F.col("ic_a") + F.col("ic_b")
     lin = 2 * F.col("m") / F.nullif(total, F.lit(0.0))
-    sim = {"lin": lin, "jc": 1 / (1 + total - 2 * F.col("m")), "rel": lin * (1 - F.exp(-F.col("m")))}[method]
+    sim = {"lin": lin, "jc": 1 / (1 + F.greatest(total - 2 * F.col("m"), F.lit(0.0))), "rel": lin * (1 - F.exp(-F.col("m")))}[method]
     return both.select("a", "b", F.coalesce(sim, F.lit(0.0)).alias("sim"))
 
 
@@ -103,6 +112,28 @@ def evaluate(scores: DataFrame, truth: DataFrame) -> DataFrame:
     return joined.groupBy("id", "ground_truth_gene").agg((1 + F.count_if(negative & before)).cast("int").alias("rank"), F.max("s").alias("score"), area.alias("roc_auc"))
 
 
+def evaluated(patients: DataFrame, truth: DataFrame, profiles: DataFrame, closed: DataFrame, method: str = "resnik") -> DataFrame:
+    """``evaluate`` of every patient against all entities, with information from the profiles.
+
+    Where a task may hold the ontology no pair becomes a row (``ranking``); a larger
+    one goes through the joins of ``pair_similarity`` and ``set_similarity``.
+    """
+    ic = information_content(closed, profiles.select(F.col("entity_id").alias("item"), "term"))
+    if ranking.fits(closed):
+        return ranking.standings(patients, truth, profiles, closed, ic, method)
+    scores = set_similarity(patients, profiles, pair_similarity(patients, profiles, closed, ic, method))
+    return evaluate(scores.withColumn("score", F.round("score", ranking.DIGITS)), truth)
+
+
+def entity_totals(patients: DataFrame, profiles: DataFrame, closed: DataFrame, method: str = "resnik") -> DataFrame:
+    """entity_id, total and best: sum and maximum of each entity's scores over all patients."""
+    ic = information_content(closed, profiles.select(F.col("entity_id").alias("item"), "term"))
+    if ranking.fits(closed):
+        return ranking.totals(patients, profiles, closed, ic, method)
+    scores = set_similarity(patients, profiles, pair_similarity(patients, profiles, closed, ic, method)).withColumn("score", F.round("score", ranking.DIGITS))
+    return scores.groupBy("entity_id").agg(F.sum("score").alias("total"), F.max("score").alias("best"))
+
+
 def metrics(results: DataFrame) -> DataFrame:
     """One row: cases, hits at 1, 10 and 100, mean area (nulls left out) and median rank."""
     hits = lambda k: F.round(F.avg((F.col("rank") <= k).cast("double")), 4).alias(f"hits_at_{k}")

@@ -1,7 +1,9 @@
 """Rules for raw JSON documents; findings in a fixed order.
 
-Rules look at the text, since a struct schema cannot tell an absent member from
-a null one.
+A document is parsed once, to a variant, which keeps each member's type: the text
+"0" is there, the number 0 is empty, as null, false, "" and empty lists and objects
+are.  An object's members are a map of variants, so an absent member is told from a
+null one.  A member that should be an object or a list and is not has no members.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Allowed values.
+# Allowed values; the wording of the messages below is fixed as well.
 SEXES = ("UNKNOWN_SEX", "FEMALE", "MALE", "OTHER_SEX")
 PROGRESS = ("UNKNOWN_PROGRESS", "IN_PROGRESS", "COMPLETED", "SOLVED", "UNSOLVED")
 FINDING = "array<struct<field:string,message:string,severity:string>>"
@@ -23,19 +25,37 @@ def _finding(field: Column | str, message: Column, severity: str = "ERROR") -> C
     return F.array(F.struct((F.lit(field) if isinstance(field, str) else field).alias("field"), message.alias("message"), F.lit(severity).alias("severity")))
 
 
-def _members(doc: Column) -> Column:
-    """The members of an object as texts; null for anything else."""
-    return F.from_json(doc, "map<string,string>")
+def _members(value: Column) -> Column:
+    """The members of a variant that is an object; null for anything else."""
+    return value.try_cast("map<string,variant>")
 
 
 def _has(members: Column, key: str) -> Column:
     return F.coalesce(F.map_contains_key(members, key), F.lit(False))
 
 
+#: JSON texts of values that count as empty: null, false, "", lists and objects without members, and zeros.
+EMPTY = r'^(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:[eE][+-]?\d+)?)$'
+
+
 def _empty(members: Column, key: str) -> Column:
-    """Absent, null, or an empty value."""
-    value = members[key]
-    return ~_has(members, key) | value.isNull() | value.rlike(r"^(?:\[\s*\]|\{\s*\}|0|false|null|)$")
+    """Absent, null, or an empty value of its type."""
+    return ~_has(members, key) | F.coalesce(F.to_json(members[key]).rlike(EMPTY), F.lit(True))
+
+
+def _is_text(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
+def shown(value: Column) -> Column:
+    """A value as messages name it: texts as they are, null, true and false by name, anything else as JSON."""
+    text = F.to_json(value)
+    return F.when(value.isNull() | (text == "null"), "None").when(_is_text(value), value.try_cast("string")).when(text == "true", "True").when(text == "false", "False").otherwise(text)
+
+
+def _one_of(value: Column, allowed: tuple[str, ...]) -> Column:
+    """Whether a value is a text among these."""
+    return _is_text(value) & F.coalesce(value.try_cast("string").isin(*allowed), F.lit(False))
 
 
 def _required(members: Column, key: str, context: Column) -> Column:
@@ -43,8 +63,9 @@ def _required(members: Column, key: str, context: Column) -> Column:
     return F.when(_empty(members, key), _finding(key, text)).otherwise(_none())
 
 
-def _items(text: Column) -> Column:
-    return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+def _items(value: Column) -> Column:
+    """The elements of a variant that is a list; none for anything else."""
+    return F.coalesce(value.try_cast("array<variant>"), F.array().cast("array<variant>"))
 
 
 def _each(items: Column, rule) -> Column:
@@ -52,12 +73,12 @@ def _each(items: Column, rule) -> Column:
 
 
 def parsed(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """Adds the members that rules look at, each level parsed once: a projection for the document, one for what is in it."""
-    top = docs.withColumn("_top", _members(F.col(doc)))
+    """Adds the members that rules look at, each level taken apart once."""
+    top = docs.withColumn("_doc", F.try_parse_json(doc)).withColumn("_top", _members(F.col("_doc")))
     member = lambda key: F.col("_top")[key]
     maps = lambda key: F.transform(_items(member(key)), _members)
     feature = lambda m: F.struct(_has(m, "type").alias("typed"), _members(m["type"]).alias("kind"))
-    genomic = lambda m: F.transform(_items(F.get_json_object(m["diagnosis"], "$.genomicInterpretations")), _members)
+    genomic = lambda m: F.transform(_items(_members(m["diagnosis"])["genomicInterpretations"]), _members)
     return top.withColumns(
         {
             "_subject": _members(member("subject")), "_meta": _members(member("metaData")), "_features": F.transform(maps("phenotypicFeatures"), feature),
@@ -67,7 +88,7 @@ def parsed(docs: DataFrame, doc: str = "doc") -> DataFrame:
     )
 
 
-_PARSED = ("_top", "_subject", "_meta", "_features", "_interpretations", "_diseases")
+_PARSED = ("_top", "_subject", "_meta", "_features", "_interpretations", "_diseases", "_doc")
 
 
 def findings(name: Column) -> Column:
@@ -78,16 +99,18 @@ def findings(name: Column) -> Column:
     sex = subject["sex"]
     for_subject = F.concat(
         _required(subject, "id", F.concat(name, F.lit(".subject"))),
-        F.when(_has(subject, "sex") & ~F.coalesce(sex.isin(*SEXES), F.lit(False)), _finding("subject.sex", says("Invalid sex value: ", F.coalesce(sex, F.lit("None")), ". Must be one of ", str(list(SEXES))))).otherwise(_none()),
+        F.when(_has(subject, "sex") & ~_one_of(sex, SEXES), _finding("subject.sex", says("Invalid sex value: ", shown(sex), ". Must be one of ", str(list(SEXES))))).otherwise(_none()),
     )
 
     def feature(f: Column, i: Column) -> Column:
         kind = f["kind"]
         id_ = kind["id"]
-        bad_id = _has(kind, "id") & ~F.coalesce(id_.startswith("HP:"), F.lit(False))
+        no_text = _has(kind, "id") & ~_is_text(id_)
+        other = _has(kind, "id") & _is_text(id_) & ~F.coalesce(id_.try_cast("string").startswith("HP:"), F.lit(False))
         in_type = F.concat(
             F.when(~_has(kind, "id"), _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type")), says("Feature type missing required 'id' field"))).otherwise(_none()),
-            F.when(bad_id, _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type.id")), says("ID ", F.coalesce(id_, F.lit("None")), " doesn't appear to be an HPO term"), "WARNING")).otherwise(_none()),
+            F.when(no_text, _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type.id")), says("ID ", shown(id_), " is not a text"))).otherwise(_none()),
+            F.when(other, _finding(F.concat(at(i, "phenotypicFeatures"), F.lit(".type.id")), says("ID ", shown(id_), " doesn't appear to be an HPO term"), "WARNING")).otherwise(_none()),
         )
         return F.when(~f["typed"], _finding(at(i, "phenotypicFeatures"), says("Feature missing required 'type' field"))).otherwise(in_type)
 
@@ -101,10 +124,10 @@ def findings(name: Column) -> Column:
     def interpretation(x: Column, i: Column) -> Column:
         inside = F.concat(name, F.lit("."), at(i, "interpretations"))
         status = x["own"]["progressStatus"]
-        bad = _has(x["own"], "progressStatus") & ~F.coalesce(status.isin(*PROGRESS), F.lit(False))
+        bad = _has(x["own"], "progressStatus") & ~_one_of(status, PROGRESS)
         return F.concat(
             _required(x["own"], "id", inside),
-            F.when(bad, _finding(F.concat(at(i, "interpretations"), F.lit(".progressStatus")), says("Invalid progressStatus: ", F.coalesce(status, F.lit("None"))))).otherwise(_none()),
+            F.when(bad, _finding(F.concat(at(i, "interpretations"), F.lit(".progressStatus")), says("Invalid progressStatus: ", shown(status)))).otherwise(_none()),
             _each(x["genomic"], genomic(F.concat(inside, F.lit(".diagnosis")))),
         )
 
@@ -123,13 +146,17 @@ def findings(name: Column) -> Column:
 
 
 def validate(docs: DataFrame, doc: str = "doc", number: str | None = None) -> DataFrame:
-    """Adds name, errors, warnings and valid; without an id a document is named by its number."""
-    name = F.coalesce(F.col("_top")["id"], F.concat(F.lit("phenopacket_"), (F.col(number) + 1).cast("string")) if number else F.lit(""))
-    broken = F.try_parse_json(doc).isNull()
+    """Adds name, findings (in their order), errors, warnings and valid.
+
+    A document is named by its id; without one, or where it is null, by its number.
+    """
+    numbered = F.concat(F.lit("phenopacket_"), (F.col(number) + 1).cast("string")) if number else F.lit("")
+    id_ = F.col("_top")["id"]
+    name = F.when(id_.isNull() | (F.to_json(id_) == "null"), numbered).otherwise(shown(id_))
     named = parsed(docs, doc).withColumn("name", name)
-    out = named.withColumn("_f", F.when(broken, _finding("", F.lit("Invalid JSON"))).otherwise(findings(F.col("name"))))
-    of = lambda s: F.filter("_f", lambda x: x["severity"] == s)
-    return out.withColumns({"errors": of("ERROR"), "warnings": of("WARNING")}).withColumn("valid", F.size("errors") == 0).drop("_f", *_PARSED)
+    out = named.withColumn("findings", F.when(F.col("_doc").isNull(), _finding("", F.lit("Invalid JSON"))).otherwise(findings(F.col("name"))))
+    of = lambda s: F.filter("findings", lambda x: x["severity"] == s)
+    return out.withColumns({"errors": of("ERROR"), "warnings": of("WARNING")}).withColumn("valid", F.size("errors") == 0).drop(*_PARSED)
 
 
 def totals(validated: DataFrame) -> DataFrame:
@@ -141,7 +168,7 @@ def totals(validated: DataFrame) -> DataFrame:
     )
 
 
-def accepted(validated: DataFrame, has_disease: Column) -> DataFrame:
-    """Documents without errors; those that ask for a disease do not count where there is none."""
+def accepted(validated: DataFrame, has_disease: Column, good: bool = True) -> DataFrame:
+    """Documents without errors, or those with some; errors that ask for a disease do not count where there is none."""
     left = F.when(has_disease, F.col("errors")).otherwise(F.filter("errors", lambda e: ~F.contains(e["message"], F.lit("disease annotation"))))
-    return validated.where(F.size(left) == 0)
+    return validated.where((F.size(left) == 0) == good)

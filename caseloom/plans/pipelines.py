@@ -10,8 +10,10 @@ from caseloom.operators import harmonize as H
 from caseloom.operators import match as M
 from caseloom.operators import packets as P
 from caseloom.operators import similarity as S
+from caseloom.operators import stats
 from caseloom.operators import validate as V
 from caseloom.sources import tables
+from caseloom.sources.shared import written
 
 
 def canonical_cases(literature: DataFrame, clinical: DataFrame, hospital: DataFrame, names: DataFrame | None = None, prefix: str = "CASE") -> DataFrame:
@@ -53,13 +55,36 @@ def rank_genes(packets: DataFrame, profiles: DataFrame, edges: DataFrame, transc
     truth = S.skip_reason(S.truth_of(packets, transcripts), profiles)
     good = truth.where("skip_reason is null")
     terms = packets.select("id", F.explode("phenotypicFeatures.type.id").alias("term")).join(good.select("id"), "id", "left_semi")
-    closed = S.closure(edges)
-    ic = S.information_content(closed, profiles.select(F.col("entity_id").alias("item"), "term"))
-    scores = S.set_similarity(terms, profiles, S.pair_similarity(terms, profiles, closed, ic, method))
-    results = S.evaluate(scores, good).join(good.select("id", F.col("n_terms").alias("num_hpo_terms")), "id")
+    results = S.evaluated(terms, good, profiles, S.closure(edges), method).join(good.select("id", F.col("n_terms").alias("num_hpo_terms")), "id")
     return results.select(F.col("id").alias("packet_id"), "ground_truth_gene", "rank", "score", "num_hpo_terms", "roc_auc"), truth.where("skip_reason is not null")
 
 
+def generate(parsed: DataFrame, created: str, prefix: str = "CASE_") -> tuple[DataFrame, DataFrame]:
+    """Documents of parsed cases that validate, and those that do not (id, messages).
+
+    A finding that asks for a disease does not count where the case has none.
+    Documents and findings are written to the shared folder once: a filter on
+    findings would else be pushed below all rules, each time with all it is made of.
+    """
+    own = parsed if "reference" in parsed.columns else parsed.withColumn("reference", F.lit(None).cast("string"))
+    made = P.parsed_packets(own, created, prefix)
+    held = written(made.select("*", F.to_json(F.struct(*made.columns)).alias("_text")), "packets")
+    judged = written(V.validate(held, "_text").drop("_text", "name", "findings", "warnings"), "judged")
+    good = V.accepted(judged, F.col("diseases").isNotNull()).select(*made.columns)
+    left = V.accepted(judged, F.col("diseases").isNotNull(), False)
+    return good, left.select("id", F.array_join(F.transform("errors", lambda e: e["message"]), "; ").alias("messages"))
+
+
+def generation_summary(parsed: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """One row of counts over parsed cases, and the k most frequent terms (equal counts by first mention)."""
+    split = lambda c: F.coalesce(F.filter(F.split(c, ";"), lambda x: F.trim(x) != ""), F.array().cast("array<string>"))
+    own = parsed.select(split("parsed_hpo_ids").alias("h"), split("parsed_variants").alias("v"), F.monotonically_increasing_id().alias("place"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    summary = own.agg(F.count("*").alias("cases"), F.count_if(F.size("h") > 0).alias("with_features"), F.count_if(F.size("v") > 0).alias("with_variants"), count(F.size("h")).alias("features"))
+    each = own.select(F.posexplode("h").alias("i", "term"), F.col("place")).withColumn("at", F.struct("place", "i"))
+    return summary, stats.top_terms(each, "term", "at", k)
+
+
 def convert(spark: SparkSession, cases_path: str, terms: DataFrame, created: str) -> DataFrame:
     return P.build(tables.read_delimited(spark, cases_path), terms, created)
 

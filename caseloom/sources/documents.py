@@ -6,20 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators.packets import PACKET
+from caseloom.sources.elements import read_elements
 
 
-def read_annotations(spark: SparkSession, path: str) -> DataFrame:
-    """id and terms of a JSON map of term lists."""
-    raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("id", "terms"))
+def read_annotations(spark: SparkSession, path: str, joined: bool = False) -> DataFrame:
+    """id and terms of a JSON map of term lists; a malformed file gives none."""
+    entries = read_elements(spark, path, "{", joined).where("text IS NOT NULL")
+    return entries.select(F.explode(F.from_json(F.concat(F.lit("{"), "text", F.lit("}")), "map<string,array<string>>")).alias("id", "terms"))
 
 
-def read_raw_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc (raw JSON text) and i of a JSON array or a single object; malformed text gives doc null."""
-    raw = spark.read.text(path, wholetext=True)
-    one = F.when(F.try_parse_json("value").isNull(), F.array(F.lit(None).cast("string")))
-    one = one.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
-    return raw.select(F.posexplode(one).alias("i", "doc"))
+def read_raw_documents(spark: SparkSession, path: str, joined: bool = False) -> DataFrame:
+    """doc (raw JSON text) and i of a JSON array or a single object; a malformed file gives one doc that is null."""
+    return read_elements(spark, path, "[", joined).select("i", F.col("text").alias("doc"))
 
 
 def read_packets(spark: SparkSession, folder: str) -> DataFrame:
