@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.missing import without_na
 from caseloom.sources.shared import written
+from caseloom.sources.sheets import read_workbook
 
 
 def read_delimited(spark: SparkSession, path: str, separator: str = "\t", encoding: str = "UTF-8", strip_header: bool = False, na: bool = True) -> DataFrame:
@@ -21,14 +22,11 @@ def read_latin1(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, encoding="ISO-8859-1")
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """An Excel sheet, where openpyxl is installed; else its export as a tab-separated table."""
-    if not path.endswith((".xlsx", ".xls")):
+def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
+    """A sheet of an Excel workbook (``sheets``), or its export as a tab-separated table."""
+    if not path.endswith((".xlsx", ".xlsm")):
         return read_delimited(spark, path)
-    import pandas as pd
-
-    sheet = pd.read_excel(path, engine="openpyxl", dtype=str)  # one sheet of at most 1,048,576 rows by the format
-    return without_na(spark.createDataFrame(sheet.astype(object).where(sheet.notna(), None), ", ".join(f"`{c}` string" for c in sheet.columns)))
+    return without_na(read_workbook(spark, path, sheet))
 
 
 def read_positional(spark: SparkSession, path: str) -> DataFrame:
