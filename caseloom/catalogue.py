@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions import clinical as C
+from caseloom.functions import hgvs
 from caseloom.functions.missing import is_missing
 from caseloom.operators import harmonize as H
 from caseloom.operators import match as M
@@ -198,13 +199,42 @@ def parsed_phenotypes(spark, sf_dir):
     return pipelines.parse_cases(c).select("ID", "parsed_hpo_ids", "parsed_omim_ids", "parsed_pheno_text")
 
 
-@query()
+_BEGINS_WITH = lambda x, words: "(" + " OR ".join(f"starts_with({x}, '{w}')" for w in words) + ")"
+_RESIDUES = "CASE c " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in hgvs.AMINO.items()) + " ELSE c END"
+_SPELT = f"""CASE WHEN NOT contains(e, ':p.') THEN e WHEN regexp_matches(e, '{hgvs.SHORT}') THEN regexp_extract(e, '^(.*:p\\.)', 1) || array_to_string(list_transform(string_split(replace(regexp_extract(e, ':p\\.(.*)$', 1), 'fsX', 'fs*'), ''), lambda c: {_RESIDUES}), '')
+ WHEN regexp_matches(e, '{hgvs.PROTEIN}') THEN replace(replace(e, 'fsX', 'fs*'), '*', 'Ter') ELSE e END""".replace("\\\\", "\\")
+_SCAN = "{{'g': {0}, 't': {1}, 'e': {2}, 'p': '', 'i': 0}}".format
+#: The expressions of each variant: parts between colons go through a state of gene, transcript and expressions.
+_EXPRESSIONS = f"""each_ AS (SELECT ID, v, n FROM (SELECT ID, unnest({_LIST.format("replace(genomicVariants, '|', ';')", ";")}) AS v, generate_subscripts({_LIST.format("replace(genomicVariants, '|', ';')", ";")}, 1) AS n FROM cases)),
+ scanned AS (SELECT *, list_reduce(list_transform(string_split(v, ':'), lambda p, i: {{'g': CAST(NULL AS VARCHAR), 't': CAST(NULL AS VARCHAR), 'e': CAST([] AS VARCHAR[]), 'p': {_S.format('p')}, 'i': i}}), lambda s, x:
+   CASE WHEN x.i = 1 AND NOT {_BEGINS_WITH('x.p', C.NOT_GENE)} THEN {_SCAN('x.p', 's.t', 's.e')} WHEN {_BEGINS_WITH('x.p', C.TRANSCRIPTS)} THEN {_SCAN('s.g', 'x.p', 's.e')}
+   WHEN {_BEGINS_WITH('x.p', C.EXPRESSIONS)} THEN {_SCAN('s.g', 's.t', "list_append(s.e, CASE WHEN s.t <> '' AND " + _BEGINS_WITH('x.p', ('c.', 'n.', 'r.')) + " THEN s.t || ':' || x.p WHEN s.g <> '' AND starts_with(x.p, 'p.') THEN s.g || ':' || x.p ELSE x.p END)")} ELSE s END,
+   {{'g': CAST(NULL AS VARCHAR), 't': CAST(NULL AS VARCHAR), 'e': CAST([] AS VARCHAR[]), 'p': '', 'i': 0}}).e AS e,
+   list_filter(list_transform(string_split_regex(v, '[,;]\\s*'), lambda x: {_S.format('x')}), lambda x: x <> '') AS cut FROM each_),
+ expressions AS (SELECT ID, n, array_to_string(list_transform(CASE WHEN contains(v, ':') AND len(e) > 0 THEN e WHEN len(cut) > 0 THEN cut ELSE [v] END, lambda e: {_SPELT}), ',') AS v FROM scanned)""".replace("\\\\", "\\")
+
+
+@query(f"WITH {W}, {_EXPRESSIONS}, a AS (SELECT ID, string_agg(v, ';' ORDER BY n) AS t FROM expressions GROUP BY ID) SELECT cases.ID AS ID, coalesce(t, '') AS parsed_variants FROM cases LEFT JOIN a ON a.ID = cases.ID")
 def parsed_variants(spark, sf_dir):
     c = Y.cases(spark, sf_dir)
     return c.select("ID", F.array_join(C.parsed_variants(F.col("genomicVariants")), ";").alias("parsed_variants"))
 
 
-@query()
+_FIELDS = ("symbol", "transcript", "genomic", "protein", "cdna")
+_TOKEN_PARTS = f"list_transform([x[1], x[2], array_to_string(x[3:], ':')][1 : least(len(x), 3)], lambda p, i: {{'p': {_S.format('p')}, 'i': i}})"
+_FIELD_STEP = {
+    "symbol": f"x.i = 1 AND NOT {_BEGINS_WITH('x.p', (*C.NOT_GENE, 'NC_'))}", "transcript": f"x.i <> 3 AND {_BEGINS_WITH('x.p', C.TRANSCRIPTS)}",
+    **{k: f"x.i <> 1 AND starts_with(x.p, '{p}')" for k, p in (("genomic", "g."), ("protein", "p."), ("cdna", "c."))},
+}
+_EMPTY_FIELDS = ", ".join(f"'{k}': CAST(NULL AS VARCHAR)" for k in _FIELDS)
+
+
+@query(f"""WITH {W}, {_EXPRESSIONS}, tokens AS (SELECT ID, n, v, flatten(list_transform(list_transform(string_split(v, ','), lambda x: {_S.format('x')}), lambda e: CASE WHEN contains(e, ':') THEN
+   list_transform([string_split(e, ':')], lambda x: {_TOKEN_PARTS})[1] ELSE [{{'p': e, 'i': CAST(0 AS BIGINT)}}] END)) AS l FROM expressions),
+ folded AS (SELECT ID, n, v, list_reduce(list_transform(l, lambda y: {{{_EMPTY_FIELDS}, 'other': CAST([] AS VARCHAR[]), 'p': y.p, 'i': y.i}}), lambda s, x: {{{", ".join(f"'{k}': CASE WHEN {w} THEN x.p ELSE s.{k} END" for k, w in _FIELD_STEP.items())},
+   'other': CASE WHEN x.i = 0 AND NOT {_BEGINS_WITH('x.p', ('p.', 'g.', 'c.', *C.TRANSCRIPTS))} THEN list_append(s.other, x.p) ELSE s.other END, 'p': '', 'i': 0}}, {{{_EMPTY_FIELDS}, 'other': CAST([] AS VARCHAR[]), 'p': '', 'i': 0}}) AS p FROM tokens)
+ SELECT ID, CAST(n - 1 AS INTEGER) AS pos, v, {", ".join(f"p.{k} AS {k}" for k in _FIELDS)}, array_to_string(p.other, '|') AS other,
+ coalesce(CASE WHEN p.transcript <> '' AND p.cdna <> '' THEN p.transcript || ':' || p.cdna END, nullif(p.genomic, ''), nullif(p.cdna, ''), nullif(p.protein, ''), v) AS expression FROM folded""")
 def variant_components(spark, sf_dir):
     v = Y.cases(spark, sf_dir).select("ID", F.posexplode(C.parsed_variants(F.col("genomicVariants"))).alias("pos", "v"))
     p = v.withColumn("p", C.variant_components(F.col("v")))

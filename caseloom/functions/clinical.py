@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caseloom.functions import hgvs
 from caseloom.functions.missing import SENTINEL, is_missing, none_if_empty, parts, sorted_distinct, strip
 
 # Ages in words.
@@ -21,7 +22,8 @@ ACMG = (
 )
 # Phrases that are no finding.
 NO_FINDING = ("patient", "patients", "man", "woman", "male", "female", "the patient", "evidence", "person", "subject")
-# Beginnings that are no gene symbol; and kinds of expressions.
+# Beginnings that are no gene symbol; and kinds of expressions.  The patterns for terms, genes, ages and
+# diseases in the functions below are fixed as well.
 NOT_GENE = ("NM_", "NR_", "c.", "g.", "p.", "chr")
 TRANSCRIPTS = ("NM_", "NR_")
 EXPRESSIONS = ("c.", "g.", "p.", "n.", "r.")
@@ -185,29 +187,10 @@ def variant_expressions(v: Column) -> Column:
     return F.when(F.size(scanned) > 0, scanned).when(F.size(cut) > 0, cut).otherwise(F.array(v))
 
 
-# One-letter and three-letter amino acids.
-AMINO = {
-    "A": "Ala", "C": "Cys", "D": "Asp", "E": "Glu", "F": "Phe", "G": "Gly", "H": "His", "I": "Ile", "K": "Lys", "L": "Leu",
-    "M": "Met", "N": "Asn", "P": "Pro", "Q": "Gln", "R": "Arg", "S": "Ser", "T": "Thr", "V": "Val", "W": "Trp", "Y": "Tyr", "*": "Ter",
-}
-
-
-def hgvs_normal(e: Column) -> Column:
-    """Accession protein changes in three letters; anything else as it is.
-
-    Only ``accession:p.X1Y`` in one-letter code is changed, the one case that is
-    unambiguous without a sequence database.
-    """
-    pattern = r"^([A-Z]{2}_\d+(?:\.\d+)?):p\.([ACDEFGHIKLMNPQRSTVWY])(\d+)([ACDEFGHIKLMNPQRSTVWY*])$"
-    names = F.create_map(*[F.lit(x) for kv in AMINO.items() for x in kv])
-    at = lambda k: F.regexp_extract(e, pattern, k)
-    return F.when(e.rlike(pattern), F.concat(at(1), F.lit(":p."), F.try_element_at(names, at(2)), at(3), F.try_element_at(names, at(4)))).otherwise(e)
-
-
 def parsed_variants(c: Column) -> Column:
     """One text for each variant, its expressions joined by commas."""
     each = parts(F.translate(c, "|", ";"), ";")
-    out = F.transform(each, lambda v: F.array_join(F.transform(variant_expressions(v), hgvs_normal), ","))
+    out = F.transform(each, lambda v: F.array_join(F.transform(variant_expressions(v), hgvs.normal), ","))
     return F.coalesce(out, F.array().cast("array<string>"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from caseloom.functions.clinical import is_finding
-from caseloom.operators import mentions, subsequence
+from caseloom.operators import isolate, mentions, subsequence
 
 THRESHOLD = 60.0
 #: Names that a task holds at once for fuzzy matching: some 10 KB each with 64 letters.
@@ -105,7 +105,8 @@ def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "t
     Names that stand in the text, wherever and of whatever length, give their ids
     unless they are negated; what stands between them is matched to its best name
     where that reaches the threshold.  In place of both, ``extract`` may be any
-    annotator that gives key and phrase (a language model, say).
+    annotator that gives key and phrase (a language model, say); ``annotate_or_skip``
+    takes one that may fail.
     """
     if extract is not None:
         said = extract(texts, key, text)
@@ -118,3 +119,13 @@ def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "t
         matched = direct.unionByName(near)
     ids = matched.groupBy(key).agg(F.array_sort(F.collect_set("_term")).alias("terms"))
     return texts.select(key).distinct().join(ids, key, "left").select(key, F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))
+
+
+def annotate_or_skip(texts: DataFrame, names: DataFrame, find, key: str = "id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """``annotate`` with phrases by ``find`` (a function of one text), and the texts that it fails on (key, text, error).
+
+    Those have no terms of their own here, so what patterns find in them still counts
+    where both are merged.
+    """
+    said, failed = isolate.phrases_by(find)(texts, key, text)
+    return annotate(texts, names, key, text, threshold, extract=lambda *_: said), failed

@@ -112,6 +112,11 @@ def evaluate(scores: DataFrame, truth: DataFrame) -> DataFrame:
     return joined.groupBy("id", "ground_truth_gene").agg((1 + F.count_if(negative & before)).cast("int").alias("rank"), F.max("s").alias("score"), area.alias("roc_auc"))
 
 
+def unknown_terms(patients: DataFrame, closed: DataFrame) -> DataFrame:
+    """id and term of patients' terms that the ontology does not have: they match nothing."""
+    return patients.select("id", "term").dropna(subset=["term"]).distinct().join(closed.select("term").distinct(), "term", "left_anti").select("id", "term")
+
+
 def evaluated(patients: DataFrame, truth: DataFrame, profiles: DataFrame, closed: DataFrame, method: str = "resnik") -> DataFrame:
     """``evaluate`` of every patient against all entities, with information from the profiles.
 

@@ -16,12 +16,16 @@ from caseloom.sources import tables
 from caseloom.sources.shared import written
 
 
-def canonical_cases(literature: DataFrame, clinical: DataFrame, hospital: DataFrame, names: DataFrame | None = None, prefix: str = "CASE") -> DataFrame:
-    """Three raw sources to one case table; with ``names`` free text of the first two is annotated as well."""
+def canonical_cases(literature: DataFrame, clinical: DataFrame, hospital: DataFrame, names: DataFrame | None = None, prefix: str = "CASE", find=None) -> DataFrame:
+    """Three raw sources to one case table; with ``names`` free text of the first two is annotated as well.
+
+    ``find`` (a function of one text that gives phrases) may take the place of the
+    dictionary; texts that it fails on keep the ids that patterns find.
+    """
     lit, clin, hosp = H.standardise(literature, H.literature()), H.standardise(clinical, H.clinical_literature()), H.standardise(hospital, H.hospital())
     if names is not None:
         texts = H.keyed_phenotypes(lit, clin).select(F.col("ID").alias("id"), F.col("phenotypes").alias("text")).where("text is not null")
-        found = M.annotate(texts, names)
+        found = M.annotate(texts, names) if find is None else M.annotate_or_skip(texts, names, find)[0]
         lit, clin = H.merge_annotations(lit, found, "LIT_"), H.merge_annotations(clin, found, "CLIT_")
     return H.union_sources(lit, clin, hosp, prefix=prefix)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import clinical as C
+from caseloom.functions import hgvs as H
 
 
 def one(spark, builder, values):
@@ -102,5 +103,28 @@ def test_findings_filter(spark):
     assert one(spark, C.is_finding, ["fever", "man", "abc", "the patient"]) == [True, False, False, False]
 
 
-def test_hgvs(spark):
-    assert one(spark, C.hgvs_normal, ["NP_001.1:p.R5*", "NP_001.1:p.R5fs", "c.1A>G"]) == ["NP_001.1:p.Arg5Ter", "NP_001.1:p.R5fs", "c.1A>G"]
+ACCEPTED = {
+    "NM_007294.3:c.1A>G": ("NM_007294.3", None, "c", "1", None, "A>G"), "NM_1.2(BRCA1):c.-14+5_*20-3del": ("NM_1.2", "BRCA1", "c", "-14+5", "*20-3", "del"),
+    "NC_000017.11:g.(10_20)_(30_40)delAC": ("NC_000017.11", None, "g", "(10_20)", "(30_40)", "delAC"), "NM_1:c.5_7delinsTTG": ("NM_1", None, "c", "5", "7", "delinsTTG"), "NM_1:c.5_7delACGinsT": ("NM_1", None, "c", "5", "7", "delACGinsT"),
+    "NM_1:c.5dup": ("NM_1", None, "c", "5", None, "dup"), "NM_1:c.5_6insACGT": ("NM_1", None, "c", "5", "6", "insACGT"), "NM_1:c.10_20inv": ("NM_1", None, "c", "10", "20", "inv"), "NM_1:c.5=": ("NM_1", None, "c", "5", None, "="),
+    "NM_1:c.123CAG[23]": ("NM_1", None, "c", "123", None, "CAG[23]"), "NR_1:n.7A>T": ("NR_1", None, "n", "7", None, "A>T"), "NM_1:r.7a>u": ("NM_1", None, "r", "7", None, "a>u"), "NC_012920.1:m.3243A>G": ("NC_012920.1", None, "m", "3243", None, "A>G"),
+    "ENST00000357654.9:c.1A>G": ("ENST00000357654.9", None, "c", "1", None, "A>G"), "LRG_1t1:c.?_5del": ("LRG_1t1", None, "c", "?", "5", "del"), "NM_1:c.88+?del": ("NM_1", None, "c", "88+?", None, "del"),
+    "NP_1.1:p.Arg97Ter": ("NP_1.1", None, "p", "Arg97", None, "Ter"), "NP_1.1:p.(Arg97ProfsTer23)": ("NP_1.1", None, "p", "Arg97", None, "ProfsTer23"), "NP_1.1:p.Lys23_Val25del": ("NP_1.1", None, "p", "Lys23", "Val25", "del"),
+    "NP_1.1:p.Ter110GlnextTer17": ("NP_1.1", None, "p", "Ter110", None, "GlnextTer17"), "NP_1.1:p.Met1ext-5": ("NP_1.1", None, "p", "Met1", None, "ext-5"), "NP_1.1:p.Met1?": ("NP_1.1", None, "p", "Met1", None, "?"), "NP_1.1:p.?": ("NP_1.1", None, "p", None, None, "?"),
+}
+REJECTED = ["c.1A>G", "NM_1", "NM_1:c.", "NM_1:c.A>G", "NM_1:c.1A>", "NM_1:x.1A>G", "BRCA1:c.1A>G", "NM_1:c.1_2_3del", "NP_1:p.Foo5Bar", "NP_1:p.Arg5", "NM_1:c.1A>G;", " NM_1:c.1A>G", "NM_1 :c.1A>G", "NM_1:c.5insZ", "NP_1:p.Arg97delins", "", "chr1:123"]
+
+
+def test_hgvs_grammar(spark):
+    got = one(spark, H.parts, [*ACCEPTED, *REJECTED, None])
+    assert [r and tuple(r) for r in got] == [*ACCEPTED.values(), *[None] * (len(REJECTED) + 1)]
+    assert one(spark, H.is_expression, [*ACCEPTED, *REJECTED]) == [True] * len(ACCEPTED) + [False] * len(REJECTED)
+
+
+def test_hgvs_normal(spark):
+    want = {
+        "NP_001.1:p.R5*": "NP_001.1:p.Arg5Ter", "NP_001.1:p.R5fs": "NP_001.1:p.Arg5fs", "NP_1:p.(R97Pfs*23)": "NP_1:p.(Arg97ProfsTer23)", "NP_1:p.R97fsX9": "NP_1:p.Arg97fsTer9", "NP_1:p.K23_V25delinsGA": "NP_1:p.Lys23_Val25delinsGlyAla",
+        "NP_1:p.*110Qext*17": "NP_1:p.Ter110GlnextTer17", "NP_1:p.K2_G3insQSK": "NP_1:p.Lys2_Gly3insGlnSerLys", "NP_1:p.Arg97*": "NP_1:p.Arg97Ter", "NP_1:p.Arg97Ter": "NP_1:p.Arg97Ter", "NP_1:p.R5": "NP_1:p.R5", "SCN1A:p.E8K": "SCN1A:p.E8K",
+        "c.1A>G": "c.1A>G", "NM_1:c.1A>G": "NM_1:c.1A>G", None: None, "": "",
+    }
+    assert one(spark, H.normal, list(want)) == list(want.values())
