@@ -7,6 +7,8 @@ the oracle states the rule again in another engine's SQL.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -265,12 +267,57 @@ def _packets(spark, sf_dir) -> DataFrame:
     return P.build(Y.cases(spark, sf_dir), Y.dictionary(spark, sf_dir), CREATED)
 
 
-@query()
+_J = lambda name, value: f"'\"{name}\":' || {value}"
+_JS = lambda name, value: _J(name, f"CAST(to_json({value}) AS VARCHAR)")
+_JOBJ = lambda *members: "'{' || concat_ws(',', " + ", ".join(members) + ") || '}'"
+_JLIST = lambda xs: f"'[' || array_to_string({xs}, ',') || ']'"
+_JCONST = lambda value: "'" + json.dumps(value, separators=(",", ":"), ensure_ascii=False).replace("'", "''") + "'"
+_WHEN = lambda condition, value: f"CASE WHEN {condition} THEN {value} END"
+_TOLD = lambda c: f"({c} IS NOT NULL AND {c} <> 'Not reported')"
+_RESOURCE = [dict(zip(("id", "name", "url", "version", "namespacePrefix", "iriPrefix"), r)) for r in P.RESOURCES]
+_QUOTED_NAMES = {"procedure": '"procedure"'}
+_EXTRA_JSON = _JOBJ(*[_WHEN(_TOLD(_QUOTED_NAMES.get(k, k)), _JS(v, _QUOTED_NAMES.get(k, k))) for k, v in P.EXTRA.items()])
+_ANY_EXTRA = " OR ".join(_TOLD(_QUOTED_NAMES.get(k, k)) for k in P.EXTRA)
+_VARIANT_JSON = _JOBJ(_JS("subjectOrBiosampleId", "ID"), _J("interpretationStatus", "'\"UNKNOWN_STATUS\"'"), _J("variantInterpretation", _JOBJ(
+    _J("variationDescriptor", _JOBJ(_JS("id", "ID || '_variant' || CAST(i AS VARCHAR)"), _J("variation", _JOBJ(_JS("text", "v"))), _WHEN(f"{GENE.format('v')} IS NOT NULL", _J("geneContext", _JOBJ(_JS("valueId", f"'HGNC:' || {GENE.format('v')}"), _JS("symbol", GENE.format("v"))))))),
+    _JS("acmgPathogenicityClassification", ACMG))))
+_PACKET = f"""WITH {W}, d AS ({_DICT}), t AS (SELECT ID, unnest({TERM_LIST}) AS term, generate_subscripts({TERM_LIST}, 1) AS i FROM cases),
+ f AS (SELECT t.ID AS ID, string_agg({_J("type", _JOBJ(_JS("id", "term"), _JS("label", "coalesce(label, 'Unknown term: ' || term)")))}, '}},{{' ORDER BY i) AS features FROM t LEFT JOIN d ON d.id = term GROUP BY t.ID),
+ r AS (SELECT ID, dataSourceType, unnest({_REFS}) AS x, generate_subscripts({_REFS}, 1) AS i FROM cases),
+ g AS (SELECT ID, string_agg({_JOBJ(_JS("id", "x"), _JS("reference", "x"), _JS("description", "'Source: ' || coalesce(dataSourceType, 'Not reported')"))}, ',' ORDER BY i) AS refs FROM r GROUP BY ID),
+ v AS (SELECT ID, variantInterpretation, unnest({VARIANT_LIST}) AS v, generate_subscripts({VARIANT_LIST}, 1) AS i FROM cases),
+ h AS (SELECT ID, string_agg({_VARIANT_JSON}, ',' ORDER BY i) AS variants FROM v GROUP BY ID)
+ SELECT c.ID AS id, {_JOBJ(
+    _JS("id", "c.ID"),
+    _J("subject", _JOBJ(_JS("id", "c.ID"), _WHEN(f"{SEX} <> 'UNKNOWN_SEX'", _JS("sex", SEX)), _WHEN(f"{AGE} IS NOT NULL", _J("timeAtLastEncounter", _JOBJ(_J("age", _JOBJ(_JS("iso8601duration", AGE)))))))),
+    _J("phenotypicFeatures", "'[' || coalesce('{' || features || '}', '') || ']'"),
+    _J("metaData", _JOBJ(_J("created", _JCONST(CREATED)), _J("createdBy", _JCONST("Case Data Pipeline")), _J("resources", _JCONST(_RESOURCE)), _J("phenopacketSchemaVersion", _JCONST("2.0")), _J("externalReferences", "'[' || coalesce(refs, '') || ']'"), _WHEN(_ANY_EXTRA, _J("sourceData", _EXTRA_JSON)))),
+    _WHEN("variants IS NOT NULL", _J("interpretations", "'[' || " + _JOBJ(_JS("id", "c.ID || '_interpretation'"), _J("progressStatus", _JCONST("COMPLETED")), _J("diagnosis", _JOBJ(_J("genomicInterpretations", "'[' || variants || ']'")))) + " || ']'")),
+    _WHEN(_TOLD("diagnosticComment"), _J("diseases", "'[' || " + _JOBJ(_J("term", _JOBJ(_JS("id", f"coalesce({OMIM}, '')"), _JS("label", "diagnosticComment")))) + " || ']'")),
+ )} AS doc FROM cases c LEFT JOIN f ON f.ID = c.ID LEFT JOIN g ON g.ID = c.ID LEFT JOIN h ON h.ID = c.ID"""
+
+
+@query(_PACKET)
 def packet_json(spark, sf_dir):
     return P.as_json(_packets(spark, sf_dir))
 
 
-@query()
+_PARSED_VARIANT_JSON = _JOBJ(_JS("subjectOrBiosampleId", "ID"), _J("interpretationStatus", _JCONST("CAUSATIVE")), _J("variantInterpretation", _JOBJ(_J("variationDescriptor", _JOBJ(
+    _WHEN("symbol IS NOT NULL", _J("geneContext", _JOBJ(_JS("valueId", "symbol"), _JS("symbol", "symbol")))), _J("expressions", "'[' || " + _JOBJ(_J("syntax", _JCONST("hgvs")), _JS("value", "expression")) + " || ']'"),
+    _J("vcfRecord", _JCONST({"genomeAssembly": "hg38", "chrom": "N/A", "pos": 0, "ref": "N/A", "alt": "N/A"})))))))
+_NON_EMPTY = "list_filter(string_split({0}, ';'), lambda x: x <> '')".format
+_PARSED_PACKET = f"""WITH {W}, ph AS ({ORACLES["parsed_phenotypes"]}), vc AS ({ORACLES["variant_components"]}), vs AS (SELECT ID, string_agg({_PARSED_VARIANT_JSON}, ',' ORDER BY pos) AS variants FROM vc GROUP BY ID),
+ l AS (SELECT ID, {_NON_EMPTY("parsed_hpo_ids")} AS h, {_NON_EMPTY("parsed_pheno_text")} AS t, {_NON_EMPTY("parsed_omim_ids")} AS o FROM ph), c AS (SELECT cases.ID AS ID, externalReference AS reference, ({ORACLES["pmid"].split("SELECT ID, ", 1)[1].rsplit(" AS pmid FROM", 1)[0]}) AS cite FROM cases)
+ SELECT 'CASE_' || c.ID AS id, {_JOBJ(
+    _JS("id", "'CASE_' || c.ID"), _J("subject", _JOBJ(_JS("id", "c.ID"))),
+    _J("phenotypicFeatures", _JLIST("list_transform(h, lambda x, i: " + _JOBJ(_J("type", _JOBJ(_JS("id", "x"), _JS("label", "CASE WHEN len(h) = len(t) THEN t[i] ELSE x END")))) + ")")),
+    _WHEN("variants IS NOT NULL", _J("interpretations", "'[' || " + _JOBJ(_JS("id", "c.ID"), _J("progressStatus", _JCONST("SOLVED")), _J("diagnosis", _JOBJ(_J("genomicInterpretations", "'[' || variants || ']'")))) + " || ']'")),
+    _WHEN("len(o) > 0", _J("diseases", "'[' || " + _JOBJ(_J("term", _JOBJ(_JS("id", "o[1]"), _JS("label", "o[1]")))) + " || ']'")),
+    _J("metaData", _JOBJ(_J("created", _JCONST(CREATED)), _J("phenopacketSchemaVersion", _JCONST("2.0")), _WHEN("cite IS NOT NULL", _J("externalReferences", "'[' || " + _JOBJ(_JS("id", "cite"), _JS("description", "reference")) + " || ']'")))),
+ )} AS doc FROM c JOIN l ON l.ID = c.ID LEFT JOIN vs ON vs.ID = c.ID"""
+
+
+@query(_PARSED_PACKET)
 def parsed_packet_json(spark, sf_dir):
     c = Y.cases(spark, sf_dir).select("ID", F.col("phenotypicFeatures").alias("phenotypes"), F.col("genomicVariants").alias("variants"), F.col("externalReference").alias("reference"))
     return P.as_json(P.parsed_packets(pipelines.parse_cases(c), CREATED))

@@ -133,7 +133,9 @@ def parsed_packets(parsed: DataFrame, created: str, prefix: str = "CASE_", terms
             ).alias("variationDescriptor")
         )
 
-    gi = F.transform("v", lambda v: F.struct(F.col("ID").alias("subjectOrBiosampleId"), F.lit("CAUSATIVE").alias("interpretationStatus"), variant(v).alias("variantInterpretation")))
+    # "ID" inside a lambda would be taken for the new column "id" of the same select
+    p = p.withColumn("_own", F.col("ID"))
+    gi = F.transform("v", lambda v: F.struct(F.col("_own").alias("subjectOrBiosampleId"), F.lit("CAUSATIVE").alias("interpretationStatus"), variant(v).alias("variantInterpretation")))
     cite = C.pmid(F.col("reference"))
     return p.select(
         F.concat(F.lit(prefix), F.col("ID")).alias("id"), F.struct(F.col("ID").alias("id")).alias("subject"), label.alias("phenotypicFeatures"),
