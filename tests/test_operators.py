@@ -223,4 +223,4 @@ def test_stream_takes_the_same_rules(spark, tmp_path):
     q = streaming.numbered_sink(spark.readStream.schema(src.schema).parquet(str(tmp_path / "in")).drop("ID"), str(tmp_path / "out"), str(tmp_path / "c2"))
     q.processAllAvailable()
     q.stop()
-    assert spark.read.parquet(str(tmp_path / "out")).first().ID == "CASE0_1"
+    assert spark.read.parquet(str(tmp_path / "out")).first().ID == "CASE1"
