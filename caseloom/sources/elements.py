@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.sources.shared import written
+
 _QUOTE, _ESCAPE, _COMMA = ord('"'), ord("\\"), ord(",")
 _OPEN = np.zeros(256, dtype=np.int8)
 _OPEN[[ord("["), ord("{")]] = 1
@@ -174,7 +176,8 @@ def read_elements(spark: SparkSession, path: str, opening: str = "[", joined: bo
             rows.append((key[0], element, key[1], key[2], b"".join(parts).decode("utf-8", "replace"), False))
         yield flush()
 
-    cut = blocks.mapInArrow(run, "file string, i long, part string, start long, text string, whole boolean")
+    # written once to the shared folder: what follows reads it more than once
+    cut = written(blocks.mapInArrow(run, "file string, i long, part string, start long, text string, whole boolean"), "elements")
     ends = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "start", "text"))), lambda x: x["text"]), "")
     each = cut.where("whole").select("file", "i", "text").unionByName(cut.where("NOT whole").groupBy("file", "i").agg(ends.alias("text")))
     # a comma at the very end of a file is in no piece, so a byte is missing there
@@ -183,7 +186,7 @@ def read_elements(spark: SparkSession, path: str, opening: str = "[", joined: bo
     listed = F.col("head") == opening
     strip = lambda c, p: F.regexp_replace(c, p, "")
     text = F.when(listed & (F.col("i") == 0), strip("text", r"(?s)\A[ \t\r\n]*[\[{]")).otherwise(F.col("text"))
-    named = each.join(F.broadcast(known), "file").withColumn("text", text)  # a row for each file
+    named = each.join(known, "file").withColumn("text", text)
     closing = r"[\]][ \t\r\n]*\z" if opening == "[" else r"[}][ \t\r\n]*\z"
     ended = ~listed | (F.col("i") != F.col("last")) | F.col("text").rlike("(?s)" + closing)
     named = named.withColumn("matched", F.col("matched") & ended).withColumn("text", F.when(listed & (F.col("i") == F.col("last")), strip("text", "(?s)" + closing)).otherwise(F.col("text")))
