@@ -3,19 +3,21 @@
 A document is a weighted set: its runs of ``SIZE`` words (with fewer words, the whole
 sequence), each weighing as often as it occurs.  For each of ``SAMPLES`` samples every
 term draws r and c from Gamma(2, 1) and b from [0, 1), all from a hash of the term and
-the sample's number.  With weight w it takes t = floor(ln w / r + b) and
+the sample's number (Ioffe 2010).  With weight w it takes t = floor(ln w / r + b) and
 ln a = ln c - r (t + 1 - b); the term with the least a is the sample, and (term, t) is
 what the fingerprint keeps of it.  Two documents have the same sample with a
 probability equal to their generalised Jaccard similarity, the sum of the least
 weights over the sum of the greatest, so the share of equal samples estimates it; its
 standard error is at most 0.5 / sqrt(SAMPLES).
 
-Draws come from tables of the distributions' quantiles, and only additions and
-products follow, so fingerprints are the same on every machine (weights over 1 need a
-logarithm, whose last digit hardly ever decides a floor).  The lowest 1/256 of c, where the least a mostly lies,
-has a finer table.  Terms that several documents of a batch hold with the same weight
-are drawn once.  16 bits of each sample are kept, in hexadecimal; two different
-samples look alike once in 65,536.
+Draws.  Gamma(2, 1) is the sum of two exponentials, and such a sum is independent of
+the first one's share in it, which is uniform.  So three exponentials A, E and F of a
+hash give all: c = A + E, then X = ln(c / A) is exponential and independent of c,
+r = X + F and b = 1 - X / r.  With weight 1, t is 0 and a = c exp(-X) = A: most terms
+need the one number A, which rises with the hash itself, so their least a is the least
+hash; only terms that occur again are worked out in full.  Terms that several
+documents of a batch hold with the same weight are drawn once.  16 bits of each sample
+are kept, in hexadecimal; two different samples look alike once in 65,536.
 
 The edited text of a document ends with the beginning of the next document in order
 of doc_id.  ``with_next`` brings both to one task with one shuffle of the texts: a
@@ -44,89 +46,88 @@ from caseloom.llm import arrays, jaccard
 SIZE, SAMPLES = 5, 128
 U8 = np.uint64
 #: Terms of one pass over the samples: their draws stay in the processor's cache.
-CHUNK = 1 << 14
+CHUNK = 1 << 13
 LOWEST = np.iinfo(np.int64).min
 
 
-def _gamma_quantile(p: np.ndarray) -> np.ndarray:
-    """Quantiles of Gamma(2, 1): where 1 - exp(-x) (1 + x) = p, by bisection."""
-    low, high = np.zeros_like(p), np.full_like(p, 64.0)
-    for _ in range(80):
-        mid = (low + high) / 2
-        # 1 - exp(-x)(1 + x), without losing digits near 0
-        under = -np.expm1(-mid) - mid * np.exp(-mid) < p
-        low, high = np.where(under, mid, low), np.where(under, high, mid)
-    return high
+_SEEDS = arrays.mix(np.arange(1, SAMPLES + 1, dtype=U8) * U8(0x9E3779B97F4A7C15)) | U8(1)
+_KEPT = U8(0xFFFF)
+_OFFSET = 128.0  # makes all ln a positive, so that they sort like their bits
 
 
-class Tables:
-    """Quantiles by 16 bits of r and ln c, the lowest 1/256 of ln c by 16 bits more, and 1 - b."""
+def _exponential(bits: np.ndarray, n: int) -> np.ndarray:
+    """Exponentials of n-bit numbers: rising, never 0."""
+    return -np.log1p(-(bits.astype(np.float64) + 0.5) / 2.0**n)
 
-    def __init__(self) -> None:
-        p = (np.arange(1 << 16) + 0.5) / (1 << 16)
-        quantile = _gamma_quantile(p)
-        f = lambda x: x.astype(np.float32)
-        self.r, self.log_c, self.low_log_c, self.rest = f(quantile), f(np.log(quantile)), f(np.log(_gamma_quantile(p / 256))), f(1 - np.arange(1 << 16) / (1 << 16))
 
+def scheme(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """c, r and b of hashes of a term and a sample."""
+    more = arrays.mix(h ^ U8(0xD1B54A32D192ED03))
+    a = _exponential(h >> U8(16), 48)
+    c = a + _exponential(more >> U8(32), 32)
+    x = np.log(c / a)
+    r = x + _exponential(more & U8(0xFFFFFFFF), 32)
+    return c, r, 1 - x / r
 
-_TABLES: list[Tables] = []
 
+def _sortable(log_a: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """ln a as bits that sort like it, the last 16 of them what is kept of the sample."""
+    return (log_a + _OFFSET).view(U8) & ~_KEPT | kept
 
-def tables() -> Tables:
-    if not _TABLES:
-        _TABLES.append(Tables())
-    return _TABLES[0]
 
+class Draws:
+    """The draws of terms, one sample after the other, in arrays that are made once."""
+
+    def __init__(self, terms: np.ndarray, weights: np.ndarray | None = None) -> None:
+        self.terms, self.weights = terms, weights
+        self.kept = arrays.mix(terms + U8(1)) & _KEPT
+        self.hash, self.shifted = np.empty(terms.size, dtype=U8), np.empty(terms.size, dtype=U8)
+
+    def hashes(self, k: int, out: np.ndarray) -> np.ndarray:
+        """For sample ``k`` one hash for each term."""
+        np.multiply(self.terms, _SEEDS[k], out=out)  # terms are well mixed; the factors are odd
+        for shift, factor in ((32, 0x94D049BB133111EB), (29, None)):
+            np.right_shift(out, U8(shift), out=self.shifted)
+            np.bitwise_xor(out, self.shifted, out=out)
+            if factor:
+                np.multiply(out, U8(factor), out=out)
+        return out
 
-_SEEDS = arrays.mix(np.arange(1, SAMPLES + 1, dtype=U8) * U8(0x9E3779B97F4A7C15)) | U8(1)
-_OFFSET = np.float32(64)  # makes all ln a positive, so that they sort like their bits
+    def ones(self, k: int, out: np.ndarray) -> np.ndarray:
+        """Terms of weight 1: 48 bits that rise with a, then what is kept of the term."""
+        self.hashes(k, out)
+        np.bitwise_and(out, ~_KEPT, out=out)
+        return np.bitwise_or(out, self.kept, out=out)
 
+    def all(self, k: int) -> np.ndarray:
+        """Terms with their weights: ln a, then what is kept of (term, t)."""
+        c, r, b = scheme(self.hashes(k, self.hash))
+        t = np.floor(np.log(self.weights) / r + b)
+        kept = self.kept ^ (arrays.mix(t.astype(U8)) & _KEPT) * (t > 0)
+        return _sortable(np.log(c) - r * (t + 1 - b), kept)
 
-class Draws:
-    """The draws of terms with their weights, one sample after the other, in arrays that are made once."""
-
-    def __init__(self, terms: np.ndarray, weights: np.ndarray) -> None:
-        n = terms.size
-        self.terms = terms
-        self.kept = (arrays.mix(terms + U8(1)) & U8(0xFFFFFFFF)).astype("<u4")
-        self.many = np.flatnonzero(weights > 1)  # ln 1 = 0, so t = 0 for all others
-        self.log_w = np.log(weights[self.many])
-        self.hash, self.shifted = np.empty(n, dtype="<u8"), np.empty(n, dtype="<u8")
-        self.c, self.r, self.b = (np.empty(n, dtype=np.intp) for _ in range(3))
-        self.log_a, self.scale, self.rest = (np.empty(n, dtype=np.float32) for _ in range(3))
-        self.rare = np.empty(n, dtype=bool)
-
-    def keys(self, k: int, out: np.ndarray | None = None) -> np.ndarray:
-        """For sample ``k`` one number for each term: ln a in the upper 32 bits, then what is kept of (term, t)."""
-        at, h, s = tables(), self.hash, self.shifted
-        np.multiply(self.terms, _SEEDS[k], out=h)  # terms are well mixed; the factors are odd
-        np.right_shift(h, U8(32), out=s)
-        np.bitwise_xor(h, s, out=h)
-        np.multiply(h, U8(0x94D049BB133111EB), out=h)
-        np.right_shift(h, U8(29), out=s)
-        np.bitwise_xor(h, s, out=h)
-        bits = h.view("<u2").reshape(-1, 4)
-        for place, column in ((3, self.c), (2, self.r), (1, self.b)):
-            column[...] = bits[:, place]
-        # "wrap" spares a check: 16 bits are always inside
-        at.log_c.take(self.c, mode="wrap", out=self.log_a)
-        at.r.take(self.r, mode="wrap", out=self.scale)
-        at.rest.take(self.b, mode="wrap", out=self.rest)
-        low = np.flatnonzero(np.less(self.c, 256, out=self.rare))
-        self.log_a[low] = at.low_log_c[self.c[low] << 8 | bits[low, 0] >> 8]
-        out = np.empty(self.terms.size, dtype="<u8") if out is None else out
-        pair = out.view("<u4").reshape(-1, 2)
-        pair[:, 0] = self.kept
-        if self.many.size:
-            m = self.many
-            t = np.floor(self.log_w / self.scale[m] + (1 - self.rest[m].astype(np.float64)))
-            self.rest[m] += t.astype(np.float32)
-            pair[m, 0] ^= (t.astype(U8) * U8(0x9E3779B1) & U8(0xFFFFFFFF)).astype("<u4")
-        self.scale *= self.rest
-        self.log_a -= self.scale
-        self.log_a += _OFFSET
-        pair[:, 1] = self.log_a.view(np.uint32)
-        return out
+
+def _least(terms: np.ndarray, weights: np.ndarray | None, starts: np.ndarray) -> np.ndarray:
+    """The least key of each run of terms for each sample (SAMPLES, runs); equal terms are drawn once."""
+    # numbered as they come, so that texts read them in a row
+    pair = terms if weights is None else arrays.mix(terms + weights.astype(U8) * U8(0xD6E8FEB86659FD93))
+    _, one, back = np.unique(pair, return_index=True, return_inverse=True)
+    order = np.argsort(one)
+    number = np.empty_like(order)
+    number[order] = np.arange(order.size)
+    back, one = number[back], one[order]
+    cuts = range(0, one.size, CHUNK)
+    parts = [Draws(terms[one[a : a + CHUNK]], None if weights is None else weights[one[a : a + CHUNK]]) for a in cuts]
+    best = np.empty((SAMPLES, starts.size), dtype=U8)
+    key, read = np.empty(one.size, dtype=U8), np.empty(back.size, dtype=U8)
+    for k in range(SAMPLES):
+        for a, part in zip(cuts, parts):
+            if weights is None:
+                part.ones(k, key[a : a + CHUNK])
+            else:
+                key[a : a + CHUNK] = part.all(k)
+        best[k] = np.minimum.reduceat(key.take(back, mode="wrap", out=read), starts)  # "wrap" spares a check
+    return best
 
 
 def weighted(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,29 +155,21 @@ def weighted(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def fingerprints(texts: list[bytes | None]) -> np.ndarray:
-    """The kept 16 bits of each sample (texts, SAMPLES); texts without words have zeros (see ``empty``)."""
+    """The kept 16 bits of each sample (texts, SAMPLES); those of texts without words mean nothing."""
     term, weight, first = weighted(texts)
-    out = np.zeros((len(texts), SAMPLES), dtype=np.uint16)
-    full = np.flatnonzero(np.diff(first))
-    if not full.size:
-        return out
-    # equal terms of equal weight are drawn once; they are numbered as they come, so that texts read them in a row
-    pair = arrays.mix(term + weight.astype(U8) * U8(0xD6E8FEB86659FD93))
-    _, one, back = np.unique(pair, return_index=True, return_inverse=True)
-    order = np.argsort(one)
-    number = np.empty_like(order)
-    number[order] = np.arange(order.size)
-    back, one = number[back], one[order]
-    parts = [Draws(term[one[a : a + CHUNK]], weight[one[a : a + CHUNK]]) for a in range(0, one.size, CHUNK)]
-    best = np.empty((SAMPLES, full.size), dtype=U8)
-    starts = first[full]
-    key, read = np.empty(one.size, dtype="<u8"), np.empty(back.size, dtype="<u8")
-    for k in range(SAMPLES):
-        for i, part in enumerate(parts):
-            part.keys(k, key[i * CHUNK : (i + 1) * CHUNK])
-        best[k] = np.minimum.reduceat(key.take(back, mode="wrap", out=read), starts)
-    out[full] = (best & U8(0xFFFF)).astype(np.uint16).T
-    return out
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    best = np.full((SAMPLES, len(texts)), np.iinfo(np.uint64).max, dtype=U8)
+    for one in (True, False):
+        mine = np.flatnonzero((weight == 1) == one)
+        if not mine.size:
+            continue
+        starts = np.flatnonzero(np.diff(doc[mine], prepend=-1))
+        least = _least(term[mine], None if one else weight[mine], starts)
+        if one:
+            least = _sortable(np.log(_exponential(least >> U8(16), 48)), least & _KEPT)
+        whose = doc[mine[starts]]
+        best[:, whose] = np.minimum(best[:, whose], least)
+    return (best & _KEPT).astype(np.uint16).T
 
 
 def text_of(row: np.ndarray, has_terms: bool) -> str:

@@ -12,33 +12,35 @@ import pytest
 from caseloom.llm import sampling as S
 
 
+def log_a(key):
+    return (key & ~np.uint64(0xFFFF)).view(np.float64) - S._OFFSET
+
+
 def test_draws_equal_the_published_scheme():
-    """t, and the order of ln a, from the same quantiles in floating point."""
-    at = S.tables()
+    """t, and ln a, by the formulas over c, r and b; with weight 1 the short way gives the same."""
     rng = np.random.default_rng(1)
     terms = rng.integers(0, 1 << 63, 400).astype(np.uint64)
-    weights = rng.choice([1, 1, 2, 3, 17, 1000], 400)
+    weights = rng.choice([1, 2, 3, 17, 1000], 400)
     for k in (0, 5, 127):
-        key = S.Draws(terms, weights).keys(k)
-        h = terms * S._SEEDS[k]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(29)
-        for x, w, hk, got in zip(terms.tolist(), weights.tolist(), h.tolist(), key.tolist()):
-            c16, r16, b16, fine = (hk >> s & 0xFFFF for s in (48, 32, 16, 0))
-            lnc = float(at.low_log_c[c16 << 8 | fine >> 8] if c16 < 256 else at.log_c[c16])
-            r, b = float(at.r[r16]), b16 / 65536
+        d = S.Draws(terms, weights)
+        got = log_a(d.all(k)).tolist()
+        h = d.hashes(k, np.empty(400, dtype=np.uint64))
+        short = np.log(S._exponential(d.ones(k, np.empty(400, dtype=np.uint64)) >> np.uint64(16), 48)).tolist()
+        for w, c, r, b, x, one in zip(weights.tolist(), *(v.tolist() for v in S.scheme(h)), got, short):
             t = math.floor(math.log(w) / r + b)
             y = math.exp(r * (t - b))
-            found = float(np.array([got >> 32], dtype=np.uint32).view(np.float32)[0]) - 64
-            assert abs(found - (lnc - math.log(y) - r)) < 1e-4
-
-
-def test_quantiles_are_those_of_the_gamma_distribution():
-    r = S.tables().r.astype(np.float64)
-    assert abs(r.mean() - 2) < 0.01 and abs(r.var() - 2) < 0.05
-    p = 1 - np.exp(-r) * (1 + r)
-    assert np.abs(p - (np.arange(1 << 16) + 0.5) / (1 << 16)).max() < 1e-4
+            assert abs(x - math.log(c / (y * math.exp(r)))) < 1e-6
+            assert w > 1 or abs(x - one) < 1e-6 and t == 0
+
+
+def test_draws_have_their_distributions():
+    h = np.random.default_rng(2).integers(0, 1 << 63, 1 << 17).astype(np.uint64) << np.uint64(1)
+    c, r, b = S.scheme(h)
+    for x in (c, r):
+        p = np.sort(1 - np.exp(-x) * (1 + x))
+        assert np.abs(p - np.arange(p.size) / p.size).max() < 0.006
+    assert np.abs(np.sort(b) - np.arange(b.size) / b.size).max() < 0.006
+    assert np.abs(np.corrcoef([c, r, b]) - np.eye(3)).max() < 0.015
 
 
 @pytest.mark.parametrize("seed", range(3))
