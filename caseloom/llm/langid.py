@@ -48,6 +48,8 @@ DOCS = 400
 LONGEST = 200_000
 #: Bytes of all texts that are learned from, and the number of languages up to which they are.
 BYTES, COLUMNS = 64 << 20, 64
+#: Rows of the table of languages up to which it is broadcast; else texts would be dealt by language before they are sampled.
+BROADCAST = 100_000
 SLACK = 0.75
 SHORT = 5.0
 U8 = np.uint64
@@ -325,7 +327,7 @@ def sample(df: DataFrame, key: str, text: str, lang: str, docs: int = DOCS, long
     n = max(1, sizes.count())
     share_bytes = most * min(n, COLUMNS) // n // n if n > COLUMNS else most // n
     h = F.xxhash64(F.col(key).cast("string"), F.lit("language sample"))
-    few = some.select(F.col(text).alias("text"), F.col(lang).alias("lang"), h.alias("h")).join(sizes, "lang")
+    few = some.select(F.col(text).alias("text"), F.col(lang).alias("lang"), h.alias("h")).join(F.broadcast(sizes) if n <= BROADCAST else sizes, "lang")
     # about twice the sample by hash, then exactly the first by hash: the window sees a bounded number of rows
     share = F.least(F.lit(1.0), (2.0 * docs + 50) / F.col("count"))
     few = few.where((F.col("h") / 2.0**64 + 0.5) < share)
