@@ -99,3 +99,15 @@ def test_a_large_ontology_goes_through_joins(spark, monkeypatch):
     small = found()
     monkeypatch.setattr(R, "fits", lambda closed: False)
     assert found() == small and len(small) == 4
+
+
+def test_patients_are_dealt_over_all_cores(spark):
+    patients = spark.createDataFrame([(f"p{k}", "T001") for k in range(300)], "id string, term string")
+    numbers = spark.createDataFrame([("T001", 0)], "term string, number int")
+    dealt = R._dealt(R._sets(patients, numbers)).mapInArrow(lambda batches: batches, "id string, terms array<int>")
+    sizes = dealt.rdd.glom().map(len).collect()
+    assert sum(sizes) == 300 and sum(n > 0 for n in sizes) >= spark.sparkContext.defaultParallelism
+
+
+def test_a_closure_of_over_two_million_rows_makes_no_pairs(spark):
+    assert R.fits(spark.range(2_500_000).selectExpr("id AS term", "id AS ancestor"))
