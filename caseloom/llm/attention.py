@@ -23,7 +23,7 @@ ids and of id pairs over all of them give the classes, what follows what, the cl
 bias and the frequencies within a class.  ``STEPS`` steps on a bounded sample
 (``DOCS`` texts) only set the parameters from which training starts; then every
 training text is in the gradient sum of one of ``PARTS`` further steps, summed by
-task, with each ``SPACING``-th of its windows, from one on that a hash names.
+task, with all of its windows (``SPACING`` 1).
 
 Cases: null and empty texts are the end token alone.  Without training
 documents all counts are 0 and the model is uniform.  Repeated rows get equal
@@ -47,7 +47,7 @@ from caseloom.llm.subwords import Subwords
 
 WINDOW, STRIDE, WIDTH, CLASSES = 16, 12, 16, 128
 DOCS, LONGEST, STEPS, BATCH, SCORED = 800, 12_500, 150, 512, 192
-PARTS, SPACING, RATE, FIXED = 8, 4, 0.01, 1 << 20
+PARTS, SPACING, RATE, FIXED = 8, 1, 0.01, 1 << 20  # a spacing of 1 is every window
 PRIOR = 4.0
 HEAD = 1 << 17
 MERGE = 1_000_000
