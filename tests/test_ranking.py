@@ -111,3 +111,17 @@ def test_patients_are_dealt_over_all_cores(spark):
 
 def test_a_closure_of_over_two_million_rows_makes_no_pairs(spark):
     assert R.fits(spark.range(2_500_000).selectExpr("id AS term", "id AS ancestor"))
+
+
+def test_each_shard_is_passed_once_for_truths_and_once_for_counts(spark):
+    name, _, profiles, sets, ic, closed = world(3)
+    pr = spark.createDataFrame([(g, name(t)) for g, v in profiles.items() for t in v], "entity_id string, term string")
+    pt = spark.createDataFrame([(p, name(t)) for p, v in sets.items() for t in v], "id string, term string")
+    tr = spark.createDataFrame([(p, f"g{k}") for k, p in enumerate(sets)], "id string, entity_id string")
+    up, ics = spark.createDataFrame(closed, "term string, ancestor string"), spark.createDataFrame([(name(t), v) for t, v in ic.items()], "term string, ic double")
+    rows = 40
+    shards = -(-pr.distinct().count() // rows)
+    out = R.standings(pt, tr, pr, up, ics, rows=rows)
+    assert shards > 2 and out.count() == len(sets)
+    # each pass used to hold those of all shards before it
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == shards
