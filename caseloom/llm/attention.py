@@ -46,7 +46,7 @@ from caseloom.llm import arrays, scratch
 from caseloom.llm.subwords import Subwords
 
 WINDOW, STRIDE, WIDTH, CLASSES = 16, 12, 16, 128
-DOCS, LONGEST, STEPS, BATCH, SCORED = 800, 12_500, 150, 512, 192
+DOCS, LONGEST, STEPS, BATCH, SCORED, SUMMED = 800, 12_500, 150, 512, 192, 128
 PARTS, SPACING, RATE, FIXED = 8, 1, 0.01, 1 << 20  # a spacing of 1 is every window
 PRIOR = 4.0
 HEAD = 1 << 17
@@ -114,19 +114,30 @@ class Model:
         a *= _CAUSAL[lead:]
         mixed = np.matmul(a, v)
         mixed /= a.sum(axis=2, keepdims=True)
-        scores = mixed.reshape(-1, WIDTH) @ self.to
-        scores += self.direct[x[:, lead:].reshape(-1)]
-        scores = scores.reshape(*y.shape, -1)
+        scores, own = buffers(y.size, self.to.shape[1])
+        np.matmul(mixed.reshape(-1, WIDTH), self.to, out=scores)
+        scores += np.take(self.direct, x[:, lead:].reshape(-1), axis=0, out=own, mode="clip")
         of, place = self.of[y], self.at[1][lead:]
-        chosen = np.take_along_axis(scores, of[:, :, None], axis=2)[:, :, 0] + place[np.arange(len(place)), of]
+        chosen = scores[np.arange(y.size), of.reshape(-1)].reshape(y.shape) + place[np.arange(len(place)), of]
         np.exp(scores, out=scores)  # a place's share is a factor of each class, so it goes into the sum
-        return chosen - np.log(np.einsum("npc,pc->np", scores, np.exp(place))) + self.inside[y]
+        total = np.matmul(scores.reshape(*y.shape, -1).transpose(1, 0, 2), np.exp(place)[:, :, None])[:, :, 0].T
+        return chosen - np.log(total) + self.inside[y]
 
     def _window(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log probability of y at each place of windows of ids x."""
         return self._scored(x, y, 0)
 
 
+_BUFFERS: dict = {}
+
+
+def buffers(rows: int, width: int) -> list[np.ndarray]:
+    """Two float32 arrays of this shape, the same memory each time: new memory for each block costs more than the sums."""
+    if _BUFFERS.get("size", 0) < rows * width:
+        _BUFFERS.update(size=rows * width, held=[np.empty(rows * width, dtype=np.float32) for _ in range(2)])
+    return [x[: rows * width].reshape(rows, width) for x in _BUFFERS["held"]]
+
+
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
 
 
@@ -224,6 +235,91 @@ def gradients(p: dict[str, np.ndarray], x: np.ndarray, c: np.ndarray, used: np.n
     return loss, g
 
 
+class Summed:
+    """Sums over windows of the gradients that ``gradients`` gives the mean of, block after block.
+
+    The scores of all classes are the one wide array; it is made, turned into
+    exponentials and into their differences from the true class in place, and each
+    product with it is one call for a whole block.
+    """
+
+    def __init__(self, p: dict[str, np.ndarray], base: np.ndarray) -> None:
+        d, c = p["u"].shape
+        self.scale = np.float32(1 / np.sqrt(d))
+        self.p, self.base = p, base + p["b"]
+        self.into = np.hstack([p["q"] * self.scale, p["k"], p["v"]])
+        self.back = np.ascontiguousarray(self.into.T)
+        self.wide = np.hstack([p["u"].T, np.ones((c, 1), np.float32)])  # the last column sums up
+        self.to = np.ascontiguousarray(p["u"].T)
+        self.g = {"into": np.zeros((d, 3 * d)), "o": np.zeros((d, d)), "p": np.zeros(p["p"].shape), "u": np.zeros((d + 1, c))}
+        self.e = np.zeros(p["e"].shape)
+        self.used, self.held, self.places = 0, [], 0
+
+    def add(self, x: np.ndarray, c: np.ndarray, used: np.ndarray) -> None:
+        """Windows of ids x (rows of the embeddings), the classes after them, and which of these count."""
+        p, (n, w), d = self.p, x.shape, self.to.shape[1]
+        at, many = x.reshape(-1), x.size
+        e = np.take(p["e"], at, axis=0).reshape(n, w, d)
+        e += p["p"]
+        qkv = (e.reshape(many, d) @ self.into).reshape(n, w, 3 * d)
+        q, k, v = qkv[:, :, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
+        a = np.matmul(q, k.transpose(0, 2, 1))
+        np.exp(np.clip(a, -30, 30, out=a), out=a)
+        a *= _CAUSAL
+        a /= a.sum(axis=2, keepdims=True)
+        mixed = np.matmul(a, v).reshape(many, d)
+        h = np.ones((many, d + 1), np.float32)
+        np.matmul(mixed, p["o"], out=h[:, :d])
+        h[:, :d] += e.reshape(many, d)
+        s, own = buffers(many, self.to.shape[0])
+        np.matmul(h[:, :d], p["u"], out=s)
+        s += np.take(self.base, at, axis=0, out=own, mode="clip")
+        np.exp(s, out=s)
+        dh = s @ self.wide
+        total, counts = dh[:, d].copy(), used.reshape(-1).astype(np.float32)
+        weight = counts / total
+        dh = dh[:, :d] * weight[:, None]
+        dh -= self.to[c.reshape(-1)] * counts[:, None]
+        s[np.arange(many), c.reshape(-1)] -= total
+        h *= weight[:, None]
+        self.g["u"] += h.T @ s
+        self.g["o"] += mixed.T @ dh
+        dm = (dh @ p["o"].T).reshape(n, w, d)
+        da = np.matmul(dm, v.transpose(0, 2, 1))
+        dqkv = np.empty((n, w, 3 * d), np.float32)
+        np.matmul(a.transpose(0, 2, 1), dm, out=dqkv[:, :, 2 * d :])
+        da -= np.einsum("nij,nij->ni", da, a)[:, :, None]
+        da *= a
+        np.matmul(da, k, out=dqkv[:, :, :d])
+        np.matmul(da.transpose(0, 2, 1), q, out=dqkv[:, :, d : 2 * d])
+        flat = dqkv.reshape(many, 3 * d)
+        self.g["into"] += e.reshape(many, d).T @ flat
+        dh += flat @ self.back
+        self.g["p"] += dh.reshape(n, w, d).sum(axis=0)
+        self.used += int(used.sum())
+        self.held.append((at, dh))
+        self.places += many
+        if self.places >= 1 << 16:
+            self._gather()
+
+    def _gather(self) -> None:
+        """Adds the gradients of the places held to those of their ids."""
+        if self.held:
+            at, de = (np.concatenate(z) for z in zip(*self.held))
+            order = np.argsort(at.astype(np.min_scalar_type(len(self.e))), kind="stable")
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))
+            self.e[at[order[first]]] += np.add.reduceat(de[order], first, axis=0)
+            self.held, self.places = [], 0
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Of the embeddings, of the other parameters in the order of ``_REST``, and how many places counted."""
+        self._gather()
+        d = self.to.shape[1]
+        own = {z: self.g["into"][:, i * d : (i + 1) * d] for i, z in enumerate("qkv")} | {"o": self.g["o"], "p": self.g["p"], "u": self.g["u"][:d], "b": self.g["u"][d]}
+        own["q"] = own["q"] * self.scale
+        return self.e, np.concatenate([own[z].reshape(-1) for z in _REST]), self.used
+
+
 def shifted(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The end and a text's ids, and its ids and the end, for all texts."""
     ids = ids.astype(np.int64)
@@ -363,7 +459,7 @@ def _sums(stored: DataFrame, end: int) -> Callable:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, small, of, base = held.value
-            total, rest, used_n = np.zeros(p["e"].shape), 0.0, 0
+            found = Summed(p, base)
             for batch in batches:
                 ids, starts = _texts(batch.column("ids").to_pylist(), end + 1)
                 source, target = shifted(ids, starts, end)
@@ -374,16 +470,12 @@ def _sums(stored: DataFrame, end: int) -> Callable:
                 mine = np.flatnonzero((k + (batch.column("h").to_numpy() >> 20)[doc]) % SPACING == 0)
                 doc, k = doc[mine], k[mine]
                 begin, stop = (starts[:-1] + np.arange(n.size))[doc] + k * WINDOW, (starts[1:] + np.arange(1, n.size + 1))[doc]
-                for i in range(0, doc.size, 256):
-                    place = begin[i : i + 256, None] + np.arange(WINDOW)
-                    used = place < stop[i : i + 256, None]
+                for i in range(0, doc.size, SUMMED):
+                    place = begin[i : i + SUMMED, None] + np.arange(WINDOW)
+                    used = place < stop[i : i + SUMMED, None]
                     place = np.minimum(place, source.size - 1)
-                    here, x = np.unique(small[source[place]], return_inverse=True)
-                    _, g = gradients(p | {"e": p["e"][here]}, x.reshape(place.shape), of[target[place]], used, base[here][x.reshape(place.shape)])
-                    weight = float(used.sum())
-                    total[here] += g["e"] * weight
-                    rest = rest + np.concatenate([g[z].reshape(-1) for z in _REST]).astype(np.float64) * weight
-                    used_n += int(weight)
+                    found.add(small[source[place]], of[target[place]], used)
+            total, rest, used_n = found.sums()
             if not used_n:
                 return
             row = np.flatnonzero(total.any(axis=1))

@@ -21,3 +21,19 @@ def test_every_window_is_in_the_sums(spark):
     _, want = attention.gradients(p, source[place], of[target[place]], used, base[source[place]])
     g = attention._sums(stored, end)(0, p, small, of, base)
     assert all(np.allclose(g[k], want[k], atol=1e-4) for k in p)
+
+
+def test_summed_gradients_are_the_mean_ones_times_their_number():
+    r = np.random.default_rng(4)
+    d, c, w, many = attention.WIDTH, attention.CLASSES, attention.WINDOW, 40
+    draw = lambda *s: (r.standard_normal(s) * 0.3).astype(np.float32)
+    p = {k: draw(d, d) for k in "qkvo"} | {"e": draw(many, d), "p": draw(w, d), "u": draw(d, c), "b": draw(c)}
+    base, total, rest, n = draw(many, c), 0.0, 0.0, 0
+    found = attention.Summed(p, base)
+    for size in (7, 1, 30):
+        x, y, used = r.integers(0, many, (size, w)), r.integers(0, c, (size, w)), np.arange(w) < r.integers(1, 40, (size, 1))
+        found.add(x, y, used)
+        _, g = attention.gradients(p, x, y, used, base[x])
+        total, rest, n = total + g["e"] * used.sum(), rest + np.concatenate([g[z].reshape(-1) for z in attention._REST]) * used.sum(), n + used.sum()
+    e, others, used_n = found.sums()
+    assert used_n == n and np.allclose(e, total, atol=1e-3) and np.allclose(others, rest, atol=1e-3)
