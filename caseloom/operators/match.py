@@ -14,10 +14,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from caseloom.functions.clinical import is_finding
 from caseloom.operators import isolate, mentions, subsequence
+from caseloom.sources.shared import written
 
 THRESHOLD = 60.0
 #: Names that a task holds at once for fuzzy matching: some 10 KB each with 64 letters.
 NAMES = 50_000
+#: Tasks for each core in fuzzy matching.
+TASKS = 4
 
 
 @F.pandas_udf(T.StringType())
@@ -58,7 +61,9 @@ def fuzzy(phrases: DataFrame, names: DataFrame, threshold: float = THRESHOLD, mo
     parts = max(1, -(-d.count() // most))
     kinds = {c: d.schema[c].dataType for c in ("id", "ord")}
     schema = T.StructType([T.StructField("phrase", T.StringType()), T.StructField("name", T.StringType()), T.StructField("id", kinds["id"]), T.StructField("ord", kinds["ord"]), T.StructField("score", T.DoubleType())])
-    spread = each.withColumn("_s", token_sort(F.col("phrase")))
+    # dealt evenly: a short phrase stands for long work, which sizes in bytes do not tell
+    dealt = each.repartition(TASKS * d.sparkSession.sparkContext.defaultParallelism, "phrase")
+    spread = dealt.withColumn("_s", token_sort(F.col("phrase")))
     found = None
     for k in range(parts):
         mine = d if parts == 1 else d.where(F.pmod(F.xxhash64("name"), F.lit(parts)) == k)
@@ -115,6 +120,7 @@ def annotate(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "t
         direct = mentions.find(texts, names, key, text).where("NOT negated").select(key, "name").distinct()
         direct = direct.join(names.select("name", F.col("id").alias("_term")), "name").select(key, "_term")
         rest = mentions.pieces(texts, names, key, text).withColumnRenamed("piece", "phrase").where(is_finding(F.col("phrase"))).distinct()
+        rest = written(rest, "pieces")  # read three times below, and made once
         near = rest.join(match(rest, names, threshold).withColumnRenamed("id", "_term"), "phrase").select(key, "_term")
         matched = direct.unionByName(near)
     ids = matched.groupBy(key).agg(F.array_sort(F.collect_set("_term")).alias("terms"))

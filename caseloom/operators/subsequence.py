@@ -5,8 +5,10 @@ common subsequence.  ``Names`` holds a dictionary as numpy matrices: how often e
 letter occurs in each name, and for each letter the bits of its places in each name,
 64 to a word.  For a phrase
 
-1. L is at most the number of letters in common, so one pass over the letter counts
-   gives an upper bound of every name's score;
+1. L is at most the shorter length, so names of other lengths are left aside at once, and
+   at most the number of letters in common, so one pass over the letter counts of the
+   rest gives an upper bound of every such name's score.  Names are held by length, so
+   the rest is one run of them;
 2. names are taken in blocks by falling bound; L of a whole block is found bit by bit
    in parallel (Hyyro 2004): one step for each letter of the phrase over all names of
    the block;
@@ -18,9 +20,12 @@ to the best score are still looked at, so ties go to the name of least order.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
-BLOCK = 256
+#: Names of the first block and of each later one: a step costs little more for many names than for few.
+BLOCK, LATER = 256, 4096
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -29,8 +34,11 @@ class Names:
 
     def __init__(self, texts: list[str], order: list) -> None:
         rank = sorted(range(len(texts)), key=lambda i: order[i])
-        self.source = np.array(rank, dtype=np.int64)
-        texts = [texts[i] for i in rank]  # equal scores: the first in order is the first here
+        place = {i: k for k, i in enumerate(rank)}
+        held = sorted(rank, key=lambda i: len(texts[i]))  # by length, then in order
+        self.source = np.array(held, dtype=np.int64)
+        self.order = np.array([place[i] for i in held], dtype=np.int64)  # equal scores: the first in order counts
+        texts = [texts[i] for i in held]
         self.length = np.array([len(t) for t in texts], dtype=np.int64)
         self.letters = {c: k for k, c in enumerate(sorted(set("".join(texts))))}
         self.words = max(1, -(-int(self.length.max(initial=1)) // 64))
@@ -40,30 +48,49 @@ class Names:
         place = np.arange(flat.size) - np.repeat(np.cumsum(self.length) - self.length, self.length)
         counts = np.zeros((m, n), dtype=np.int64)
         np.add.at(counts, (flat, owner), 1)
+        self.most = counts.max(axis=1, initial=0).tolist()
         self.counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))  # one byte but for very long names
+        self.has = (self.counts > 0).astype(self.counts.dtype)
+        self.at = np.searchsorted(self.length, np.arange(int(self.length.max(initial=0)) + 2))  # where each length begins
         self.bits = np.zeros((m, self.words, n), dtype=np.uint64)
         np.bitwise_or.at(self.bits, (flat, place // 64, owner), np.uint64(1) << (place % 64).astype(np.uint64))
+        if self.length.max(initial=0) <= 32:
+            self.bits = self.bits.astype(np.uint32)
         self.wide = -(-self.length // 64)  # words that a name needs
 
-    def bounds(self, phrase: str) -> np.ndarray:
-        """Letters in common with each name."""
-        kind = self.counts.dtype
-        common = np.zeros(self.length.size, dtype=np.uint16 if len(phrase) < 1 << 16 else np.int64)
-        for c in set(phrase):
+    def bounds(self, phrase: str, low: int = 0, high: int | None = None) -> np.ndarray:
+        """Letters in common with each name (from ``low`` on, below ``high``)."""
+        high = self.length.size if high is None else high
+        counts = self.counts[:, low:high]
+        kind = counts.dtype
+        # sums of the kind the counts have, where none can be larger, go without conversions
+        common = np.zeros(counts.shape[1], dtype=kind if len(phrase) <= np.iinfo(kind).max else np.uint16 if len(phrase) < 1 << 16 else np.int64)
+        held = np.empty(counts.shape[1], dtype=kind)
+        for c, n in Counter(phrase).items():
             k = self.letters.get(c)
             if k is not None:
-                common += np.minimum(self.counts[k], kind.type(min(phrase.count(c), np.iinfo(kind).max)))
+                common += counts[k] if n >= self.most[k] else self.has[k, low:high] if n == 1 else np.minimum(counts[k], kind.type(n), out=held)
         return common
 
     def common(self, phrase: str, block: np.ndarray) -> np.ndarray:
         """Length of the longest common subsequence with each name of the block."""
         words = max(1, int(self.wide[block].max(initial=1)))
-        used = {c: self.bits[self.letters[c], :words][:, block] for c in set(phrase) if c in self.letters}
+        steps = [self.letters[c] for c in phrase if c in self.letters]
+        if words == 1:  # no carry
+            at = {k: i for i, k in enumerate(dict.fromkeys(steps))}
+            used = self.bits[list(at), 0][:, block]
+            kind = self.bits.dtype
+            v, u, w = np.full(block.size, kind.type(_ALL >> np.uint64(64 - 8 * kind.itemsize)), dtype=kind), np.empty(block.size, dtype=kind), np.empty(block.size, dtype=kind)
+            for k in steps:
+                np.bitwise_and(v, used[at[k]], out=u)
+                np.add(v, u, out=w)
+                np.bitwise_xor(v, u, out=v)  # u is a part of v
+                np.bitwise_or(v, w, out=v)
+            return np.bitwise_count(~v).astype(np.int64)
+        used = {k: self.bits[k, :words][:, block] for k in set(steps)}
         v = np.full((words, block.size), _ALL, dtype=np.uint64)
-        for c in phrase:
-            match = used.get(c)
-            if match is None:
-                continue
+        for k in steps:
+            match = used[k]
             u = v & match
             carry = None
             for w in range(words):
@@ -77,27 +104,48 @@ class Names:
         # bits beyond a name's end match nothing: they stay set
         return np.bitwise_count(~v).sum(axis=0).astype(np.int64)
 
+    def reach(self, length: int, threshold: float) -> tuple[int, int]:
+        """The run of names whose length alone lets a phrase of this length reach the threshold."""
+        if threshold <= 0 or not self.length.size:
+            return 0, self.length.size
+        share = threshold / 200.0 - 1e-9
+        if share >= 1:
+            return 0, 0
+        # min(a, b) >= share * (a + b)
+        return int(np.searchsorted(self.length, length * share / (1 - share) - 1e-6)), int(np.searchsorted(self.length, length * (1 - share) / share + 1e-6, side="right"))
+
     def best(self, phrase: str, threshold: float) -> tuple[int, float] | None:
         """Number of the best name (as given) and its score, if that reaches the threshold."""
         if not self.length.size:
             return None
-        total = self.length + len(phrase)
         if not phrase:
             both = np.flatnonzero(self.length == 0)
             return (int(self.source[both[0]]), 100.0) if both.size else None
-        common = self.bounds(phrase)
-        reach = np.flatnonzero(common >= np.ceil(total * (threshold / 200.0) - 1e-6).astype(common.dtype))
-        bound = 200.0 * common[reach] / total[reach]
+        low, high = self.reach(len(phrase), threshold)
+        if low >= high:
+            return None
+        common = self.bounds(phrase, low, high)
+        a, b = int(self.length[low]), int(self.length[high - 1])
+        need = np.ceil(np.arange(a + len(phrase), b + len(phrase) + 1) * (threshold / 200.0) - 1e-6)  # letters, for each length
+        reach = np.flatnonzero(common >= np.repeat(need.astype(common.dtype), np.diff(self.at[a : b + 2])))
+        if not reach.size:
+            return None
+        total = self.length[low + reach] + len(phrase)
+        bound = 200.0 * common[reach] / total
         order = np.argsort(-bound, kind="stable")
-        reach, bound = reach[order], bound[order]
+        reach, bound, total = reach[order], bound[order], total[order]
         best, where = threshold, -1
-        for low in range(0, reach.size, BLOCK):
-            block = reach[low : low + BLOCK]
-            if bound[low] < best:
+        k = stop = 0
+        while stop < reach.size:
+            k, stop = stop, stop + (LATER if stop else BLOCK)
+            if bound[k] < best:
                 break
-            score = 200.0 * self.common(phrase, block) / total[block]
+            some = bound[k:stop] >= best
+            block = reach[k:stop][some]
+            score = 200.0 * self.common(phrase, low + block) / total[k:stop][some]
             top = score.max()
-            first = int(block[score == top].min())
-            if top > best or top == best and (where < 0 or first < where):
+            equal = low + block[score == top]
+            first = int(equal[np.argmin(self.order[equal])])
+            if top > best or top == best and (where < 0 or self.order[first] < self.order[where]):
                 best, where = float(top), first
         return (int(self.source[where]), best) if where >= 0 else None

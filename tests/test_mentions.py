@@ -107,3 +107,19 @@ def test_annotate(spark):
     assert {r.id: r.terms for r in M.annotate(texts, names).collect()} == {"a": ["HP:2"], "b": ["HP:1", "HP:3"], "c": [], "d": []}
     own = M.annotate(texts, names, extract=lambda t, k, x: t.select(k, t[x].alias("phrase")).where("text like 'No%'"))
     assert {r.id: r.terms for r in own.collect()}["b"] == []
+
+
+def test_names_of_other_lengths_are_left_aside():
+    names = subsequence.Names(["abcd", "ab", "abcdefgh", "xbcd"], [3, 2, 1, 0])
+    assert names.reach(4, 60.0) == (0, 4) and names.reach(40, 60.0) == (4, 4) and names.reach(1, 60.0) == (0, 1)
+    assert names.best("bcd", 60.0) == (3, 200 * 3 / 7)  # equal scores: the first in order
+
+
+def test_pieces_are_made_once_and_phrases_dealt_over_all_cores(spark):
+    names = spark.createDataFrame([("short stature", "HP:1", 1), ("seizures", "HP:2", 2)], "name string, id string, ord int")
+    texts = spark.createDataFrame([(f"t{k}", f"seizure number {k}. short statures") for k in range(300)], "id string, text string")
+    out = M.annotate(texts, names)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2  # mentions and fuzzy; pieces were made anew for each use
+    phrases = M.fuzzy(texts.select(texts.text.alias("phrase")), names, 1.0)
+    tasks = phrases.rdd.glom().map(len).collect()
+    assert sum(n > 0 for n in tasks) >= spark.sparkContext.defaultParallelism
