@@ -38,9 +38,10 @@ def _has(members: Column, key: str) -> Column:
 EMPTY = r'^(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:[eE][+-]?\d+)?)$'
 
 
-def _empty(members: Column, key: str) -> Column:
-    """Absent, null, or an empty value of its type."""
-    return ~_has(members, key) | F.coalesce(F.to_json(members[key]).rlike(EMPTY), F.lit(True))
+def _empty(members: Column, key: str, inner: Column | None = None) -> Column:
+    """Absent, null, or an empty value of its type; ``inner`` (its members or elements, null for anything else) spares its JSON text."""
+    told = F.coalesce(F.to_json(members[key]).rlike(EMPTY), F.lit(True))
+    return ~_has(members, key) | (told if inner is None else F.when(inner.isNotNull(), F.size(inner) == 0).otherwise(told))
 
 
 def _is_text(value: Column) -> Column:
@@ -58,9 +59,9 @@ def _one_of(value: Column, allowed: tuple[str, ...]) -> Column:
     return _is_text(value) & F.coalesce(value.try_cast("string").isin(*allowed), F.lit(False))
 
 
-def _required(members: Column, key: str, context: Column) -> Column:
+def _required(members: Column, key: str, context: Column, inner: Column | None = None) -> Column:
     text = F.concat(F.lit("["), context, F.lit(f"] Required field '{key}' is missing or empty"))
-    return F.when(_empty(members, key), _finding(key, text)).otherwise(_none())
+    return F.when(_empty(members, key, inner), _finding(key, text)).otherwise(_none())
 
 
 def _items(value: Column) -> Column:
@@ -135,10 +136,10 @@ def findings(name: Column) -> Column:
     inside = F.concat(name, F.lit(".metaData"))
     for_meta = F.concat(
         _required(meta, "created", inside), _required(meta, "phenopacketSchemaVersion", inside),
-        F.when(_empty(meta, "resources"), _finding("metaData.resources", says("Resources field is recommended"), "WARNING")).otherwise(_none()),
+        F.when(_empty(meta, "resources", meta["resources"].try_cast("array<variant>")), _finding("metaData.resources", says("Resources field is recommended"), "WARNING")).otherwise(_none()),
     )
     return F.concat(
-        _required(top, "id", name), _required(top, "metaData", name),
+        _required(top, "id", name), _required(top, "metaData", name, meta),
         F.when(_has(top, "subject"), for_subject).otherwise(_finding("subject", says("Subject is recommended but missing"), "WARNING")),
         _each(F.col("_features"), feature), _each(F.col("_interpretations"), interpretation), _each(F.col("_diseases"), disease),
         F.when(_has(top, "metaData"), for_meta).otherwise(_none()),
