@@ -125,3 +125,16 @@ def test_each_shard_is_passed_once_for_truths_and_once_for_counts(spark):
     assert shards > 2 and out.count() == len(sets)
     # each pass used to hold those of all shards before it
     assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == shards
+
+
+def test_scores_of_patients_side_by_side(monkeypatch):
+    monkeypatch.setattr(R, "SIDE", 3)
+    for method in ("resnik", "lin", "jc", "rel"):
+        name, up, profiles, sets, ic, closed = world(7)
+        rows = [(g, name(t)) for g, v in profiles.items() for t in v]
+        table = R.Profiles(tuple(zip(*closed)), ([name(t) for t in ic], list(ic.values())), tuple(zip(*rows)), method)
+        patients = [[name(t) for t in x] for x in sets.values()] + [[]]
+        found = list(table.blocks(patients))
+        assert len(found) == len(patients) > R.SIDE
+        for terms, got in zip(patients, found):
+            assert got.tolist() == table.scores(terms, np.arange(len(profiles))).tolist()
