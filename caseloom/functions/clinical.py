@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caseloom.functions import hgvs
-from caseloom.functions.missing import SENTINEL, is_missing, none_if_empty, parts, sorted_distinct, strip
+from caseloom.functions.missing import SENTINEL, bound, is_missing, none_if_empty, parts, sorted_distinct, strip
 
 # Ages in words.
 AGE_WORDS = {
@@ -42,15 +42,17 @@ def age_iso(c: Column) -> Column:
     Texts that begin with P are taken as they are; years, months, days and weeks
     (as days) are read independently and in this order.
     """
-    text = strip(F.upper(c))
-    number = lambda unit: F.regexp_extract(text, rf"(?U)(\d+)\s*(?:{unit})", 1)
-    part = lambda n, letter: F.when(n != "", F.concat(n, F.lit(letter))).otherwise("")
-    weeks = number("WEEKS?|W")
-    days = F.when(weeks != "", F.concat((F.expr("cast(7 as decimal(10,0))") * weeks.try_cast("decimal(28,0)")).cast("string"), F.lit("D"))).otherwise("")
-    iso = F.concat(part(number("YEARS?|Y"), "Y"), part(F.regexp_extract(text, r"(?U)(\d+)\s*(?:MONTHS?|M)(?!Y)", 1), "M"), part(number("DAYS?|D"), "D"), days)
+    part = lambda n, letter: bound(n, lambda x: F.when(x != "", F.concat(x, F.lit(letter))).otherwise(""))
     words = F.create_map(*[F.lit(x) for kv in AGE_WORDS.items() for x in kv])
-    found = F.when(text.startswith("P"), text).when(text.isin(*AGE_WORDS), F.try_element_at(words, text)).when(iso != "", F.concat(F.lit("P"), iso))
-    return F.when(~is_missing(c), found)
+    in_days = lambda w: F.when(w != "", F.concat((F.expr("cast(7 as decimal(10,0))") * w.try_cast("decimal(28,0)")).cast("string"), F.lit("D"))).otherwise("")
+
+    def found(text: Column) -> Column:
+        number = lambda unit: F.regexp_extract(text, rf"(?U)(\d+)\s*(?:{unit})", 1)
+        iso = F.concat(part(number("YEARS?|Y"), "Y"), part(F.regexp_extract(text, r"(?U)(\d+)\s*(?:MONTHS?|M)(?!Y)", 1), "M"), part(number("DAYS?|D"), "D"), bound(number("WEEKS?|W"), in_days))
+        read = bound(iso, lambda x: F.when(x != "", F.concat(F.lit("P"), x)))
+        return F.when(text.startswith("P"), text).when(text.isin(*AGE_WORDS), F.try_element_at(words, text)).otherwise(read)
+
+    return F.when(~is_missing(c), bound(strip(F.upper(c)), found))
 
 
 def sex_enum(c: Column) -> Column:
@@ -73,18 +75,19 @@ def listed_terms(c: Column) -> Column:
 
 def gene_symbol(c: Column) -> Column:
     """The gene a variant text begins with, or null."""
-    v = strip(c)
-    first = F.regexp_extract(v, r"^([A-Z][A-Z0-9]+):", 1)
-    return F.coalesce(
-        F.when((first != "") & ~first.startswith("CHR"), first),
-        none_if_empty(F.regexp_extract(v, r"(?U)^([A-Z][A-Z0-9]+)\s*[\(\[]", 1)),
-        none_if_empty(F.regexp_extract(v, r"(?U)^([A-Z][A-Z0-9]+)\s+[cpgn]\.", 1)),
-    )
+    def found(v: Column) -> Column:
+        return F.coalesce(
+            bound(F.regexp_extract(v, r"^([A-Z][A-Z0-9]+):", 1), lambda x: F.when((x != "") & ~x.startswith("CHR"), x)),
+            bound(F.regexp_extract(v, r"(?U)^([A-Z][A-Z0-9]+)\s*[\(\[]", 1), none_if_empty),
+            bound(F.regexp_extract(v, r"(?U)^([A-Z][A-Z0-9]+)\s+[cpgn]\.", 1), none_if_empty),
+        )
+
+    return bound(strip(c), found)
 
 
 def omim_id(c: Column) -> Column:
     """``OMIM:`` and six digits, from the first pattern that fits."""
-    tried = [none_if_empty(F.regexp_extract(c, p, 1)) for p in (r"(?iU)OMIM:\s*(\d{6})", r"(?iU)OMIM\s+(\d{6})", r"(?U)#(\d{6})")]
+    tried = [bound(F.regexp_extract(c, p, 1), none_if_empty) for p in (r"(?iU)OMIM:\s*(\d{6})", r"(?iU)OMIM\s+(\d{6})", r"(?U)#(\d{6})")]
     return F.when(~is_missing(c, blank=False), F.concat(F.lit("OMIM:"), F.coalesce(*tried)))
 
 
@@ -144,17 +147,26 @@ def phenotype_pieces(c: Column, term_of: Column | None = None) -> Column:
     empty = F.array().cast("array<string>")
 
     def one(p: Column) -> Column:
-        hpo = F.regexp_extract(p, r"(?U)[\w\s;-]+\s*\((HP:\d{7})\)", 1)
-        omim = F.regexp_extract(p, r"(?U)[\w\s;-]+\s*\((OMIM:\d{6})\)", 1)
-        bare_h = F.regexp_extract_all(p, F.lit(r"(?U)\((HP:\d{7})\)"), F.lit(1))
-        bare_o = F.regexp_extract_all(p, F.lit(r"(?U)\((OMIM:\d{6})\)"), F.lit(1))
-        free = strip(F.regexp_replace(p, r"\([^)]*\)", ""))
-        is_free = (F.size(bare_h) == 0) & (F.size(bare_o) == 0) & (free != "")
-        mapped = F.try_element_at(term_of, F.lower(free)) if term_of is not None else F.lit(None).cast("string")
-        as_text = F.when(is_free & mapped.isNull(), F.array(free)).otherwise(empty)
-        as_hpo = F.when(is_free & mapped.isNotNull(), F.array(mapped)).otherwise(bare_h)
+        # a pattern is only tried where the part has the letters it begins with
+        has_h, has_o = F.contains(p, F.lit("(HP:")), F.contains(p, F.lit("(OMIM:"))
+        hpo = F.when(has_h, F.regexp_extract(p, r"(?U)[\w\s;-]+\s*\((HP:\d{7})\)", 1)).otherwise("")
+        omim = F.when(has_o, F.regexp_extract(p, r"(?U)[\w\s;-]+\s*\((OMIM:\d{6})\)", 1)).otherwise("")
+        bare_h = F.when(has_h, F.regexp_extract_all(p, F.lit(r"(?U)\((HP:\d{7})\)"), F.lit(1))).otherwise(empty)
+        bare_o = F.when(has_o, F.regexp_extract_all(p, F.lit(r"(?U)\((OMIM:\d{6})\)"), F.lit(1))).otherwise(empty)
         make = lambda h, o, t: F.struct(h.alias("hpo"), o.alias("omim"), t.alias("text"))
-        return F.when(hpo != "", make(F.array(hpo), empty, empty)).when(omim != "", make(empty, F.array(omim), empty)).otherwise(make(as_hpo, bare_o, as_text))
+
+        def as_free(free: Column) -> Column:
+            if term_of is None:
+                return F.when(free != "", make(empty, empty, F.array(free))).otherwise(make(empty, empty, empty))
+            mapped = lambda m: F.when(m.isNull(), make(empty, empty, F.array(free))).otherwise(make(F.array(m), empty, empty))
+            return F.when(free != "", bound(F.try_element_at(term_of, F.lower(free)), mapped)).otherwise(make(empty, empty, empty))
+
+        def bare(x: Column) -> Column:
+            none = (F.size(x["hpo"]) == 0) & (F.size(x["omim"]) == 0)
+            return F.when(none, bound(strip(F.regexp_replace(p, r"\([^)]*\)", "")), as_free)).otherwise(x)
+
+        left = lambda o: F.when(o != "", make(empty, F.array(o), empty)).otherwise(bound(make(bare_h, bare_o, empty), bare))
+        return bound(hpo, lambda h: F.when(h != "", make(F.array(h), empty, empty)).otherwise(bound(omim, left)))
 
     return F.transform(pieces, one)
 
@@ -184,7 +196,8 @@ def variant_expressions(v: Column) -> Column:
 
     scanned = F.when(F.contains(v, F.lit(":")), F.aggregate(items, start.cast(state), step)["e"]).otherwise(F.array().cast("array<string>"))
     cut = F.filter(F.transform(F.split(v, r"(?U)[,;]\s*", -1), strip), lambda x: x != "")
-    return F.when(F.size(scanned) > 0, scanned).when(F.size(cut) > 0, cut).otherwise(F.array(v))
+    rest = bound(cut, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(v)))
+    return bound(scanned, lambda x: F.when(F.size(x) > 0, x).otherwise(rest))
 
 
 def parsed_variants(c: Column) -> Column:
@@ -234,7 +247,7 @@ def chosen_expression(v: Column, parts_: Column) -> Column:
 def pmid(c: Column) -> Column:
     """``PMID:`` and the digits a link ends with."""
     digits = F.regexp_extract(F.regexp_replace(c, r"^/+|/+$", ""), r"(?U)(\d+)$", 1)
-    return F.when(c.startswith("http") & (digits != ""), F.concat(F.lit("PMID:"), digits))
+    return F.when(c.startswith("http"), bound(digits, lambda x: F.when(x != "", F.concat(F.lit("PMID:"), x))))
 
 
 def is_finding(phrase: Column) -> Column:

@@ -36,6 +36,11 @@ def fill_sentinel(df: DataFrame) -> DataFrame:
     return df.na.fill(SENTINEL)
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is found once, however often it is named: inside lambdas and branches each mention is evaluated anew."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def none_if_empty(c: Column) -> Column:
     return F.when(c != "", c)
 

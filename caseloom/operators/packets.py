@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions import clinical as C
-from caseloom.functions.missing import SENTINEL, is_missing
+from caseloom.functions.missing import SENTINEL, bound, is_missing
 
 # Resources that every document names.
 RESOURCES = (
@@ -48,13 +48,13 @@ def interpretations(subject: Column, variants: Column, pathogenicity: Column, st
     acmg = C.acmg_class(pathogenicity, strict)
 
     def one(v: Column, i: Column) -> Column:
-        gene = C.gene_symbol(v)
+        gene = bound(C.gene_symbol(v), lambda g: F.when(g.isNotNull(), F.struct(F.concat(F.lit("HGNC:"), g).alias("valueId"), g.alias("symbol"))))
         return F.struct(
             subject.alias("subjectOrBiosampleId"), F.lit("UNKNOWN_STATUS").alias("interpretationStatus"),
             F.struct(
                 F.struct(
                     F.concat(subject, F.lit("_variant"), (i + 1).cast("string")).alias("id"), F.struct(v.alias("text")).alias("variation"),
-                    F.when(gene.isNotNull(), F.struct(F.concat(F.lit("HGNC:"), gene).alias("valueId"), gene.alias("symbol"))).alias("geneContext"),
+                    gene.alias("geneContext"),
                 ).alias("variationDescriptor"),
                 acmg.alias("acmgPathogenicityClassification"),
             ).alias("variantInterpretation"),
@@ -73,8 +73,8 @@ def build(cases: DataFrame, terms: DataFrame, created: str, created_by: str = "C
     sex, age, comment = C.sex_enum(col("sex")), C.age_iso(col("age")), col("diagnosticComment")
     has_comment = ~is_missing(comment, blank=False)
     subject = F.struct(
-        col("ID").alias("id"), F.when(sex != "UNKNOWN_SEX", sex).alias("sex"),
-        F.when(age.isNotNull(), F.struct(F.struct(age.alias("iso8601duration")).alias("age"))).alias("timeAtLastEncounter"),
+        col("ID").alias("id"), bound(sex, lambda x: F.when(x != "UNKNOWN_SEX", x)).alias("sex"),
+        bound(age, lambda x: F.when(x.isNotNull(), F.struct(F.struct(x.alias("iso8601duration")).alias("age")))).alias("timeAtLastEncounter"),
     )
     names = ("id", "name", "url", "version", "namespacePrefix", "iriPrefix")
     resources = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in RESOURCES])
@@ -124,7 +124,9 @@ def parsed_packets(parsed: DataFrame, created: str, prefix: str = "CASE_", terms
         label = F.coalesce("features", F.array().cast("array<struct<type:struct<id:string,label:string>>>"))
 
     def variant(v: Column) -> Column:
-        parts = C.variant_components(v)
+        return bound(C.variant_components(v), lambda parts: described(v, parts))
+
+    def described(v: Column, parts: Column) -> Column:
         return F.struct(
             F.struct(
                 F.when(parts["symbol"].isNotNull(), F.struct(parts["symbol"].alias("valueId"), parts["symbol"].alias("symbol"))).alias("geneContext"),
