@@ -33,6 +33,7 @@ results.  Columns besides the key are left out.
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -46,11 +47,11 @@ from caseloom.llm import arrays, scratch
 from caseloom.llm.subwords import Subwords
 
 WINDOW, STRIDE, WIDTH, CLASSES = 16, 12, 16, 128
-DOCS, LONGEST, STEPS, BATCH, SCORED, SUMMED = 800, 12_500, 150, 512, 192, 128
+DOCS, LONGEST, STEPS, BATCH, SCORED, SUMMED, HELD, ROWS = 800, 12_500, 150, 512, 180, 30, 1 << 15, 240
 PARTS, SPACING, RATE, FIXED = 8, 1, 0.01, 1 << 20  # a spacing of 1 is every window
 PRIOR = 4.0
 HEAD = 1 << 17
-MERGE = 1_000_000
+MERGE, DENSE = 1_000_000, 1 << 21
 U8 = np.uint64
 
 
@@ -73,10 +74,11 @@ class Model:
 
     end: int
     row: np.ndarray  # table row of each id; ids without any count share the last
-    mixing: np.ndarray  # (rows, 3 * WIDTH): query, key and value side by side
+    mixing: np.ndarray  # (rows, 3 * WIDTH + 1): query, key, value and 1 side by side
     direct: np.ndarray  # (rows, CLASSES): the id's own share of the scores
-    to: np.ndarray  # (WIDTH, CLASSES): from mixed values to scores
-    at: tuple[np.ndarray, np.ndarray]  # mixing and direct of places
+    over: np.ndarray  # (WIDTH, WIDTH): from mixed values to what a place adds to its embedding
+    to: np.ndarray  # (WIDTH, CLASSES): from there to scores
+    at: tuple[np.ndarray, np.ndarray]  # mixing and embedding of places
     of: np.ndarray  # class of each id
     inside: np.ndarray  # log probability of each id in its class
 
@@ -86,61 +88,71 @@ class Model:
         if not n.size:
             return np.zeros(0)
         begin = starts[:-1] + np.arange(n.size)
-        source = np.insert(ids.astype(np.int64), starts[:-1], self.end)  # end, ids
-        target = np.insert(ids.astype(np.int64), starts[1:], self.end)  # ids, end
+        source, target = shifted(ids, starts, self.end)
+        x, of, log_p = self.row[source], self.of[target], self.inside[target]
         many = 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
         doc = np.repeat(np.arange(n.size), many)
         number = np.arange(doc.size) - np.repeat(np.cumsum(many) - many, many)
         first, left = begin[doc] + number * STRIDE, n[doc] - number * STRIDE
-        log_p = np.empty(source.size, dtype=np.float32)
         for lead, those in ((0, number == 0), (WINDOW - STRIDE, number > 0)):
             f, m = first[those], left[those]
             for i in range(0, f.size, SCORED):  # so many windows that their scores stay in the cache
                 place = np.minimum(f[i : i + SCORED, None] + np.arange(WINDOW), source.size - 1)
                 own = place[:, lead:]
                 mine = np.arange(lead, WINDOW) < m[i : i + SCORED, None]
-                log_p[own[mine]] = self._scored(source[place], target[own], lead)[mine]
+                log_p[own[mine]] += self._classed(x[place], of[own], lead)[mine]
         return np.add.reduceat(log_p, begin, dtype=np.float64)
 
-    def _scored(self, x: np.ndarray, y: np.ndarray, lead: int) -> np.ndarray:
-        """Log probability of y at the places from ``lead`` on of windows of ids x."""
-        x = self.row[x]
-        e = self.mixing[x]
+    def _classed(self, x: np.ndarray, c: np.ndarray, lead: int) -> np.ndarray:
+        """Log probability of the classes c at the places from ``lead`` on of windows of table rows x."""
+        (n, w), many, room = x.shape, c.size, _ROOM
+        e = np.take(self.mixing, x.reshape(-1), axis=0, out=room("mixing", n * w, 3 * WIDTH + 1), mode="clip").reshape(n, w, -1)
         e += self.at[0]
-        q, k, v = e[:, lead:, :WIDTH], e[:, :, WIDTH : 2 * WIDTH], e[:, :, 2 * WIDTH :]
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        np.clip(a, -30, 30, out=a)
-        np.exp(a, out=a)
-        a *= _CAUSAL[lead:]
-        mixed = np.matmul(a, v)
-        mixed /= a.sum(axis=2, keepdims=True)
-        scores, own = buffers(y.size, self.to.shape[1])
-        np.matmul(mixed.reshape(-1, WIDTH), self.to, out=scores)
-        scores += np.take(self.direct, x[:, lead:].reshape(-1), axis=0, out=own, mode="clip")
-        of, place = self.of[y], self.at[1][lead:]
-        chosen = scores[np.arange(y.size), of.reshape(-1)].reshape(y.shape) + place[np.arange(len(place)), of]
-        np.exp(scores, out=scores)  # a place's share is a factor of each class, so it goes into the sum
-        total = np.matmul(scores.reshape(*y.shape, -1).transpose(1, 0, 2), np.exp(place)[:, :, None])[:, :, 0].T
-        return chosen - np.log(total) + self.inside[y]
+        a = np.matmul(e[:, lead:, :WIDTH], e[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1), out=room("a", n, w - lead, w))
+        attend(a, _CAUSAL[lead:])
+        mixed = np.matmul(a, e[:, :, 2 * WIDTH :], out=room("mixed", n, w - lead, WIDTH + 1)).reshape(many, -1)  # the last column is the sum of a
+        values = np.divide(mixed[:, :WIDTH], mixed[:, WIDTH:], out=room("values", many, WIDTH))
+        h = np.matmul(values, self.over, out=room("h", many, WIDTH))
+        h.reshape(n, w - lead, WIDTH)[:] += self.at[1][lead:]
+        s = np.matmul(h, self.to, out=room("s", many, self.to.shape[1]))
+        add_rows(s, self.direct, x[:, lead:].reshape(-1), room)
+        chosen = s.reshape(-1)[np.arange(0, s.size, s.shape[1]) + c.reshape(-1)]
+        np.exp(s, out=s)
+        return (chosen - np.log(s @ np.ones(s.shape[1], np.float32))).reshape(c.shape)
 
     def _window(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log probability of y at each place of windows of ids x."""
-        return self._scored(x, y, 0)
-
+        return self._classed(self.row[x], self.of[y], 0) + self.inside[y]
 
-_BUFFERS: dict = {}
 
+class Room(dict):
+    """Float32 arrays by name, the same memory each time: new memory for each block costs more than the sums."""
 
-def buffers(rows: int, width: int) -> list[np.ndarray]:
-    """Two float32 arrays of this shape, the same memory each time: new memory for each block costs more than the sums."""
-    if _BUFFERS.get("size", 0) < rows * width:
-        _BUFFERS.update(size=rows * width, held=[np.empty(rows * width, dtype=np.float32) for _ in range(2)])
-    return [x[: rows * width].reshape(rows, width) for x in _BUFFERS["held"]]
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self or self[name].size < size:
+            self[name] = np.empty(size, dtype=np.float32)
+        return self[name][:size].reshape(shape)
 
 
+_ROOM = Room()
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
 
 
+def attend(a: np.ndarray, seen: np.ndarray) -> None:
+    """Turns scores of pairs of places into weights that are not yet divided by their sums, in place."""
+    np.clip(a, -30, 30, out=a)
+    np.exp(a, out=a)
+    a *= seen
+
+
+def add_rows(s: np.ndarray, table: np.ndarray, at: np.ndarray, room: Room) -> None:
+    """Adds rows of a table to those of ``s``, so many at a time that they stay in the cache."""
+    for i in range(0, len(s), ROWS):
+        part = s[i : i + ROWS]
+        part += np.take(table, at[i : i + ROWS], axis=0, out=room("rows", *part.shape), mode="clip")
+
+
 def common_column(count: np.ndarray) -> np.ndarray:
     """A column for each id: the 256 most frequent have one each, all others the last."""
     common = np.argsort(-count, kind="stable")[:256]
@@ -240,84 +252,96 @@ class Summed:
 
     The scores of all classes are the one wide array; it is made, turned into
     exponentials and into their differences from the true class in place, and each
-    product with it is one call for a whole block.
+    product with it is one call for a whole block.  In all other arrays a row is a
+    feature of every place of the block, so that plain operations run along memory.
+    The rows of ones beside the values and the mixed values sum up.
     """
 
     def __init__(self, p: dict[str, np.ndarray], base: np.ndarray) -> None:
         d, c = p["u"].shape
+        plain = lambda z: np.ascontiguousarray(z, dtype=np.float32)
         self.scale = np.float32(1 / np.sqrt(d))
-        self.p, self.base = p, base + p["b"]
-        self.into = np.hstack([p["q"] * self.scale, p["k"], p["v"]])
-        self.back = np.ascontiguousarray(self.into.T)
-        self.wide = np.hstack([p["u"].T, np.ones((c, 1), np.float32)])  # the last column sums up
-        self.to = np.ascontiguousarray(p["u"].T)
-        self.g = {"into": np.zeros((d, 3 * d)), "o": np.zeros((d, d)), "p": np.zeros(p["p"].shape), "u": np.zeros((d + 1, c))}
-        self.e = np.zeros(p["e"].shape)
-        self.used, self.held, self.places = 0, [], 0
+        self.base, self.ids = plain(base + p["b"]), plain(p["e"])
+        self.place = np.tile(plain(p["p"].T), SUMMED)
+        self.into = plain(np.hstack([p["q"] * self.scale, p["k"], p["v"]]))
+        self.back, self.o, self.over = plain(self.into.T), plain(p["o"]), plain(p["o"].T)
+        self.u, self.to, self.ones = plain(p["u"]), plain(p["u"].T), np.ones(c, np.float32)
+        self.g = {"into": np.zeros((d, 3 * d)), "o": np.zeros((d, d)), "u": np.zeros((d, c)), "b": np.zeros(c)}
+        self.e, self.dplace = np.zeros(self.ids.shape[::-1]), np.zeros(self.place.shape)
+        self.used, self.places = 0, 0
+        self.held, self.room = (np.empty(HELD, dtype=np.int64), np.empty((d, HELD), dtype=np.float32)), Room()
 
     def add(self, x: np.ndarray, c: np.ndarray, used: np.ndarray) -> None:
-        """Windows of ids x (rows of the embeddings), the classes after them, and which of these count."""
-        p, (n, w), d = self.p, x.shape, self.to.shape[1]
-        at, many = x.reshape(-1), x.size
-        e = np.take(p["e"], at, axis=0).reshape(n, w, d)
-        e += p["p"]
-        qkv = (e.reshape(many, d) @ self.into).reshape(n, w, 3 * d)
-        q, k, v = qkv[:, :, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        np.exp(np.clip(a, -30, 30, out=a), out=a)
-        a *= _CAUSAL
-        a /= a.sum(axis=2, keepdims=True)
-        mixed = np.matmul(a, v).reshape(many, d)
-        h = np.ones((many, d + 1), np.float32)
-        np.matmul(mixed, p["o"], out=h[:, :d])
-        h[:, :d] += e.reshape(many, d)
-        s, own = buffers(many, self.to.shape[0])
-        np.matmul(h[:, :d], p["u"], out=s)
-        s += np.take(self.base, at, axis=0, out=own, mode="clip")
+        """At most ``SUMMED`` windows of ids x (rows of the embeddings), the classes after them, and which of these count."""
+        (n, w), (d, wide), room = x.shape, self.u.shape, self.room
+        many = n * w
+        if self.places + many > HELD:
+            self._gather()
+        at = self.held[0][self.places : self.places + many]
+        at[:] = x.reshape(-1)
+        c, counts = c.reshape(-1), used.reshape(-1).astype(np.float32)
+        windows = lambda z: z.reshape(-1, n, w).transpose(1, 0, 2)  # noqa: E731  windows, features, places
+        turned = lambda z: np.add(z.transpose(0, 2, 1), 0, out=room("turned", n, w, w))  # noqa: E731  products with the array as it lies are faster
+        rows = np.take(self.ids, at, axis=0, out=room("rows", many, d), mode="clip")
+        e = np.add(rows.T, self.place[:, :many], out=room("e", d, many))
+        qkv = room("qkv", 3 * d + 1, many)
+        np.matmul(self.back, e, out=qkv[: 3 * d])
+        qkv[3 * d] = 1
+        q, k, v = windows(qkv[:d]), windows(qkv[d : 2 * d]), windows(qkv[2 * d :])
+        a = np.matmul(q.transpose(0, 2, 1), k, out=room("a", n, w, w))
+        attend(a, _CAUSAL)
+        mixed = room("mixed", d + 1, many)
+        np.matmul(v, turned(a), out=windows(mixed))
+        over = 1 / mixed[d]
+        mixed = mixed[:d]
+        mixed *= over
+        h = np.matmul(self.over, mixed, out=room("h", d, many))
+        h += e
+        s = np.matmul(h.T, self.u, out=room("s", many, wide))
+        add_rows(s, self.base, at, room)
         np.exp(s, out=s)
-        dh = s @ self.wide
-        total, counts = dh[:, d].copy(), used.reshape(-1).astype(np.float32)
+        total = s @ self.ones
         weight = counts / total
-        dh = dh[:, :d] * weight[:, None]
-        dh -= self.to[c.reshape(-1)] * counts[:, None]
-        s[np.arange(many), c.reshape(-1)] -= total
-        h *= weight[:, None]
-        self.g["u"] += h.T @ s
-        self.g["o"] += mixed.T @ dh
-        dm = (dh @ p["o"].T).reshape(n, w, d)
-        da = np.matmul(dm, v.transpose(0, 2, 1))
-        dqkv = np.empty((n, w, 3 * d), np.float32)
-        np.matmul(a.transpose(0, 2, 1), dm, out=dqkv[:, :, 2 * d :])
-        da -= np.einsum("nij,nij->ni", da, a)[:, :, None]
-        da *= a
-        np.matmul(da, k, out=dqkv[:, :, :d])
-        np.matmul(da.transpose(0, 2, 1), q, out=dqkv[:, :, d : 2 * d])
-        flat = dqkv.reshape(many, 3 * d)
-        self.g["into"] += e.reshape(many, d).T @ flat
-        dh += flat @ self.back
-        self.g["p"] += dh.reshape(n, w, d).sum(axis=0)
-        self.used += int(used.sum())
-        self.held.append((at, dh))
+        dh = np.multiply(np.matmul(s, self.to, out=room("rows", many, d)).T, weight, out=room("dh", d, many))
+        true = np.take(self.u, c, axis=1, out=room("true", d, many), mode="clip")
+        true *= counts
+        dh -= true
+        s.reshape(-1)[np.arange(0, s.size, wide) + c] -= total
+        h *= weight
+        self.g["u"] += h @ s
+        self.g["b"] += weight @ s
+        self.g["o"] += mixed @ dh.T
+        dm = room("dm", d + 1, many)  # the last row takes off what all values have in common
+        np.matmul(self.o, dh, out=dm[:d])
+        np.negative(np.add.reduce(np.multiply(dm[:d], mixed, out=h), axis=0), out=dm[d])
+        dm *= over
+        dqkv = room("dqkv", 3 * d, many)
+        np.matmul(windows(dm[:d]), a, out=windows(dqkv[2 * d :]))
+        a *= np.matmul(windows(dm).transpose(0, 2, 1), v, out=room("turned", n, w, w))
+        np.matmul(k, turned(a), out=windows(dqkv[:d]))
+        np.matmul(q, a, out=windows(dqkv[d : 2 * d]))
+        self.g["into"] += e @ dqkv.T
+        dh += np.matmul(self.into, dqkv, out=h)
+        self.dplace[:, :many] += dh
+        self.held[1][:, self.places : self.places + many] = dh
+        self.used += int(np.count_nonzero(used))
         self.places += many
-        if self.places >= 1 << 16:
-            self._gather()
 
     def _gather(self) -> None:
         """Adds the gradients of the places held to those of their ids."""
-        if self.held:
-            at, de = (np.concatenate(z) for z in zip(*self.held))
-            order = np.argsort(at.astype(np.min_scalar_type(len(self.e))), kind="stable")
-            first = np.flatnonzero(np.diff(at[order], prepend=-1))
-            self.e[at[order[first]]] += np.add.reduceat(de[order], first, axis=0)
-            self.held, self.places = [], 0
+        at, de = self.held[0][: self.places], self.held[1][:, : self.places]
+        for total, column in zip(self.e, de):
+            total += np.bincount(at, weights=column, minlength=total.size)
+        self.places = 0
 
     def sums(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Of the embeddings, of the other parameters in the order of ``_REST``, and how many places counted."""
         self._gather()
-        d = self.to.shape[1]
-        own = {z: self.g["into"][:, i * d : (i + 1) * d] for i, z in enumerate("qkv")} | {"o": self.g["o"], "p": self.g["p"], "u": self.g["u"][:d], "b": self.g["u"][d]}
+        d = len(self.u)
+        own = {z: self.g["into"][:, i * d : (i + 1) * d] for i, z in enumerate("qkv")} | {z: self.g[z] for z in "oub"}
+        own["p"] = self.dplace.reshape(d, -1, WINDOW).sum(axis=1).T
         own["q"] = own["q"] * self.scale
-        return self.e, np.concatenate([own[z].reshape(-1) for z in _REST]), self.used
+        return self.e.T, np.concatenate([own[z].reshape(-1) for z in _REST]), self.used
 
 
 def shifted(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -380,10 +404,8 @@ def train(ids: np.ndarray, starts: np.ndarray, size: int, end: int, steps: int =
     row = np.full(size, seen.size, dtype=np.int32)
     row[seen] = np.arange(seen.size)
     scale = np.float32(1 / np.sqrt(d))
-    to = p["o"] @ p["u"]
-    fold = lambda z: (z @ p["q"] * scale, z @ p["k"], z @ p["v"], z @ p["u"])
-    by_id, by_place = fold(e), fold(p["p"])
-    return Model(end, row, np.hstack(by_id[:3]), by_id[3] + base, to, (np.hstack(by_place[:3]), by_place[3] + p["b"]), of, inside.astype(np.float32))
+    fold = lambda z, one: np.hstack([z @ p["q"] * scale, z @ p["k"], z @ p["v"], np.full((len(z), 1), one, np.float32)])
+    return Model(end, row, fold(e, 1), e @ p["u"] + p["b"] + base, p["o"], p["u"], (fold(p["p"], 0), p["p"]), of, inside.astype(np.float32))
 
 
 def encoded(docs: DataFrame, training: Column, path: str, pattern: str, size: int, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
@@ -425,10 +447,20 @@ def _texts(held: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(held), dtype=kind), np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(n)))
 
 
-def _counted(stored: DataFrame, code: Callable[[np.ndarray, np.ndarray], np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often each code of an id and the one after it occurs; combined in tasks before the shuffle."""
+def _counted(stored: DataFrame, code: Callable[[np.ndarray, np.ndarray], np.ndarray], end: int, codes: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each code below ``codes`` of an id and the one after it occurs; combined in tasks before the shuffle.
+
+    Up to ``DENSE`` codes a task counts in an array, else by sorting.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if codes <= DENSE:
+            n = np.zeros(codes, dtype=np.int64)
+            for batch in batches:
+                n += np.bincount(code(*shifted(*_texts(batch.column("ids").to_pylist(), end + 1), end)), minlength=codes)
+            keys = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n[keys])], names=["k", "n"])
+            return
         keys, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
             more, c = np.unique(code(*shifted(*_texts(batch.column("ids").to_pylist(), end + 1), end)), return_counts=True)
@@ -465,16 +497,16 @@ def _sums(stored: DataFrame, end: int) -> Callable:
                 source, target = shifted(ids, starts, end)
                 n = np.diff(starts) + 1
                 windows = -(-n // WINDOW)
-                doc = np.repeat(np.arange(n.size), windows)
-                k = np.arange(doc.size) - np.repeat(np.cumsum(windows) - windows, windows)
-                mine = np.flatnonzero((k + (batch.column("h").to_numpy() >> 20)[doc]) % SPACING == 0)
-                doc, k = doc[mine], k[mine]
-                begin, stop = (starts[:-1] + np.arange(n.size))[doc] + k * WINDOW, (starts[1:] + np.arange(1, n.size + 1))[doc]
-                for i in range(0, doc.size, SUMMED):
-                    place = begin[i : i + SUMMED, None] + np.arange(WINDOW)
-                    used = place < stop[i : i + SUMMED, None]
-                    place = np.minimum(place, source.size - 1)
-                    found.add(small[source[place]], of[target[place]], used)
+                first = np.cumsum(windows) - windows
+                place = np.arange(source.size) + np.repeat(first * WINDOW - (starts[:-1] + np.arange(n.size)), n)
+                x, c, used = np.zeros((3, windows.sum() * WINDOW), dtype=np.int64)
+                x[place], c[place], used[place] = small[source], of[target], 1
+                x, c, used = (z.reshape(-1, WINDOW) for z in (x, c, used))
+                if SPACING > 1:
+                    k = np.arange(len(x)) - np.repeat(first, windows)
+                    x, c, used = (z[(k + np.repeat(batch.column("h").to_numpy() >> 20, windows)) % SPACING == 0] for z in (x, c, used))
+                for i in range(0, len(x), SUMMED):
+                    found.add(x[i : i + SUMMED], c[i : i + SUMMED], used[i : i + SUMMED])
             total, rest, used_n = found.sums()
             if not used_n:
                 return
@@ -510,15 +542,17 @@ def fit(stored: DataFrame, size: int) -> Model:
     end = size - 1
     stored = stored.where(F.col("part") >= 0)
     count = np.zeros(size)
-    k, n = _counted(stored, lambda source, target: target, end)
+    k, n = _counted(stored, lambda source, target: target, end, size)
     count[k] = n
     of, base = np.arange(size) % CLASSES, None
     if k.size:
-        column = common_column(count)
-        k, n = _counted(stored, lambda source, target: target * 257 + column[source], end)
-        of = classes(count, k // 257, k % 257, n)
-        k, n = _counted(stored, lambda source, target: source * CLASSES + of[target], end)
-        base = follows(size, of, count, np.union1d(np.flatnonzero(count > 0), [end]), k, n)
+        column, seen = common_column(count), np.union1d(np.flatnonzero(count > 0), [end])
+        row = np.zeros(size, dtype=np.int64)
+        row[seen] = np.arange(seen.size)
+        k, n = _counted(stored, lambda source, target: row[target] * 257 + column[source], end, seen.size * 257)
+        of = classes(count, seen[k // 257], k % 257, n)
+        k, n = _counted(stored, lambda source, target: row[source] * CLASSES + of[target], end, seen.size * CLASSES)
+        base = follows(size, of, count, seen, seen[k // CLASSES] * CLASSES + k % CLASSES, n)
     some = stored.where(F.octet_length("ids") <= LONGEST * _kind(size).itemsize)
     share = min(1.0, (1.5 * DOCS + 50) / max(1, some.count()))
     rows = some.where((F.col("h") / 2.0**64 + 0.5) < share).orderBy("h", "ids").limit(DOCS).toPandas()["ids"].tolist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 
 from caseloom.llm import attention
@@ -37,3 +39,32 @@ def test_summed_gradients_are_the_mean_ones_times_their_number():
         total, rest, n = total + g["e"] * used.sum(), rest + np.concatenate([g[z].reshape(-1) for z in attention._REST]) * used.sum(), n + used.sum()
     e, others, used_n = found.sums()
     assert used_n == n and np.allclose(e, total, atol=1e-3) and np.allclose(others, rest, atol=1e-3)
+
+
+def test_summing_a_block_takes_no_new_memory():
+    """The wide arrays of a block are those of the block before; what is new is small beside its scores."""
+    r = np.random.default_rng(5)
+    d, c, w, many = attention.WIDTH, attention.CLASSES, attention.WINDOW, 40
+    p = {k: r.standard_normal((d, d)).astype(np.float32) for k in "qkvo"} | {"e": r.standard_normal((many, d)).astype(np.float32), "p": np.zeros((w, d), np.float32), "u": np.zeros((d, c), np.float32), "b": np.zeros(c, np.float32)}
+    found = attention.Summed(p, np.zeros((many, c), np.float32))
+    x, y, used = r.integers(0, many, (30, w)), r.integers(0, c, (30, w)), np.ones((30, w), bool)
+    found.add(x, y, used)
+    tracemalloc.start()
+    found.add(x, y, used)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.size * c * 4 / 2
+
+
+def test_counts_in_an_array_are_those_by_sorting(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    texts = [r.integers(0, 40, r.integers(0, 30)) for _ in range(50)]
+    stored = spark.createDataFrame([(bytearray(t.astype("<u2").tobytes()),) for t in texts], "ids binary")
+    code = lambda source, target: source * 41 + target
+    want = np.zeros(41 * 41)
+    for t in texts:
+        np.add.at(want, code(np.append(40, t), np.append(t, 40)), 1)
+    for dense in (41 * 41, 0):
+        monkeypatch.setattr(attention, "DENSE", dense)
+        k, n = attention._counted(stored, code, 40, 41 * 41)
+        assert len(set(k)) == len(k) and np.array_equal(np.bincount(k, weights=n, minlength=41 * 41), want)
