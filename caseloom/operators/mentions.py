@@ -9,7 +9,8 @@ is (node, token) -> node, and a batch of texts walks it in step: all places that
 still on a path take one more token by one sorted lookup, until none is left.  That
 is linear in the places and the depth of the paths that the text itself follows.
 Tries are bounded: names are cut into dictionaries of at most ``NAMES``; each is one
-pass over the texts, and passes are united, so no size of the dictionary is left out.
+pass over the texts, which hands its mentions to the next, so mentions and pieces are the
+same for every number of passes.
 
 Negation has a scope.  A boundary or a turning word ("but") ends it.  In it, a cue
 before a mention ("no", "denies") or after it ("was ruled out") negates it, and
@@ -25,9 +26,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.sources.shared import written
+
 #: Names of one trie.
 NAMES = 500_000
 #: Characters of the texts that are walked at once; one longer text is never cut.
@@ -196,58 +200,94 @@ def _tries(names: DataFrame, name: str, most: int) -> Iterator[tuple[Trie, list[
         yield Trie([[t for t in tokens_of(n)] for n in found]), found
 
 
+def _hits(found: tuple, names: list[str], before: tuple | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Begin, end, name and negation of a text's mentions, with those of the passes before.
+
+    Of mentions that lie one in another the longest stays, of equal ones the first name by
+    text: what one trie of all names gives.
+    """
+    _, _, _, begin, end, which, no, scopes = found
+    own = [names[w] for w in which.tolist()]
+    if before is None or not before[0]:
+        return begin, end, own, no
+    kept, reach = [], -1
+    for b, e, n in sorted([*zip(begin.tolist(), (-end).tolist(), own), *((b, -e, n) for b, e, n in zip(*before))]):
+        if -e > reach:
+            kept.append((b, -e, n))
+            reach = -e
+    begin, end = (np.array([x[k] for x in kept], dtype=np.int64) for k in (0, 1))
+    return begin, end, [x[2] for x in kept], scopes.negates(begin, end)
+
+
+def _texts_of(batch: pa.RecordBatch, trie: Trie, found: list[str]) -> Iterator[tuple]:
+    """What ``_walked`` and ``_hits`` give for each text of a batch of key, text and, after the first pass, earlier mentions."""
+    before = list(zip(*(batch.column(c).to_pylist() for c in range(2, 5)))) if batch.num_columns > 2 else None
+    for walked in _walked(batch.column(1).to_pylist(), trie):
+        yield walked, _hits(walked, found, before and before[walked[0]])
+
+
+def _passes(texts: DataFrame, names: DataFrame, key: str, text: str, name: str, most: int) -> tuple[DataFrame, Broadcast]:
+    """The last dictionary, and key and text with the mentions of all dictionaries before it.
+
+    Each of those is a pass of its own, and is written, so a task holds one trie at a time.
+    """
+    spark, kind = texts.sparkSession, texts.schema[key].dataType.simpleString()
+    at = texts.select(key, text)
+    held = None
+    for each in _tries(names, name, most):
+        if held is not None:
+
+            def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+                trie, found = held.value
+                for batch in batches:
+                    rows = [([], [], [])] * batch.num_rows
+                    for walked, (begin, end, own, _) in _texts_of(batch, trie, found):
+                        rows[walked[0]] = (begin.tolist(), end.tolist(), own)
+                    hits = [pa.array([r[k] for r in rows], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.int32(), pa.string()))]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *hits], names=[key, text, "_begin", "_end", "_name"])
+
+            at = written(at.mapInArrow(run, f"`{key}` {kind}, `{text}` string, _begin array<int>, _end array<int>, _name array<string>"), "mentions")
+        held = spark.sparkContext.broadcast(each)  # bounded by ``most``
+    return at, held
+
+
 def find(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "text", name: str = "name", most: int = NAMES) -> DataFrame:
     """key, begin, end (tokens, from 0), name and negated of every mention.
 
-    Null texts have none.  Names without tokens are never found.  With several
-    passes a mention inside one of another pass goes as well.
+    Null texts have none.  Names without tokens are never found.  How many passes the
+    names take makes no difference to the mentions.
     """
     kind = texts.schema[key].dataType.simpleString()
-    spark = texts.sparkSession
-    passes = []
-    for trie, found in _tries(names, name, most):
-        held = spark.sparkContext.broadcast((trie, found))  # bounded by ``most``
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            trie, found = held.value
-            for batch in batches:
-                keys = batch.column(0)
-                rows: list[list] = [[], [], [], [], []]
-                for i, _, _, begin, end, which, no, _ in _walked(batch.column(1).to_pylist(), trie):
-                    if begin.size:
-                        for column, values in zip(rows, ([i] * begin.size, begin.tolist(), end.tolist(), [found[w] for w in which.tolist()], no.tolist())):
-                            column.extend(values)
-                taken = keys.take(pa.array(rows[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([taken, pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.string()), pa.array(rows[4], pa.bool_())], names=[key, "begin", "end", "name", "negated"])
-
-        passes.append(texts.select(key, text).mapInArrow(run, f"`{key}` {kind}, begin long, end long, name string, negated boolean"))
-    out = passes[0]
-    for more in passes[1:]:
-        out = out.unionByName(more)
-    return out if len(passes) == 1 else _outermost_of(out, key)
-
-
-def _outermost_of(found: DataFrame, key: str) -> DataFrame:
-    """Mentions of several passes without those that lie in another one."""
-    w = Window.partitionBy(key).orderBy("begin", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
-    return found.distinct().withColumn("_reach", F.coalesce(F.max("end").over(w), F.lit(-1))).where("end > _reach").drop("_reach")
+    at, held = _passes(texts, names, key, text, name, most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, found = held.value
+        for batch in batches:
+            rows: list[list] = [[], [], [], [], []]
+            for walked, (begin, end, own, no) in _texts_of(batch, trie, found):
+                if begin.size:
+                    for column, values in zip(rows, ([walked[0]] * begin.size, begin.tolist(), end.tolist(), own, no.tolist())):
+                        column.extend(values)
+            taken = batch.column(0).take(pa.array(rows[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([taken, pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.string()), pa.array(rows[4], pa.bool_())], names=[key, "begin", "end", "name", "negated"])
+
+    return at.mapInArrow(run, f"`{key}` {kind}, begin long, end long, name string, negated boolean")
 
 
 def pieces(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "text", name: str = "name", negated: bool = False, most: int = NAMES) -> DataFrame:
-    """key and piece: what stands between mentions, cut at marks, function words and cues.
+    """key and piece: what stands between mentions of any name, cut at marks, function words and cues.
 
     For fuzzy matching.  A piece may have any number of words.  With ``negated``
-    pieces in the scope of a negation come too.  Mentions are those of the first
-    ``most`` names; a piece that holds another name is matched as a whole.
+    pieces in the scope of a negation come too.
     """
     kind = texts.schema[key].dataType.simpleString()
-    held = texts.sparkSession.sparkContext.broadcast(next(_tries(names, name, most))[0])
+    rows, held = _passes(texts, names, key, text, name, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = held.value
+        trie, names = held.value
         for batch in batches:
-            keys, at, found = batch.column(0), [], []
-            for i, tokens, bounds, begin, end, _, _, scopes in _walked(batch.column(1).to_pylist(), trie):
+            at, found = [], []
+            for (i, tokens, bounds, *_, scopes), (begin, end, _, _) in _texts_of(batch, trie, names):
                 if not tokens:
                     continue
                 covered = np.zeros(len(tokens) + 1, dtype=np.int64)
@@ -263,6 +303,6 @@ def pieces(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "tex
                         if negated or not no:
                             at.append(i)
                             found.append(" ".join(tokens[p:q]))
-            yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), pa.array(found, pa.string())], names=[key, "piece"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())], names=[key, "piece"])
 
-    return texts.select(key, text).mapInArrow(run, f"`{key}` {kind}, piece string")
+    return rows.mapInArrow(run, f"`{key}` {kind}, piece string")

@@ -123,3 +123,14 @@ def test_pieces_are_made_once_and_phrases_dealt_over_all_cores(spark):
     phrases = M.fuzzy(texts.select(texts.text.alias("phrase")), names, 1.0)
     tasks = phrases.rdd.glom().map(len).collect()
     assert sum(n > 0 for n in tasks) >= spark.sparkContext.defaultParallelism
+
+
+def test_the_number_of_passes_changes_neither_mentions_nor_pieces(spark):
+    names = spark.createDataFrame([(n,) for n in [*NAMES, "FEVER", "Fever ", "hand  foot"]], "name string")
+    r = random.Random(5)
+    words = "fever high short stature ataxia severe intellectual disability of early childhood onset type two hand foot 1.5 mm gap . , no tongue".split()
+    # one key may stand for several texts
+    texts = spark.createDataFrame([(k % 7, " ".join(r.choice(words) for _ in range(r.randint(0, 30)))) for k in range(40)] + [(1, None)], "id long, text string")
+    for f in (N.find, N.pieces):
+        one = sorted(tuple(x) for x in f(texts, names).collect())
+        assert one and all(sorted(tuple(x) for x in f(texts, names, most=most).collect()) == one for most in (1, 4))
