@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -138,3 +139,37 @@ def test_scores_of_patients_side_by_side(monkeypatch):
         assert len(found) == len(patients) > R.SIDE
         for terms, got in zip(patients, found):
             assert got.tolist() == table.scores(terms, np.arange(len(profiles))).tolist()
+
+
+def tree(terms, entities, each):
+    """A closure by numbers (children of k are 3k to 3k + 2), information, and profiles."""
+    r = np.random.default_rng(5)
+    up = [np.zeros(0, dtype=np.int32)]
+    for k in range(1, terms):
+        up.append(np.append(up[k // 3], np.int32(k)))
+    start = np.append(0, np.cumsum([len(x) for x in up]))
+    entity, term = np.repeat(np.arange(entities), each), r.integers(0, terms, entities * each)
+    return start, np.concatenate(up), 1 + r.permutation(terms) / terms + np.log1p(np.arange(terms)), [f"g{k:05d}" for k in range(entities)], entity, term
+
+
+def test_arrays_of_a_shard_are_small():
+    world = tree(20_000, 400, 500)
+    for method in ("resnik", "lin"):
+        tracemalloc.start()
+        table = R.Profiles.of_numbers(*world, method)
+        held, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        pairs = int(np.diff(table.below_start).sum())
+        assert pairs > 600_000 and held < 12 * pairs and peak < 80 * pairs  # 25 and 105 bytes a pair before
+
+
+@pytest.mark.parametrize("method", S.METHODS)
+def test_scores_of_a_few_entities_take_no_pass_over_all_terms(method, monkeypatch):
+    table = R.Profiles.of_numbers(*tree(3000, 40, 30), method)
+    r = np.random.default_rng(6)
+    sets = [sorted(r.choice(3000, 4, replace=False).tolist()) for _ in range(20)]
+    every = [table.scores(x, np.arange(40)) for x in sets]
+    passes = []
+    monkeypatch.setattr(table, "_row", lambda known: passes.append(1))
+    monkeypatch.setattr(table, "_column", lambda known: passes.append(1))
+    assert all(table.scores(x, np.array([k])).tolist() == [s[k]] for x, s in zip(sets, every) for k in (0, 7, 39)) and not passes
