@@ -76,8 +76,7 @@ def fuzzy(phrases: DataFrame, names: DataFrame, threshold: float = THRESHOLD, mo
             fields = to_arrow_schema(schema)
             for batch in batches:
                 out = []
-                for phrase, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    hit = table.best(s, threshold)
+                for phrase, hit in zip(batch.column(0).to_pylist(), table.bests(batch.column(1).to_pylist(), threshold)):
                     if hit:
                         r = rows[hit[0]]
                         out.append({"phrase": phrase, "name": r["name"], "id": r["id"], "ord": r["ord"], "score": hit[1]})

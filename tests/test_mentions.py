@@ -134,3 +134,30 @@ def test_the_number_of_passes_changes_neither_mentions_nor_pieces(spark):
     for f in (N.find, N.pieces):
         one = sorted(tuple(x) for x in f(texts, names).collect())
         assert one and all(sorted(tuple(x) for x in f(texts, names, most=most).collect()) == one for most in (1, 4))
+
+
+def test_many_phrases_at_once_equal_one_at_a_time(monkeypatch):
+    r = random.Random(11)
+    monkeypatch.setattr(subsequence, "PAIRS", 300)
+    monkeypatch.setattr(subsequence, "MANY", 60)
+    for letters, lengths in (("abcdefgh", (0, 1, 4, 9, 12)), ("abcdé 𝄞", (0, 5, 31, 33, 64)), ("abcd ", (3, 64, 65, 140))):
+        texts = ["".join(r.choice(letters) for _ in range(r.choice(lengths))) for _ in range(200)]
+        names = subsequence.Names(texts, [r.randrange(20) * 1000 + k for k in range(200)])
+        phrases = ["".join(c for c in r.choice(texts) if r.random() > 0.2) + r.choice(["", "zz", "a"]) for _ in range(150)] + ["", "zzzz", "é" * 300]
+        for threshold in (0.0, 30.0, 60.0, 95.0, 100.0, 250.0):
+            found = names.bests(phrases, threshold)
+            assert found == [names.best(p, threshold) for p in phrases]
+            for p, hit in zip(phrases, found):
+                scores = [200.0 * lcs(p, t) / max(1, len(p) + len(t)) if p or t else 100.0 for t in texts] if threshold == 60.0 else []
+                assert not scores or (hit[1] == max(scores) if hit else max(scores) < 60.0)
+
+
+def test_most_phrases_end_at_groups_of_names(monkeypatch):
+    r = random.Random(12)
+    words = "small large red blue ring bolt widget economy standard plated tin nickel".split()
+    names = subsequence.Names([" ".join(sorted(r.choices(words, k=3))) for _ in range(2000)], list(range(2000)))
+    alone = []
+    best = subsequence.Names.best
+    monkeypatch.setattr(subsequence.Names, "best", lambda self, p, t: alone.append(p) or best(self, p, t))
+    phrases = ["".join(r.choice("uvwxyzkqj") for _ in range(r.randint(8, 30))) for _ in range(500)]
+    assert names.bests(phrases, 60.0) == [None] * 500 and not alone
