@@ -128,6 +128,7 @@ class Scopes:
     def __init__(self, tokens: list[str], bounds: np.ndarray) -> None:
         begin, end, which = self.trie.longest(self.trie.number(tokens))
         kind = self.kinds[which]
+        self.cues = begin, end
         turn = begin[kind == 3]
         marks = np.zeros(bounds.size + 1, dtype=np.int64)
         marks[1:] += bounds  # a scope begins after its boundary, and at a turning word
@@ -189,6 +190,12 @@ class _Part:
     def negates(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return self.scopes.negates(begin + self.low, end + self.low)
 
+    def cues(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of the cues of a text with so many tokens."""
+        begin, end = self.scopes.cues
+        a, b = np.searchsorted(begin, (self.low, self.low + size))
+        return begin[a:b] - self.low, end[a:b] - self.low
+
 
 def _tries(names: DataFrame, name: str, most: int) -> Iterator[tuple[Trie, list[str]]]:
     """Tries of at most ``most`` names each; equal token sequences are one name, the first by text."""
@@ -293,7 +300,7 @@ def pieces(texts: DataFrame, names: DataFrame, key: str = "id", text: str = "tex
                 covered = np.zeros(len(tokens) + 1, dtype=np.int64)
                 np.add.at(covered, begin, 1)
                 np.add.at(covered, end, -1)
-                cues, cue_end, _ = Scopes.trie.longest(Scopes.trie.number(tokens))
+                cues, cue_end = scopes.cues(len(tokens))
                 np.add.at(covered, cues, 1)
                 np.add.at(covered, cue_end, -1)
                 runs = list(_pieces(tokens, np.cumsum(covered)[:-1] > 0, bounds))
