@@ -173,3 +173,19 @@ def test_scores_of_a_few_entities_take_no_pass_over_all_terms(method, monkeypatc
     monkeypatch.setattr(table, "_row", lambda known: passes.append(1))
     monkeypatch.setattr(table, "_column", lambda known: passes.append(1))
     assert all(table.scores(x, np.array([k])).tolist() == [s[k]] for x, s in zip(sets, every) for k in (0, 7, 39)) and not passes
+
+
+@pytest.mark.parametrize("method", S.METHODS)
+def test_profiles_are_summed_as_kinds_of_terms(method):
+    # two parents for some terms, so that narrow ancestors of one branch meet wide ones of another
+    r = np.random.default_rng(8)
+    up = [np.zeros(0, dtype=np.int32)]
+    for k in range(1, 6000):
+        up.append(np.append(np.union1d(up[k // 3], up[k // 4] if k % 5 == 0 else up[0]), k).astype(np.int32))
+    entity, term = np.repeat(np.arange(60), 300), r.integers(0, 6000, 60 * 300)
+    ic = np.append(0, r.permutation(np.log1p(np.arange(1, 6000)) + 0.1 * r.integers(0, 9, 5999)))  # no order along the branches
+    table = R.Profiles.of_numbers(np.append(0, np.cumsum([len(x) for x in up])), np.concatenate(up), ic, [f"g{k:02d}" for k in range(60)], entity, term, method)
+    sets = [sorted(r.choice(6000, r.integers(1, 6), replace=False).tolist()) for _ in range(70)] + [[], [-1]]
+    for x, got in zip(sets, table.blocks(sets)):
+        assert np.abs(got - table.scores(x, np.arange(60))).max() < 2e-9
+    assert 0 < table.wide.sum() < 1500 and (method != "resnik" or table.row_kind.size < table.back.size)
